@@ -42,3 +42,14 @@ def round_doubles(df: DataFrame, digits: int = 4, overrides: dict[str, int] | No
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+def round_sig(c, digits: int = 10):
+    """Round to ``digits`` significant digits (for large sums / squares)."""
+    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
+    return F.when(c.isNull() | (c == 0) | F.isnan(c) | (F.abs(c) == float("inf")), c) \
+        .otherwise(F.round(c / p, digits - 1) * p)
+
+
+def round_sig_cols(df: DataFrame, cols: list[str], digits: int = 10) -> DataFrame:
+    return df.withColumns({c: round_sig(F.col(c), digits) for c in cols})

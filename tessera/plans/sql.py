@@ -102,3 +102,57 @@ def features_cte(source: str = "panel", digits_cyclic: int = 6, digits_roll: int
 
 def not_null_all(cols: list[str]) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in cols)
+
+
+def rsig(e: str, digits: int = 10) -> str:
+    """SQL twin of registry.round_sig."""
+    return (f"(CASE WHEN ({e}) IS NULL OR ({e}) = 0 OR isnan({e}) OR isinf({e}) THEN ({e}) "
+            f"ELSE round(({e}) / pow(10.0, floor(log10(abs({e})))), {digits - 1}) "
+            f"* pow(10.0, floor(log10(abs({e})))) END)")
+
+
+NAIVE_MODELS = {"naive_lag_1": "y_lag_1", "naive_lag_7": "y_lag_7",
+                "naive_lag_365": "y_lag_365", "smoother_mean_7": "y_rolling_mean_7"}
+
+
+def preds_ctes(processed: bool = True) -> str:
+    """panel, feat, proc and the long naive-forecast table ``preds``."""
+    where = f"WHERE {not_null_all(S.FEATURE_NAMES)}" if processed else ""
+    union = "\n  UNION ALL ".join(
+        f"SELECT '{m}' AS model, series_id, dt, CAST(y AS DOUBLE) AS y, CAST({c} AS DOUBLE) AS yhat FROM proc"
+        for m, c in NAIVE_MODELS.items())
+    return f"""{panel_ctes()},
+{features_cte(digits_cyclic=None, digits_roll=None)},
+proc AS (SELECT * FROM feat {where}),
+preds AS ({union})"""
+
+
+def metrics_ctes() -> str:
+    """pm (point metrics), da (directional accuracy, concatenated order), met (both)."""
+    return """pm AS (
+  SELECT model, count(*) AS n,
+    avg((y - yhat) * (y - yhat)) AS MSE,
+    avg(abs(y - yhat)) AS MAE,
+    avg(abs((y - yhat) / y)) * 100 AS MAPE,
+    median(abs((y - yhat) / y)) * 100 AS MAPE_Median,
+    sum((y - yhat) * (y - yhat)) AS sse,
+    var_pop(y) * count(y) AS sst,
+    sum(y * y) AS syy
+  FROM preds GROUP BY model),
+dl AS (
+  SELECT model, y, yhat,
+    lag(y) OVER (PARTITION BY model ORDER BY series_id, dt) AS py,
+    lag(yhat) OVER (PARTITION BY model ORDER BY series_id, dt) AS pyhat
+  FROM preds),
+da AS (
+  SELECT model,
+    CASE WHEN count(py) > 0 THEN
+      CAST(sum(CASE WHEN py IS NOT NULL AND ((y - py > 0) = (yhat - pyhat > 0)) THEN 1 ELSE 0 END) AS DOUBLE) / count(py)
+    ELSE 0.0 END AS Directional_Accuracy
+  FROM dl GROUP BY model),
+met AS (
+  SELECT pm.model, pm.n, MSE, sqrt(MSE) AS RMSE, MAE, MAPE, MAPE_Median,
+    CASE WHEN sst = 0 THEN (CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END) ELSE 1.0 - sse / sst END AS R2,
+    da.Directional_Accuracy,
+    CASE WHEN syy = 0 THEN CAST('inf' AS DOUBLE) ELSE sqrt(sse) / sqrt(syy) END AS Theil_U
+  FROM pm LEFT JOIN da ON pm.model = da.model)"""
