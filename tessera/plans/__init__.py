@@ -1,4 +1,4 @@
 """Registered queries. Importing this package fills the registry."""
 
-from tessera.plans import q_panel, q_eval  # noqa: F401
+from tessera.plans import q_panel, q_eval, q_profile  # noqa: F401
 from tessera.plans.registry import KIND, ORACLE, QUERIES  # noqa: F401
