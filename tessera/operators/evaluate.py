@@ -55,9 +55,9 @@ def direction_counts(long: DataFrame, across_series: bool = True) -> DataFrame:
     inside = long.select("model", S.SERIES,
                          ((F.col("y") - F.lag("y").over(w) > 0)
                           == (F.col("yhat") - F.lag("yhat").over(w) > 0)).alias("agree"))
-    inside = inside.where(F.col("agree").isNotNull())
-    cnt = inside.groupBy("model").agg(F.count(F.lit(1)).alias("pairs"),
-                                      F.sum(F.col("agree").cast("long")).alias("agree"))
+    cnt = inside.groupBy("model").agg(F.count("agree").alias("pairs"),
+                                      F.coalesce(F.sum(F.col("agree").cast("long")), F.lit(0))
+                                      .alias("agree"))
     if not across_series:
         return cnt
     ends = long.groupBy("model", S.SERIES).agg(
