@@ -13,18 +13,24 @@ from tessera import schema as S
 
 
 def data_summary(panel: DataFrame, y: str = S.Y) -> DataFrame:
-    """Row count, date range, distinct series and their names, y statistics."""
-    return panel.agg(
+    """Row count, date range, distinct series, y statistics and exact median.
+
+    The list of series names is not packed into this one row (it grows with
+    the number of series); it is the distributed ``series_names`` table.
+    """
+    from tessera.operators.quantiles import exact_median
+    agg = panel.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.date_format(F.min(S.DT), "yyyy-MM-dd").alias("first_dt"),
         F.date_format(F.max(S.DT), "yyyy-MM-dd").alias("last_dt"),
         F.count_distinct(S.SERIES).alias("n_series"),
-        F.array_join(F.sort_array(F.collect_set(S.SERIES_NAME)), ", ").alias("series_names"),
         F.avg(y).alias("y_mean"),
         F.stddev_samp(y).alias("y_std"),
         F.min(y).cast("double").alias("y_min"),
         F.max(y).cast("double").alias("y_max"),
-        F.median(F.col(y).cast("double")).alias("y_median"))
+        F.lit(1).alias("_k"))
+    med = exact_median(panel.select(F.lit(1).alias("_k"), F.col(y)), ["_k"], y)
+    return agg.join(med, "_k", "left").drop("_k").withColumnRenamed("median", "y_median")
 
 
 def null_counts(df: DataFrame) -> DataFrame:

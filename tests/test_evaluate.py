@@ -89,3 +89,21 @@ def test_report_lines_and_parse(spark, tmp_path):
     assert header == ["model", "MSE", "RMSE", "MAE", "MAPE", "MAPE_Median", "R2",
                       "Directional_Accuracy", "Theil_U"]
     assert cells.select("pos").distinct().count() == 3  # header + 2 models
+
+
+def test_exact_median_multi_round_with_ties(spark):
+    import random
+    import statistics
+
+    from tessera.operators.quantiles import exact_median
+    rnd = random.Random(7)
+    rows = [("hot", float(rnd.randint(0, 20))) for _ in range(20000)]
+    rows += [("one", 3.5), ("two", 1.0), ("two", 2.0)]
+    rows += [("u", rnd.random()) for _ in range(999)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: r.median for r in exact_median(df, ["g"], "x", grid=20, accuracy=500,
+                                                max_bracket=50).collect()}
+    exp = {}
+    for g in {r[0] for r in rows}:
+        exp[g] = statistics.median([x for k, x in rows if k == g])
+    assert got == exp
