@@ -95,10 +95,20 @@ def fit(name: str, df: DataFrame, cols: list[str], params: dict | None = None) -
 
 
 def reliable(df: DataFrame) -> DataFrame:
-    """Cut lineage into the cluster's checkpoint folder (never a local checkpoint)."""
-    from tessera.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the frame as a parquet table below the cluster's
+    ``spark.checkpoint.dir`` and read it back.
+
+    Unlike ``Dataset.checkpoint`` (which runs the plan once for the action and
+    once more to write the checkpoint unless the data is cached) the plan runs
+    once; readers get columnar scans, and a lost executor re-reads the table
+    instead of recomputing the upstream plan.
+    """
+    import uuid
+
+    from tessera.session import shared_path
+    path = shared_path(df.sparkSession, f"tables/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 # --- time-ordered folds --------------------------------------------------------

@@ -72,7 +72,9 @@ def build_panel(obs: DataFrame, start=None, end=None, value_col: str = "amount",
         obs = obs.where(F.col(S.DT) <= F.lit(end).cast("date"))
     daily = daily_totals(obs, value_col)
     if start is None or end is None:
-        lo, hi = date_bounds(daily)
+        # bounds from the observations themselves: a scan with a global
+        # min/max, no shuffle (the daily totals would need one)
+        lo, hi = date_bounds(obs.where(F.col(S.SERIES).isNotNull() & F.col(S.DT).isNotNull()))
         start = lo if start is None else start
         end = hi if end is None else end
     dense = fill_gaps(daily, start, end)

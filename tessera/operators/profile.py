@@ -91,7 +91,9 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     a constant column (S_ii = 0) gives null.  The k x k result is mirrored
     with ``stack``.
     """
-    x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    from tessera.operators.models import reliable
+    # both passes read the narrow numeric projection, materialised once
+    x = reliable(df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]))
     means = x.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(len(cols))]).first()
     cen = x.select(*[(F.col(f"x{i}") - F.lit(means[f"m{i}"])).alias(f"d{i}")
                      for i in range(len(cols))])

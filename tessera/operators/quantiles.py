@@ -25,9 +25,8 @@ from pyspark.sql import functions as F
 
 
 def _small(df: DataFrame) -> DataFrame:
-    from tessera.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from tessera.operators.models import reliable
+    return reliable(df)
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, grid: int = 1000,
