@@ -14,25 +14,35 @@ def null_columns(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if row[c]]
 
 
-def fill_rules(df: DataFrame, cols: list[str], only_null_cols: bool = True) -> DataFrame:
+def fill_rules(df: DataFrame, cols: list[str], only_null_cols: bool = True,
+               rolling_fill: str = "mean") -> DataFrame:
     """Fill by column name: 'lag' -> last known value of the same series
     (forward fill), 'rolling' -> column mean, other -> 0; anything left -> 0.
 
+    ``rolling_fill="last30"`` fills rolling columns with the mean of the last
+    30 known values of the same series instead of the column mean.
     The forward fill runs per series (it never carries a value across series).
     Column means come from one aggregation of bounded size (one value per column).
     """
     targets = null_columns(df, cols) if only_null_cols else list(cols)
     roll = [c for c in targets if "lag" not in c and "rolling" in c]
     means = {}
-    if roll:
+    if roll and rolling_fill == "mean":
         row = df.agg(*[F.avg(c).alias(c) for c in roll]).first()
         means = {c: row[c] for c in roll}
     w = (Window.partitionBy(S.SERIES).orderBy(S.DT)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    back = (Window.partitionBy(S.SERIES).orderBy(F.col(S.DT).desc())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    whole = Window.partitionBy(S.SERIES)
     out = {}
     for c in targets:
         if "lag" in c:
             e = F.last(F.col(c), ignorenulls=True).over(w)
+        elif "rolling" in c and rolling_fill == "last30":
+            known_from_end = F.count(F.col(c)).over(back)
+            tail_mean = F.avg(F.when(F.col(c).isNotNull() & (known_from_end <= 30), F.col(c))).over(whole)
+            e = F.coalesce(F.col(c), tail_mean)
         elif "rolling" in c:
             e = F.coalesce(F.col(c), F.lit(means[c]))
         else:
