@@ -24,12 +24,16 @@ def fill_rules(df: DataFrame, cols: list[str], only_null_cols: bool = True,
     The forward fill runs per series (it never carries a value across series).
     Column means come from one aggregation of bounded size (one value per column).
     """
-    targets = null_columns(df, cols) if only_null_cols else list(cols)
-    roll = [c for c in targets if "lag" not in c and "rolling" in c]
-    means = {}
-    if roll and rolling_fill == "mean":
-        row = df.agg(*[F.avg(c).alias(c) for c in roll]).first()
-        means = {c: row[c] for c in roll}
+    # one aggregation answers both questions: which columns hold nulls, and
+    # the mean of every rolling column (the upstream plan runs once for it)
+    roll_all = [c for c in cols if "lag" not in c and "rolling" in c]
+    aggs = [F.max(F.col(c).isNull().cast("int")).alias(f"n_{c}") for c in cols]
+    if rolling_fill == "mean":
+        aggs += [F.avg(c).alias(f"m_{c}") for c in roll_all]
+    row = df.agg(*aggs).first()
+    targets = [c for c in cols if row[f"n_{c}"]] if only_null_cols else list(cols)
+    roll = [c for c in targets if c in roll_all]
+    means = {c: row[f"m_{c}"] for c in roll} if rolling_fill == "mean" else {}
     w = (Window.partitionBy(S.SERIES).orderBy(S.DT)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     back = (Window.partitionBy(S.SERIES).orderBy(F.col(S.DT).desc())
