@@ -92,3 +92,16 @@ def read_report_comparison(spark: SparkSession, path: str,
     cells = block.select("file", "pos", F.posexplode(F.split(F.trim("line"), r"\s+"))
                          .alias("col_no", "cell"))
     return cells
+
+
+def load_forecasts(spark: SparkSession, path: str, prediction_cols: list[str]) -> DataFrame | None:
+    """Read a forecast table (CSV with header) with an explicit schema; None when missing."""
+    fields = [T.StructField(S.DT, T.DateType()), T.StructField(S.SERIES, T.StringType()),
+              T.StructField(S.SERIES_NAME, T.StringType())]
+    fields += [T.StructField(c, T.DoubleType()) for c in prediction_cols]
+    try:
+        return load_table(spark, path, schema=T.StructType(fields))
+    except Exception as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            return None
+        raise

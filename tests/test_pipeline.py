@@ -94,3 +94,15 @@ def test_complete_pipeline_small_models(spark):
     imp = out["charts"]["feature_importance"].collect()
     assert len(imp) <= 15 and all(r.importance >= 0 for r in imp)
     assert out["report"].count() > 20
+
+
+def test_forecast_csv_roundtrip(spark, tmp_path):
+    from tessera.sources import io
+    rows = [(dt.date(2024, 1, d), "s1", "one", float(d), float(2 * d)) for d in range(1, 4)]
+    df = spark.createDataFrame(rows, "dt date, series_id string, series_name string, "
+                                     "a_prediction double, b_prediction double")
+    p = str(tmp_path / "forecasts.csv")
+    io.save_table(df.coalesce(1), p)
+    back = io.load_forecasts(spark, p, ["a_prediction", "b_prediction"])
+    assert sorted(back.collect()) == sorted(df.collect())
+    assert io.load_forecasts(spark, str(tmp_path / "missing.csv"), ["a_prediction"]) is None
