@@ -195,7 +195,7 @@ def sequence_dataset(df: DataFrame, feature_cols: list[str], length: int = S.SEQ
 
 
 def sequence_regression(df: DataFrame, feature_cols: list[str], length: int = S.SEQUENCE_LENGTH,
-                        max_iter: int = 50, validation_split: float = 0.2, tol: float = 0.01,
+                        max_iter: int = 50, validation_split: float = 0.2, tol: float = 0.0,
                         seed: int = 42):
     """Predict y from the ``length`` preceding feature rows with boosted trees,
     stopping early on the validation tail; returns (model, predictions in the

@@ -19,14 +19,18 @@ from tessera.session import shared_path
 _MEMO: dict[str, PipelineModel] = {}
 
 
-def _key(sf_dir: str, name: str, tag: str) -> str:
-    h = hashlib.sha1(f"{__version__}|{sf_dir.rstrip('/')}|{tag}".encode()).hexdigest()[:16]
+def _key(sf_dir: str, name: str, tag: str, cols) -> str:
+    """Store key: input folder, tag, feature list and the model parameters, so a
+    change of any of them fits a new model instead of reusing a stale one."""
+    from tessera import schema as S
+    spec = f"{__version__}|{sf_dir.rstrip('/')}|{tag}|{','.join(cols)}|{S.RF_PARAMS}|{S.GBT_PARAMS}"
+    h = hashlib.sha1(spec.encode()).hexdigest()[:16]
     return f"models/{h}/{name}"
 
 
 def get_model(spark: SparkSession, sf_dir: str, name: str, train_fn, cols, tag: str = "panel") -> PipelineModel:
     """``train_fn()`` returns the training frame; fitted only when no saved model exists."""
-    path = shared_path(spark, _key(sf_dir, name, tag))
+    path = shared_path(spark, _key(sf_dir, name, tag, cols))
     if path in _MEMO:
         return _MEMO[path]
     try:
