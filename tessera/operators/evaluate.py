@@ -21,12 +21,12 @@ from tessera.operators.quantiles import exact_median
 INF = float("inf")
 
 
-def to_long(wide: DataFrame, pred_cols: dict[str, str], y: str = S.Y) -> DataFrame:
-    """Wide predictions -> long (model, series_id, dt, y, yhat) with ``stack``."""
+def to_long(wide: DataFrame, pred_cols: dict[str, str], y: str = S.Y, keep=()) -> DataFrame:
+    """Wide predictions -> long (model, series_id, dt, y, yhat, *keep) with ``stack``."""
     parts = ", ".join(f"'{m}', CAST({c} AS DOUBLE)" for m, c in pred_cols.items())
-    return wide.selectExpr(S.SERIES, S.DT, f"CAST({y} AS DOUBLE) AS y",
+    return wide.selectExpr(S.SERIES, S.DT, f"CAST({y} AS DOUBLE) AS y", *keep,
                            f"stack({len(pred_cols)}, {parts}) AS (model, yhat)") \
-        .select("model", S.SERIES, S.DT, "y", "yhat")
+        .select("model", S.SERIES, S.DT, "y", "yhat", *keep)
 
 
 def valid_pairs(long: DataFrame) -> DataFrame:

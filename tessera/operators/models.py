@@ -126,7 +126,7 @@ def ts_folds(df: DataFrame, n_splits: int = S.CV_FOLDS, by: str = "row") -> Data
         indexed = _date_index(df)
     else:
         raise ValueError("by must be 'row' or 'date'")
-    total = df.count()
+    total = indexed.agg(F.count(F.lit(1))).first()[0]
     t = total // (n_splits + 1)
     first = total - n_splits * t
     fold = F.when(F.col("global_idx") >= first,

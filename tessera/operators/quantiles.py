@@ -44,6 +44,16 @@ def exact_median(df: DataFrame, keys: list[str], value: str, grid: int = 1000,
         (F.col("_n") / 2).cast("long").alias("_k2"), F.lit(0).cast("long").alias("_below")))
     pool = v
     parts = []
+    # direct path: when every group already fits the bounded collect, pick the
+    # middle ranks at once (no bracketing rounds)
+    largest = state.agg(F.max(F.col("_k1") + F.col("_k2") + 1)).first()[0]  # = max group size
+    if largest is not None and largest <= max_bracket:
+        whole = (v.groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_a"))
+                 .join(state, keys))
+        picked = whole.select(*keys, ((F.element_at("_a", (F.col("_k1") + 1).cast("int"))
+                                       + F.element_at("_a", (F.col("_k2") + 1).cast("int"))) / 2)
+                              .alias("median"))
+        return state_keys.join(picked, keys, "left")
     for _ in range(max_rounds):
         g = pool.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"),
                                     F.percentile_approx("_v", fractions, accuracy).alias("_g"))

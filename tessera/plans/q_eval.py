@@ -183,8 +183,7 @@ SELECT model, {Q.rsig('avg(rmse)')} AS cv_rmse_mean, {Q.rsig('stddev_pop(rmse)')
 def cv_summary(spark, sf_dir):
     """Fold RMSE of each naive model on the five test blocks: mean and population std."""
     folded, total, t = mdl.ts_folds(orders_processed(spark, sf_dir))
-    long = ev.to_long(folded.where(F.col("test_fold").isNotNull()), NAIVE) \
-        .join(folded.select(S.SERIES, S.DT, "test_fold"), [S.SERIES, S.DT])
+    long = ev.to_long(folded.where(F.col("test_fold").isNotNull()), NAIVE, keep=["test_fold"])
     per_fold = long.groupBy("model", "test_fold").agg(
         F.sqrt(F.avg(F.pow(F.col("y") - F.col("yhat"), 2))).alias("rmse"))
     s = per_fold.groupBy("model").agg(F.avg("rmse").alias("cv_rmse_mean"),

@@ -107,3 +107,5 @@ def test_exact_median_multi_round_with_ties(spark):
     for g in {r[0] for r in rows}:
         exp[g] = statistics.median([x for k, x in rows if k == g])
     assert got == exp
+    direct = {r.g: r.median for r in exact_median(df, ["g"], "x").collect()}
+    assert direct == exp
