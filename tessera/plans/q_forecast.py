@@ -144,9 +144,12 @@ def forecast_run(spark, sf_dir):
 
 @query("evaluation_run")
 def evaluation_run(spark, sf_dir):
-    """Score the stored pipelines on the panel, keep valid pairs, compare and rank."""
+    """Score the stored pipelines and the sequence model on the panel (key-aligned),
+    keep valid pairs, compare and rank."""
     models = stored_models(spark, sf_dir)
     df = training_frame(spark, sf_dir)
     wide = fc.score(models, df, keys=(S.SERIES, S.DT, "label"))
     long = ev.to_long(wide, {n: f"{n}_prediction" for n in models}, y="label")
-    return ev.ranking(ev.metrics(ev.valid_pairs(long))).orderBy("rank")
+    _, seq, _ = fc.sequence_regression(orders_processed(spark, sf_dir), [S.Y] + _FEATS)
+    seq_long = seq.select(F.lit("sequence_model").alias("model"), S.SERIES, S.DT, S.Y, "yhat")
+    return ev.ranking(ev.metrics(ev.valid_pairs(long.unionByName(seq_long)))).orderBy("rank")
