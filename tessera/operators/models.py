@@ -75,12 +75,15 @@ def make_pipeline(name: str, cols: list[str], params: dict | None = None) -> Pip
             LinearRegression(featuresCol="features", labelCol="label", solver="normal",
                              regParam=0.0, **params)])
     assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error")
+    # engine settings (not model parameters): keep per-row node ids cached between
+    # tree levels and checkpoint them every 10 iterations into spark.checkpoint.dir
+    engine = dict(cacheNodeIds=True, checkpointInterval=10)
     if name == "random_forest":
-        p = dict(S.RF_PARAMS, featureSubsetStrategy="all")
+        p = dict(S.RF_PARAMS, featureSubsetStrategy="all", **engine)
         p.update(params)
         return Pipeline(stages=[assembler, RandomForestRegressor(labelCol="label", **p)])
     if name == "gradient_boosting":
-        p = dict(S.GBT_PARAMS)
+        p = dict(S.GBT_PARAMS, **engine)
         p.update(params)
         return Pipeline(stages=[assembler, GBTRegressor(labelCol="label", **p)])
     raise ValueError(f"unknown model {name}")
@@ -91,6 +94,8 @@ def pipeline_columns(name: str, df: DataFrame, cols: list[str]) -> list[str]:
 
 
 def fit(name: str, df: DataFrame, cols: list[str], params: dict | None = None) -> PipelineModel:
+    from tessera.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     return make_pipeline(name, pipeline_columns(name, df, cols), params).fit(df)
 
 
