@@ -184,3 +184,11 @@ def quality_checks(panel: DataFrame, lo: float = 0.0, hi: float | None = None) -
         F.sum("k").alias("n_rows"), F.sum("nulls").alias("null_y"), F.sum("neg").alias("below_range"),
         F.sum("high").alias("above_range"), F.sum(F.col("k") - 1).alias("duplicate_rows"),
         (F.datediff(F.max(S.DT), F.min(S.DT)) + 1 - F.count(F.lit(1))).alias("missing_days"))
+
+
+def reference_segment_dim(spark) -> DataFrame:
+    """The original five road segments with their generator parameters (fixed values)."""
+    return spark.createDataFrame(
+        S.REFERENCE_SEGMENTS,
+        "segment_id string, name string, base_aadt long, growth_rate double, "
+        "seasonal_factor double, noise_level double")

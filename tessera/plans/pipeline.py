@@ -23,7 +23,9 @@ def run_data_processing(spark: SparkSession, sf_dir: str, start=None, end=None,
     """Panel + processed panel (materialised, reused when present), summary, null counts."""
     obs = tables.OBSERVATION_SOURCES[source](spark, sf_dir)
     raw = pnl.build_panel(obs, start, end)
-    path = materialise_to or shared_path(spark, f"processed-{abs(hash((sf_dir, source, start, end)))}.parquet")
+    import hashlib
+    digest = hashlib.sha1(f"{sf_dir.rstrip('/')}|{source}|{start}|{end}".encode()).hexdigest()[:16]
+    path = materialise_to or shared_path(spark, f"processed-{digest}.parquet")
     processed = io.load_or_compute(spark, path, lambda: feat.processed_panel(raw))
     return {"panel": raw, "processed": processed, "summary": prof.data_summary(processed),
             "null_counts": prof.null_counts(processed)}

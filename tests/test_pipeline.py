@@ -106,3 +106,21 @@ def test_forecast_csv_roundtrip(spark, tmp_path):
     back = io.load_forecasts(spark, p, ["a_prediction", "b_prediction"])
     assert sorted(back.collect()) == sorted(df.collect())
     assert io.load_forecasts(spark, str(tmp_path / "missing.csv"), ["a_prediction"]) is None
+
+
+def test_date_ordered_folds_never_test_before_train(spark):
+    rows = [(s, d, i) for s in ("a", "b", "c") for i, d in enumerate(_days("2024-01-01", 12))]
+    folded, total, t = mdl.ts_folds(panel_from_rows(spark, rows), 5, by="date")
+    assert (total, t) == (36, 6)
+    got = folded.collect()
+    for f in range(5):
+        test_days = [r.dt for r in got if r.test_fold == f]
+        start = min(r.global_idx for r in got if r.test_fold == f)
+        train_days = [r.dt for r in got if r.global_idx < start]
+        assert max(train_days) <= min(test_days)
+
+
+def test_reference_segment_dim(spark):
+    from tessera.operators.profile import reference_segment_dim
+    rows = reference_segment_dim(spark).collect()
+    assert len(rows) == 5 and rows[1].base_aadt == 95000
