@@ -13,7 +13,6 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera import schema as S
 from tessera.operators import panel as pnl
@@ -151,18 +150,6 @@ def _date_index(df: DataFrame) -> DataFrame:
             .drop("_off", "_pos"))
 
 
-def fold_summary(folded: DataFrame, total: int, t: int, n_splits: int = S.CV_FOLDS) -> DataFrame:
-    first = total - n_splits * t
-    spark = folded.sparkSession
-    folds = spark.range(n_splits).select(F.col("id").cast("int").alias("fold"))
-    return folds.select(
-        "fold",
-        (F.lit(first) + F.col("fold") * t).cast("long").alias("train_rows"),
-        F.lit(t).cast("long").alias("test_rows"),
-        (F.lit(first) + F.col("fold") * t).cast("long").alias("test_start_idx"),
-        (F.lit(first) + (F.col("fold") + 1) * t - 1).cast("long").alias("test_end_idx"))
-
-
 def cross_validate(name: str, df: DataFrame, cols: list[str], n_splits: int = S.CV_FOLDS,
                    by: str = "row", params: dict | None = None) -> DataFrame:
     """RMSE per fold of pipeline ``name`` on time-ordered folds."""
@@ -250,9 +237,3 @@ def save_models(models: dict[str, PipelineModel], path: str) -> str:
 
 def load_models(path: str, names=MODEL_NAMES) -> dict[str, PipelineModel]:
     return {n: PipelineModel.load(f"{path.rstrip('/')}/{n}") for n in names}
-
-
-LONG_SCHEMA = T.StructType([
-    T.StructField("model", T.StringType()), T.StructField(S.SERIES, T.StringType()),
-    T.StructField(S.DT, T.DateType()), T.StructField(S.Y, T.DoubleType()),
-    T.StructField("yhat", T.DoubleType())])

@@ -131,10 +131,6 @@ def recent_rows_series(panel: DataFrame, series: str, k: int = 30) -> DataFrame:
     return panel.where(F.col(S.SERIES) == series).orderBy(F.col(S.DT).desc()).limit(k)
 
 
-def top_k(df: DataFrame, col: str, k: int, tie: str) -> DataFrame:
-    return df.orderBy(F.col(col).desc(), F.col(tie)).limit(k)
-
-
 def series_parameters(panel: DataFrame) -> DataFrame:
     """Per-series generator parameters estimated from the data.
 
