@@ -83,38 +83,39 @@ def series_profile(panel: DataFrame) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation for every ordered column pair.
-
-    Two passes, both single aggregations: the column means, then the sums of
-    centred cross products for the k(k+1)/2 distinct pairs (centering with the
-    means keeps the sums free of cancellation).  r = S_ij / sqrt(S_ii * S_jj);
-    a constant column (S_ii = 0) gives null.  The k x k result is mirrored
-    with ``stack``.
+    """Pearson correlation for every ordered column pair, long form
+    (col_a, pos_a, col_b, pos_b, corr).
+
+    Two distributed passes over the narrow numeric projection (materialised
+    once): the column means / min / max, then Spark ML's ``Correlation`` on
+    the mean-centred vectors (one tree aggregation of the k x k Gram matrix;
+    centring keeps it free of cancellation).  A constant column gets null
+    correlations; rows with a missing value are skipped.  Only the k x k
+    result (bounded by the number of columns)
+    reaches the driver.
     """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
     from tessera.operators.models import reliable
-    # both passes read the narrow numeric projection, materialised once
+    k = len(cols)
     x = reliable(df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]))
-    means = x.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(len(cols))]).first()
-    cen = x.select(*[(F.col(f"x{i}") - F.lit(means[f"m{i}"])).alias(f"d{i}")
-                     for i in range(len(cols))])
-    aggs, pairs = [], []
-    for i in range(len(cols)):
-        for j in range(i, len(cols)):
-            aggs.append(F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"c{i}_{j}"))
-            if j > i:
-                pairs.append((i, j))
-    one = cen.agg(*aggs)
-    exprs = []
-    for i in range(len(cols)):
-        exprs.append(f"'{cols[i]}', {i}, '{cols[i]}', {i}, "
-                     f"CASE WHEN c{i}_{i} = 0 THEN NULL ELSE CAST(1.0 AS DOUBLE) END")
-    for i, j in pairs:
-        r = f"try_divide(c{i}_{j}, sqrt(c{i}_{i} * c{j}_{j}))"
-        exprs.append(f"'{cols[i]}', {i}, '{cols[j]}', {j}, {r}")
-        exprs.append(f"'{cols[j]}', {j}, '{cols[i]}', {i}, {r}")
-    return one.selectExpr(f"stack({len(exprs)}, {', '.join(exprs)}) "
-                          "AS (col_a, pos_a, col_b, pos_b, corr)") \
-        .withColumns({"pos_a": F.col("pos_a").cast("int"), "pos_b": F.col("pos_b").cast("int")})
+    st = x.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(k)],
+               *[(F.max(f"x{i}") == F.min(f"x{i}")).alias(f"c{i}") for i in range(k)]).first()
+    const = [bool(st[f"c{i}"]) for i in range(k)]
+    cen = x.select(*[(F.col(f"x{i}") - F.lit(st[f"m{i}"])).alias(f"d{i}") for i in range(k)])
+    vec = VectorAssembler(inputCols=[f"d{i}" for i in range(k)], outputCol="_v",
+                          handleInvalid="skip").transform(cen).select("_v")
+    mat = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    rows = []
+    for i in range(k):
+        for j in range(k):
+            r = None if const[i] or const[j] else float(mat[i][j])
+            if r is not None and r != r:  # NaN
+                r = None
+            rows.append((cols[i], i, cols[j], j, 1.0 if i == j and r is not None else r))
+    return df.sparkSession.createDataFrame(
+        rows, "col_a string, pos_a int, col_b string, pos_b int, corr double")
 
 
 def lower_triangle(corr: DataFrame) -> DataFrame:
