@@ -23,7 +23,7 @@ def daily_stream(spark: SparkSession, source_dir: str, file_glob: str, schema,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(source_dir)
-    ts = F.col(ts_col).cast("timestamp") if schema[ts_col].dataType.typeName() == "timestamp_ntz" \
+    ts = utc_instant(F.col(ts_col)) if schema[ts_col].dataType.typeName() == "timestamp_ntz" \
         else F.col(ts_col)
     return (events.select(ts.alias("ts"), F.col(series_col).alias(S.SERIES),
                           F.col(value_col).cast("decimal(18,2)").alias("amount"))
@@ -32,9 +32,27 @@ def daily_stream(spark: SparkSession, source_dir: str, file_glob: str, schema,
             .agg(F.count(F.lit(1)).alias("n_events"), F.sum("amount").alias("amount")))
 
 
+def utc_instant(ntz):
+    """TIMESTAMP whose UTC wall clock equals the TIMESTAMP_NTZ wall clock.
+
+    Watermarks need TIMESTAMP; a plain cast would read the wall clock in the
+    session time zone and shift the day windows.  Built from time-zone-free
+    parts (unix day, hour, minute, seconds with fraction).
+    """
+    micros = (F.unix_date(F.to_date(ntz)).cast("long") * 86_400_000_000
+              + F.hour(ntz).cast("long") * 3_600_000_000 + F.minute(ntz).cast("long") * 60_000_000
+              + (F.date_part(F.lit("SECOND"), ntz) * 1_000_000).cast("long"))
+    return F.timestamp_micros(micros)
+
+
+def window_day(start):
+    """Day of a UTC-aligned window start, independent of the session time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(start) / F.lit(86_400_000_000)).cast("int"))
+
+
 def _writer(sink_dir: str):
     def write(batch: DataFrame, batch_id: int):
-        (batch.select(S.SERIES, F.to_date(F.col("w.start")).alias(S.DT), "n_events", "amount",
+        (batch.select(S.SERIES, window_day(F.col("w.start")).alias(S.DT), "n_events", "amount",
                       F.lit(batch_id).cast("long").alias("batch_id"))
          .write.mode("overwrite").parquet(f"{sink_dir}/batch={batch_id}"))
     return write

@@ -48,3 +48,20 @@ def test_late_data_updates_and_watermark_drops(spark, tmp_path):
     got = _totals(spark, sink)
     assert got[("view", "2024-01-02")] == (1, 4.0)
     assert got[("view", "2024-01-11")] == (1, 1.0)
+
+
+def test_day_windows_ignore_session_time_zone(spark, tmp_path):
+    src, sink, ckpt = tmp_path / "src", str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    src.mkdir()
+    _write(src / "a.parquet", [(dt.datetime(2024, 1, 1, 0, 30), "click", 1.0),
+                               (dt.datetime(2024, 1, 1, 23, 30), "click", 2.0),
+                               (dt.datetime(2024, 1, 2, 0, 10), "click", 4.0)])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        stream = live.daily_stream(spark, str(src), "*.parquet", SCHEMA, "ts", "event_type", "value")
+        live.run_to_completion(stream, sink, ckpt)
+        got = _totals(spark, sink)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {("click", "2024-01-01"): (2, 3.0), ("click", "2024-01-02"): (1, 4.0)}
