@@ -61,12 +61,17 @@ def direction_counts(long: DataFrame, across_series: bool = True) -> DataFrame:
                                       .alias("agree"))
     if not across_series:
         return cnt
+    from tessera.operators.positions import exclusive_prefix_sum
     ends = long.groupBy("model", S.SERIES).agg(
         F.min_by(F.struct("y", "yhat"), S.DT).alias("first"),
-        F.max_by(F.struct("y", "yhat"), S.DT).alias("last"))
-    sw = Window.partitionBy("model").orderBy(S.SERIES)
-    prev = ends.select("model", "first", F.lag("last").over(sw).alias("prev"))
-    edges = prev.where(F.col("prev").isNotNull()).select(
+        F.max_by(F.struct("y", "yhat"), S.DT).alias("last"),
+        F.lit(1).alias("_one"))
+    # series rank inside each model (distributed), then pair rank r with r - 1
+    ranked = exclusive_prefix_sum(ends, [S.SERIES], "_one", "_r", group_cols=["model"])
+    prev = ranked.select("model", "first", "_r").join(
+        ranked.select("model", (F.col("_r") + 1).alias("_r"), F.col("last").alias("prev")),
+        ["model", "_r"])
+    edges = prev.select(
         "model",
         ((F.col("first.y") - F.col("prev.y") > 0) == (F.col("first.yhat") - F.col("prev.yhat") > 0))
         .alias("agree"))

@@ -142,9 +142,9 @@ def _date_index(df: DataFrame) -> DataFrame:
     """0-based position in (dt, series_id) order: rank inside the day + rows of earlier days."""
     w = Window.partitionBy(S.DT).orderBy(S.SERIES)
     ranked = df.withColumn("_pos", F.row_number().over(w) - 1)
+    from tessera.operators.positions import exclusive_prefix_sum
     counts = df.groupBy(S.DT).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(S.DT, F.sum("_n").over(
-        Window.orderBy(S.DT).rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    offsets = exclusive_prefix_sum(counts, [S.DT], "_n", "_off").select(S.DT, "_off")
     return (ranked.join(offsets, S.DT)
             .withColumn("global_idx", F.coalesce("_off", F.lit(0)) + F.col("_pos"))
             .drop("_off", "_pos"))

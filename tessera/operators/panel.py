@@ -122,18 +122,17 @@ def with_global_index(panel: DataFrame, order_cols=(S.SERIES, S.DT)) -> DataFram
     """0-based row position in the (series_id, dt) order without a global sort.
 
     Position = rank inside the series + number of rows of all earlier series.
-    The per-series counts table has one row per series; its running sum is a
-    window over that small table, joined back on series_id (the panel side is
-    already partitioned by series_id, so only the small side moves).
+    The per-series counts table (one row per series) gets a distributed
+    exclusive running sum (``positions.exclusive_prefix_sum``), so even a very
+    large number of series never meets in one task; it is joined back on
+    series_id.
     """
+    from tessera.operators.positions import exclusive_prefix_sum
     series_col = order_cols[0]
     w = Window.partitionBy(series_col).orderBy(*order_cols[1:])
     ranked = panel.withColumn("_pos_in_series", F.row_number().over(w) - 1)
     counts = panel.groupBy(series_col).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        series_col,
-        (F.sum("_n").over(Window.orderBy(series_col)
-                          .rowsBetween(Window.unboundedPreceding, -1))).alias("_offset"))
+    offsets = exclusive_prefix_sum(counts, [series_col], "_n", "_offset").select(series_col, "_offset")
     return (ranked.join(offsets, series_col)
             .withColumn("global_idx", F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_pos_in_series"))
             .drop("_offset", "_pos_in_series"))

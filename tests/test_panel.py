@@ -64,3 +64,22 @@ def test_lookback_rewrite_is_exact(spark):
     padded, keep = pnl.with_lookback(p, "2024-03-01", "2024-04-30")
     fast = feat.add_features(padded).where(keep)
     assert sorted(full.collect()) == sorted(fast.collect())
+
+
+def test_exclusive_prefix_sum_groups_and_hot_key(spark):
+    import random
+
+    from tessera.operators.positions import exclusive_prefix_sum
+    rnd = random.Random(5)
+    rows = [("hot", i, rnd.randint(1, 9)) for i in range(300)]
+    rows += [(g, i, rnd.randint(1, 9)) for g in ("a", "b") for i in range(20)]
+    df = spark.createDataFrame(rows, "g string, k int, v int")
+    out = exclusive_prefix_sum(df, ["k"], "v", "before", group_cols=["g"], num_partitions=7).collect()
+    got = {(r.g, r.k): r.before for r in out}
+    exp, run = {}, {}
+    for g, k, v in sorted(rows):
+        exp[(g, k)] = run.get(g, 0)
+        run[g] = run.get(g, 0) + v
+    assert got == exp
+    flat = exclusive_prefix_sum(df.where("g = 'hot'"), ["k"], "v", "before", num_partitions=5).collect()
+    assert {r.k: r.before for r in flat} == {k: b for (g, k), b in exp.items() if g == "hot"}
