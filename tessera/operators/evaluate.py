@@ -223,7 +223,7 @@ def report_lines(metrics_df: DataFrame, title: str = "PANEL FORECASTING - MODEL
     rule = "=" * 60
     dash = "-" * 40
     head = [rule, title, rule, "", "MODEL PERFORMANCE COMPARISON", dash]
-    cols = ["model"] + S.METRIC_COLS
+    cols = ["Model"] + S.METRIC_COLS
     header = " ".join(f"{c:>20}" for c in cols)
     fixed = spark.createDataFrame([(i, s) for i, s in enumerate(head)] + [(len(head), header)],
                                   "line_no int, line string")

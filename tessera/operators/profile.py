@@ -169,18 +169,23 @@ def expected_volume(panel: DataFrame, params: DataFrame) -> DataFrame:
                     F.try_divide(F.col(S.Y), exp).alias("ratio"))
 
 
-def quality_checks(panel: DataFrame, lo: float = 0.0, hi: float | None = None) -> DataFrame:
-    """One-pass data-quality counts per series: rows, null y, negative / out-of-range y,
-    duplicate keys and missing days between first and last date."""
-    per_key = panel.groupBy(S.SERIES, S.DT).agg(F.count(F.lit(1)).alias("k"),
-                                               F.sum(F.col(S.Y).isNull().cast("long")).alias("nulls"),
-                                               F.sum((F.col(S.Y) < lo).cast("long")).alias("neg"),
-                                               F.sum((F.col(S.Y) > hi).cast("long") if hi is not None
-                                                     else F.lit(0)).alias("high"))
+def quality_checks(obs: DataFrame, value_col: str = "amount", lo: float = 0.0,
+                   hi: float | None = None) -> DataFrame:
+    """One-pass data-quality counts per series over raw observations
+    (series_id, dt, value): rows, missing values, values below / above the
+    allowed range, rows sharing a (series, day) key with an earlier row, and
+    calendar days without any row between the first and last day."""
+    v = F.col(value_col)
+    per_key = obs.groupBy(S.SERIES, S.DT).agg(
+        F.count(F.lit(1)).alias("k"),
+        F.sum(v.isNull().cast("long")).alias("nulls"),
+        F.sum((v < lo).cast("long")).alias("low"),
+        F.sum((v > hi).cast("long") if hi is not None else F.lit(0).cast("long")).alias("high"))
     return per_key.groupBy(S.SERIES).agg(
-        F.sum("k").alias("n_rows"), F.sum("nulls").alias("null_y"), F.sum("neg").alias("below_range"),
-        F.sum("high").alias("above_range"), F.sum(F.col("k") - 1).alias("duplicate_rows"),
-        (F.datediff(F.max(S.DT), F.min(S.DT)) + 1 - F.count(F.lit(1))).alias("missing_days"))
+        F.sum("k").cast("long").alias("n_rows"), F.sum("nulls").cast("long").alias("null_values"),
+        F.sum("low").cast("long").alias("below_range"), F.sum("high").cast("long").alias("above_range"),
+        F.sum(F.col("k") - 1).cast("long").alias("duplicate_rows"),
+        (F.datediff(F.max(S.DT), F.min(S.DT)) + 1 - F.count(F.lit(1))).cast("long").alias("missing_days"))
 
 
 def reference_segment_dim(spark) -> DataFrame:

@@ -173,18 +173,21 @@ def expected_volume(spark, sf_dir):
     return out.withColumns({"expected_y": F.round("expected_y", 2), "ratio": F.round("ratio", 6)})
 
 
-@query("quality_checks", f"""{_P},
-k AS (SELECT series_id, dt, count(*) AS k, sum(CASE WHEN y IS NULL THEN 1 ELSE 0 END) AS nulls,
-  sum(CASE WHEN y < 0 THEN 1 ELSE 0 END) AS neg FROM panel GROUP BY 1, 2)
-SELECT series_id, CAST(sum(k) AS BIGINT) AS n_rows, CAST(sum(nulls) AS BIGINT) AS null_y, CAST(sum(neg) AS BIGINT) AS below_range,
-  CAST(0 AS BIGINT) AS above_range, CAST(sum(k - 1) AS BIGINT) AS duplicate_rows,
+@query("quality_checks", """WITH o AS (
+  SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS dt, CAST(o_totalprice AS DECIMAL(18,2)) AS amount
+  FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderdate IS NOT NULL),
+k AS (SELECT series_id, dt, count(*) AS k, sum(CASE WHEN amount IS NULL THEN 1 ELSE 0 END) AS nulls,
+  sum(CASE WHEN amount < 0 THEN 1 ELSE 0 END) AS low FROM o GROUP BY 1, 2)
+SELECT series_id, CAST(sum(k) AS BIGINT) AS n_rows, CAST(sum(nulls) AS BIGINT) AS null_values,
+  CAST(sum(low) AS BIGINT) AS below_range, CAST(0 AS BIGINT) AS above_range,
+  CAST(sum(k - 1) AS BIGINT) AS duplicate_rows,
   CAST(date_diff('day', min(dt), max(dt)) + 1 - count(*) AS BIGINT) AS missing_days
 FROM k GROUP BY 1""")
 def quality_checks(spark, sf_dir):
-    """Data-quality counts per series (nulls, negatives, duplicate keys, missing days)."""
-    q = prof.quality_checks(orders_panel(spark, sf_dir))
-    return q.select(S.SERIES, *[F.col(c).cast("long").alias(c) for c in
-                                ["n_rows", "null_y", "below_range", "above_range", "duplicate_rows", "missing_days"]])
+    """Data-quality counts per series on the raw order observations (missing values,
+    negatives, rows sharing a day, days without orders)."""
+    obs = tables.orders_observations(spark, sf_dir)
+    return prof.quality_checks(obs.where(F.col(S.SERIES).isNotNull() & F.col(S.DT).isNotNull()))
 
 
 @query("region_panel", f"""WITH {Q.panel_ctes(table="(SELECT r_name, o_orderdate, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)", series="r_name")}

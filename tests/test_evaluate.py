@@ -86,7 +86,7 @@ def test_report_lines_and_parse(spark, tmp_path):
     io.write_text_lines(lines, path)
     cells = io.read_report_comparison(spark, path)
     header = [r.cell for r in cells.orderBy("pos", "col_no").collect()][:9]
-    assert header == ["model", "MSE", "RMSE", "MAE", "MAPE", "MAPE_Median", "R2",
+    assert header == ["Model", "MSE", "RMSE", "MAE", "MAPE", "MAPE_Median", "R2",
                       "Directional_Accuracy", "Theil_U"]
     assert cells.select("pos").distinct().count() == 3  # header + 2 models
 
