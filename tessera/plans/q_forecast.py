@@ -138,7 +138,7 @@ def forecast_run(spark, sf_dir):
     out = wide.withColumn("ensemble_prediction", ev.weighted_sum(cols)).orderBy(S.SERIES, S.DT)
     from tessera.sources import io
     path = shared_path(spark, f"forecasts-{uuid.uuid4().hex}.csv")
-    io.save_table(out.coalesce(1), path)
+    io.save_table(out, path)  # a folder of part files: no single-task write at scale
     return out
 
 
