@@ -218,4 +218,90 @@ def sequence_regression(df: DataFrame, feature_cols: list[str], length: int = S.
     spark = df.sparkSession
     hist = spark.createDataFrame([(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(train_loss, val_loss))],
                                  "iter int, train_loss double, val_loss double")
+    model.tessera_ranges = ranges  # scaling used in training, needed to forecast
     return model, pred, hist
+
+
+def day_features(prev: Column, cur: Column, d: Column) -> dict[str, Column]:
+    """Feature row of day ``d`` whose value is ``cur``, given the values before
+    it (``prev``, oldest first): lags from ``prev``, rolling windows over the
+    last n values including ``cur`` - the same definitions as the history."""
+    c = cal.calendar_columns(d)
+    out = dict(c)
+    out["is_weekend"] = cal.is_weekend(d)
+    out["is_holiday"] = cal.is_holiday(d)
+    out.update(cal.cyclic_columns(c))
+    for k in S.LAGS + [S.YEAR_LAG]:
+        out[f"y_lag_{k}"] = F.try_element_at(prev, F.lit(-k))
+    with_cur = F.concat(prev, F.array(cur))
+    for n in S.ROLLING_WINDOWS:
+        st = _window_stats(with_cur, n)
+        out[f"y_rolling_mean_{n}"] = st["mean"]
+        out[f"y_rolling_std_{n}"] = st["std"]
+    mm = _window_stats(with_cur, S.MINMAX_WINDOW)
+    out[f"y_rolling_min_{S.MINMAX_WINDOW}"] = mm["min"]
+    out[f"y_rolling_max_{S.MINMAX_WINDOW}"] = mm["max"]
+    out[S.Y] = cur
+    return out
+
+
+def sequence_forecast(model, panel: DataFrame, feature_cols: list[str], horizon: int = S.FORECAST_DAYS,
+                      length: int = S.SEQUENCE_LENGTH, history: int = S.YEAR_LAG,
+                      materialise_every: int = 1) -> DataFrame:
+    """Multi-step forecast with the sequence model.
+
+    Per series the state holds the last ``history`` values and the last
+    ``length`` scaled feature rows.  Each step assembles the window into the
+    model's input vector, predicts (inverse-scaled), computes the new day's
+    feature row from the values so far plus the prediction, scales it and
+    rolls the window.  The per-series state (one row per series) is
+    materialised in the shared folder after every step: the step expressions
+    use the previous state many times, and without the cut the plan grows
+    with every step.
+    """
+    from pyspark.ml.functions import array_to_vector
+
+    from tessera.operators.models import reliable
+    ranges = model.tessera_ranges
+    lo_y, hi_y = ranges[S.Y]
+
+    def scaled(name: str, col: Column) -> Column:
+        lo, hi = ranges[name]
+        return F.coalesce(F.try_divide(col.cast("double") - F.lit(lo), F.lit(hi) - F.lit(lo)), F.lit(0.0))
+
+    feats = feat.add_features(panel.select(S.SERIES, S.SERIES_NAME, S.DT, S.Y))
+    row = F.array(*[scaled(c, F.col(c)) for c in feature_cols])
+    w = Window.partitionBy(S.SERIES).orderBy(F.col(S.DT).desc())
+    top = feats.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= history) \
+        .select(S.SERIES, S.DT, F.col(S.Y).cast("double").alias("_y"), row.alias("_row"), "_rn")
+    st = top.groupBy(S.SERIES).agg(
+        F.sort_array(F.collect_list(F.struct(S.DT, "_y"))).alias("_h"),
+        F.sort_array(F.collect_list(F.when(F.col("_rn") <= length, F.struct(S.DT, "_row")))).alias("_wnd"),
+        F.max(S.DT).alias("last_dt"))
+    state = st.where(F.size("_wnd") == length).select(
+        S.SERIES, "last_dt", F.transform("_h", lambda r: r["_y"]).alias("hist"),
+        F.transform("_wnd", lambda r: r["_row"]).alias("window"),
+        F.array().cast("array<double>").alias("out"))
+    for step in range(1, horizon + 1):
+        d = F.date_add(F.col("last_dt"), step)
+        x = state.withColumn("features", array_to_vector(F.flatten("window")))
+        pred = model.transform(x).select(
+            S.SERIES, "last_dt", "hist", "window", "out",
+            (F.col("prediction") * (hi_y - lo_y) + lo_y).alias("_yhat"))
+        # stage 1: the new day's feature values as named columns
+        f = day_features(F.col("hist"), F.col("_yhat"), d)
+        staged = pred.select(S.SERIES, "last_dt", "hist", "window", "out", "_yhat",
+                             *[f[c].alias(f"_f_{i}") for i, c in enumerate(feature_cols)])
+        # stage 2: scale, roll the window and the history
+        new_row = F.array(*[scaled(c, F.col(f"_f_{i}")) for i, c in enumerate(feature_cols)])
+        hist = F.concat(F.col("hist"), F.array("_yhat"))
+        state = staged.select(
+            S.SERIES, "last_dt",
+            F.when(F.size(hist) > history, F.slice(hist, 2, history)).otherwise(hist).alias("hist"),
+            F.concat(F.slice("window", 2, length - 1), F.array(new_row)).alias("window"),
+            F.concat("out", F.array("_yhat")).alias("out"))
+        if step % materialise_every == 0 and step < horizon:
+            state = reliable(state)
+    return state.select(S.SERIES, "last_dt", F.posexplode("out").alias("step", "yhat")).select(
+        S.SERIES, F.date_add("last_dt", F.col("step") + 1).alias(S.DT),
+        (F.col("step") + 1).alias("step"), "yhat")

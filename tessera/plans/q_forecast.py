@@ -126,14 +126,30 @@ def roll_forward(spark, sf_dir):
     return _roll(spark, sf_dir)
 
 
+def _sequence(spark, sf_dir):
+    cols = [S.Y] + _FEATS
+    model, _, _ = fc.sequence_regression(orders_processed(spark, sf_dir), cols)
+    return fc.sequence_forecast(model, orders_panel(spark, sf_dir), cols, H)
+
+
+@query("sequence_forecast")
+def sequence_forecast(spark, sf_dir):
+    """30-day forecast of the sequence model: each step predicts from the last 30 scaled
+    feature rows, derives the new day's features from the history plus the prediction
+    and rolls the window."""
+    return _sequence(spark, sf_dir)
+
+
 @query("forecast_run")
 def forecast_run(spark, sf_dir):
-    """Forecast table: three pipelines (direct) and the recursive linear forecast joined on
-    (dt, series_id), plus the equal-weight ensemble; also written as CSV to the shared folder."""
+    """Forecast table: three pipelines (direct), the recursive linear forecast and the
+    sequence model joined on (dt, series_id), plus the equal-weight ensemble; also written
+    as CSV to the shared folder."""
     import uuid
     direct = fc.predict_future(stored_models(spark, sf_dir), orders_panel(spark, sf_dir), H)
     rec = _roll(spark, sf_dir).select(S.DT, S.SERIES, F.col("yhat").alias("recursive_prediction"))
-    wide = direct.join(rec, [S.DT, S.SERIES], "inner")
+    seq = _sequence(spark, sf_dir).select(S.DT, S.SERIES, F.col("yhat").alias("sequence_prediction"))
+    wide = direct.join(rec, [S.DT, S.SERIES], "inner").join(seq, [S.DT, S.SERIES], "inner")
     cols = [c for c in wide.columns if "prediction" in c]
     out = wide.withColumn("ensemble_prediction", ev.weighted_sum(cols)).orderBy(S.SERIES, S.DT)
     from tessera.sources import io

@@ -43,3 +43,24 @@ def test_linear_pipeline_uses_top20_and_metrics_consistent(spark):
     r = metrics.first()
     assert math.isclose(r.RMSE ** 2, r.MSE, rel_tol=1e-12)
     assert r.n == df.count()
+
+
+def test_sequence_forecast_shape_and_determinism(spark):
+    import datetime as dt
+
+    from tessera.operators import clean, forecast as fc
+    from tests.conftest import panel_from_rows
+    d0 = dt.date(2024, 1, 1)
+    rows = [(s, (d0 + dt.timedelta(days=i)).isoformat(), 1000 + (i * (7 if s == "a" else 3)) % 50)
+            for s in ("a", "b") for i in range(60)]
+    panel = panel_from_rows(spark, rows)
+    train = clean.fill_rules(feat.add_features(panel), S.FEATURE_NAMES)
+    cols = [S.Y] + S.FEATURE_NAMES
+    model, pred, hist = fc.sequence_regression(train, cols, length=5, max_iter=3)
+    assert hist.count() >= 1 and pred.count() == 2 * (60 - 5)
+    out1 = fc.sequence_forecast(model, panel, cols, horizon=4, length=5).collect()
+    out2 = fc.sequence_forecast(model, panel, cols, horizon=4, length=5).collect()
+    assert sorted(out1) == sorted(out2)
+    assert sorted((r.series_id, r.step, r.dt.isoformat()) for r in out1) == sorted(
+        (s, k, (d0 + dt.timedelta(days=59 + k)).isoformat()) for s in ("a", "b") for k in range(1, 5))
+    assert all(r.yhat is not None for r in out1)
