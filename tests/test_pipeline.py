@@ -84,9 +84,11 @@ def test_load_or_compute_and_model_persistence(spark, tmp_path):
 def test_complete_pipeline_small_models(spark):
     from tessera.plans.pipeline import run_complete_pipeline
     params = {"random_forest": {"numTrees": 5, "maxDepth": 3}, "gradient_boosting": {"maxIter": 3, "maxDepth": 2}}
-    out = run_complete_pipeline(spark, SF001, forecast_days=5, model_params=params, cv=False)
+    out = run_complete_pipeline(spark, SF001, forecast_days=5, model_params=params, cv=False,
+                                sequence_params={"max_iter": 3, "length": 5})
     comp = out["comparison"].collect()
-    assert {r.model for r in comp} == set(mdl.MODEL_NAMES)
+    assert {r.model for r in comp} == set(mdl.MODEL_NAMES) | {"sequence_model"}
+    assert "sequence_prediction" in out["forecasts"].columns
     for r in comp:
         assert math.isclose(r.RMSE ** 2, r.MSE, rel_tol=1e-9)
     fc_rows = out["forecasts"].collect()
