@@ -25,11 +25,13 @@ def exclusive_prefix_sum(df: DataFrame, order_cols: list[str], value_col: str, o
                          group_cols: list[str] | tuple = (), num_partitions: int | None = None) -> DataFrame:
     from tessera.operators.models import reliable
 
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     group_cols = list(group_cols)
-    tagged = reliable(df.repartitionByRange(n, *group_cols, *order_cols)
-                      .withColumn("__pps_pid", F.spark_partition_id()))
+    # without an explicit count AQE may coalesce neighbouring ranges (partition
+    # ids stay in range order); either way there are at most
+    # spark.sql.shuffle.partitions ids
+    ranged = (df.repartitionByRange(num_partitions, *group_cols, *order_cols) if num_partitions
+              else df.repartitionByRange(*group_cols, *order_cols))
+    tagged = reliable(ranged.withColumn("__pps_pid", F.spark_partition_id()))
     before = Window.unboundedPreceding
     local_w = Window.partitionBy("__pps_pid", *group_cols).orderBy(*order_cols).rowsBetween(before, -1)
     local = tagged.withColumn("__pps_local", F.coalesce(F.sum(value_col).over(local_w), F.lit(0)))
@@ -38,7 +40,7 @@ def exclusive_prefix_sum(df: DataFrame, order_cols: list[str], value_col: str, o
     offsets = totals.select("__pps_pid", *group_cols,
                             F.coalesce(F.sum("__pps_tot").over(part_w), F.lit(0)).alias("__pps_off"))
     if not group_cols:
-        # at most num_partitions rows: a proven bound, safe to broadcast
+        # at most one row per partition id: a proven bound, safe to broadcast
         offsets = F.broadcast(offsets)
     return (local.join(offsets, ["__pps_pid", *group_cols])
             .withColumn(out_col, F.col("__pps_off") + F.col("__pps_local"))
