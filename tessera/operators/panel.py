@@ -122,20 +122,25 @@ def with_global_index(panel: DataFrame, order_cols=(S.SERIES, S.DT)) -> DataFram
     """0-based row position in the (series_id, dt) order without a global sort.
 
     Position = rank inside the series + number of rows of all earlier series.
-    The per-series counts table (one row per series) gets a distributed
-    exclusive running sum (``positions.exclusive_prefix_sum``), so even a very
-    large number of series never meets in one task; it is joined back on
-    series_id.
+    One window pass gives both the rank and the series size; that result is
+    materialised once in the shared folder (the input is computed once, and
+    callers that read the positions repeatedly - folds - read the table).
+    The one-row-per-series sizes get a distributed exclusive running sum
+    (``positions.exclusive_prefix_sum``), so a very large number of series
+    never meets in one task; it is joined back on series_id.
     """
+    from tessera.operators.models import reliable
     from tessera.operators.positions import exclusive_prefix_sum
     series_col = order_cols[0]
     w = Window.partitionBy(series_col).orderBy(*order_cols[1:])
-    ranked = panel.withColumn("_pos_in_series", F.row_number().over(w) - 1)
-    counts = panel.groupBy(series_col).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = reliable(panel.withColumns({
+        "_pos_in_series": F.row_number().over(w) - 1,
+        "_n": F.count(F.lit(1)).over(Window.partitionBy(series_col))}))
+    counts = ranked.where(F.col("_pos_in_series") == 0).select(series_col, "_n")
     offsets = exclusive_prefix_sum(counts, [series_col], "_n", "_offset").select(series_col, "_offset")
     return (ranked.join(offsets, series_col)
-            .withColumn("global_idx", F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_pos_in_series"))
-            .drop("_offset", "_pos_in_series"))
+            .withColumn("global_idx", F.col("_offset") + F.col("_pos_in_series"))
+            .drop("_offset", "_pos_in_series", "_n"))
 
 
 def filter_series(panel: DataFrame, series: str) -> DataFrame:
