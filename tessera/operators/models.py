@@ -139,15 +139,17 @@ def ts_folds(df: DataFrame, n_splits: int = S.CV_FOLDS, by: str = "row") -> Data
 
 
 def _date_index(df: DataFrame) -> DataFrame:
-    """0-based position in (dt, series_id) order: rank inside the day + rows of earlier days."""
-    w = Window.partitionBy(S.DT).orderBy(S.SERIES)
-    ranked = df.withColumn("_pos", F.row_number().over(w) - 1)
+    """0-based position in (dt, series_id) order: rank inside the day + rows of
+    earlier days (one window pass, materialised once, distributed prefix sum)."""
     from tessera.operators.positions import exclusive_prefix_sum
-    counts = df.groupBy(S.DT).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = reliable(df.withColumns({
+        "_pos": F.row_number().over(Window.partitionBy(S.DT).orderBy(S.SERIES)) - 1,
+        "_n": F.count(F.lit(1)).over(Window.partitionBy(S.DT))}))
+    counts = ranked.where(F.col("_pos") == 0).select(S.DT, "_n")
     offsets = exclusive_prefix_sum(counts, [S.DT], "_n", "_off").select(S.DT, "_off")
     return (ranked.join(offsets, S.DT)
-            .withColumn("global_idx", F.coalesce("_off", F.lit(0)) + F.col("_pos"))
-            .drop("_off", "_pos"))
+            .withColumn("global_idx", F.col("_off") + F.col("_pos"))
+            .drop("_off", "_pos", "_n"))
 
 
 def cross_validate(name: str, df: DataFrame, cols: list[str], n_splits: int = S.CV_FOLDS,
