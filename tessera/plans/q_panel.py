@@ -75,21 +75,21 @@ def rolling_minmax(spark, sf_dir):
     return _rolling(spark, sf_dir, _MINMAX)
 
 
-_FULL_SQL = f"""WITH {Q.panel_ctes()},
-r AS (SELECT series_id, dt, y,
-  count(y) OVER (PARTITION BY series_id ORDER BY dt ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS n,
-  avg(y) OVER (PARTITION BY series_id ORDER BY dt ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS m,
-  stddev_samp(y) OVER (PARTITION BY series_id ORDER BY dt ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS s
-  FROM panel)
-SELECT series_id, dt, y,
-  round(CASE WHEN n >= 30 THEN m END, 4) AS rolling_mean_30,
-  round(CASE WHEN n >= 30 THEN s END, 4) AS rolling_std_30,
-  round(CASE WHEN n >= 30 THEN m + s END, 4) AS upper_band,
-  round(CASE WHEN n >= 30 THEN m - s END, 4) AS lower_band
-FROM r"""
-
-
-@query("rolling_bands", _FULL_SQL)
+def _full_sql(n: int, bands: bool) -> str:
+    """Full-window rolling mean / std over ``n`` rows (null until n values), optional bands."""
+    frame = f"(PARTITION BY series_id ORDER BY dt ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    cols = [f"round(CASE WHEN n >= {n} THEN m END, 4) AS rolling_mean_{n}",
+            f"round(CASE WHEN n >= {n} THEN s END, 4) AS rolling_std_{n}"]
+    if bands:
+        cols += [f"round(CASE WHEN n >= {n} THEN m + s END, 4) AS upper_band",
+                 f"round(CASE WHEN n >= {n} THEN m - s END, 4) AS lower_band"]
+    return f"""WITH {Q.panel_ctes()},
+r AS (SELECT series_id, dt, y, count(y) OVER {frame} AS n, avg(y) OVER {frame} AS m,
+  stddev_samp(y) OVER {frame} AS s FROM panel)
+SELECT series_id, dt, y, {', '.join(cols)} FROM r"""
+
+
+@query("rolling_bands", _full_sql(30, bands=True))
 def rolling_bands(spark, sf_dir):
     """Full-window rolling mean/std (30 rows) and the mean +/- std band."""
     df = feat.rolling_bands(orders_panel(spark, sf_dir), 30)
@@ -97,14 +97,7 @@ def rolling_bands(spark, sf_dir):
                                    "upper_band", "lower_band"))
 
 
-_FULL7_SQL = _FULL_SQL.replace("29 PRECEDING", "6 PRECEDING").replace("n >= 30", "n >= 7") \
-    .replace("rolling_mean_30", "rolling_mean_7").replace("rolling_std_30", "rolling_std_7") \
-    .replace("round(CASE WHEN n >= 7 THEN m + s END, 4) AS upper_band,\n", "") \
-    .replace("round(CASE WHEN n >= 7 THEN m - s END, 4) AS lower_band\n", "") \
-    .replace("AS rolling_std_7,\nFROM", "AS rolling_std_7\nFROM")
-
-
-@query("rolling_full_window", _FULL7_SQL)
+@query("rolling_full_window", _full_sql(7, bands=False))
 def rolling_full_window(spark, sf_dir):
     """pandas-default rolling (min_periods = window): null until 7 values exist."""
     cols = feat.rolling_full_window(S.Y, 7)
