@@ -94,10 +94,10 @@ def roll_forward_seasonal(spark, sf_dir):
 @query("report_parse")
 def report_parse(spark, sf_dir):
     """Write the evaluation report as text to the shared folder, read it back and parse the
-    comparison block into cells (row, column, text)."""
+    comparison block into a table (row, column named by the header line, value)."""
     path = shared_path(spark, f"report-{uuid.uuid4().hex}")
     io.write_text_lines(ev.report_lines(_metrics(spark, sf_dir)), path)
-    return io.read_report_comparison(spark, path).drop("file")
+    return io.report_comparison_table(io.read_report_comparison(spark, path)).drop("file")
 
 
 _SLICE_SQL = f"""{_P}

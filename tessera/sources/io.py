@@ -105,3 +105,17 @@ def load_forecasts(spark: SparkSession, path: str, prediction_cols: list[str]) -
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return None
         raise
+
+
+def report_comparison_table(cells: DataFrame) -> DataFrame:
+    """Cells of the comparison block -> (file, row_no, column, value): the first
+    line of the block is the header, the others are rows (1-based)."""
+    from pyspark.sql import Window
+    first = cells.groupBy("file").agg(F.min("pos").alias("hdr"))
+    c = cells.join(first, "file")
+    header = c.where(F.col("pos") == F.col("hdr")).select("file", "col_no", F.col("cell").alias("column"))
+    body = c.where(F.col("pos") > F.col("hdr"))
+    rows = body.select("file", "pos").distinct().withColumn(
+        "row_no", F.row_number().over(Window.partitionBy("file").orderBy("pos")))
+    return (body.join(header, ["file", "col_no"]).join(rows, ["file", "pos"])
+            .select("file", "row_no", "column", F.col("cell").alias("value")))

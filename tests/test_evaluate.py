@@ -89,6 +89,9 @@ def test_report_lines_and_parse(spark, tmp_path):
     assert header == ["Model", "MSE", "RMSE", "MAE", "MAPE", "MAPE_Median", "R2",
                       "Directional_Accuracy", "Theil_U"]
     assert cells.select("pos").distinct().count() == 3  # header + 2 models
+    table = {(r.row_no, r.column): r.value for r in io.report_comparison_table(cells).collect()}
+    assert table[(1, "Model")] == "rf" and table[(2, "Model")] == "lin"
+    assert float(table[(1, "RMSE")]) == 1.0
 
 
 def test_exact_median_multi_round_with_ties(spark):
