@@ -55,14 +55,26 @@ def fill_rules(df: DataFrame, cols: list[str], only_null_cols: bool = True,
     return df.withColumns(out) if out else df
 
 
-def label_encode(df: DataFrame, col: str, out_col: str | None = None):
-    """Sorted distinct values -> 0..k-1 (StringIndexer, alphabetical, errors on unseen)."""
-    from pyspark.ml.feature import StringIndexer
-
+def label_encode(df: DataFrame, col: str, out_col: str | None = None, method: str = "distributed"):
+    """Sorted distinct values -> 0..k-1.
+
+    ``distributed`` (default): the distinct values get their sorted rank from a
+    distributed prefix count and are joined back, so no label list passes
+    through the driver; returns (frame, code table).  ``indexer``: Spark ML
+    ``StringIndexer`` (alphabetical, errors on unseen values; it collects the
+    labels to the driver) for use inside ML pipelines; returns (frame, model).
+    """
     out_col = out_col or f"{col}_code"
-    model = StringIndexer(inputCol=col, outputCol=out_col, stringOrderType="alphabetAsc",
-                          handleInvalid="error").fit(df)
-    return model.transform(df).withColumn(out_col, F.col(out_col).cast("int")), model
+    if method == "indexer":
+        from pyspark.ml.feature import StringIndexer
+        model = StringIndexer(inputCol=col, outputCol=out_col, stringOrderType="alphabetAsc",
+                              handleInvalid="error").fit(df)
+        return model.transform(df).withColumn(out_col, F.col(out_col).cast("int")), model
+    from tessera.operators.positions import exclusive_prefix_sum
+    labels = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
+    codes = exclusive_prefix_sum(labels, [col], "_one", out_col) \
+        .select(col, F.col(out_col).cast("int").alias(out_col))
+    return df.join(codes, col, "left"), codes
 
 
 def standardize(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:

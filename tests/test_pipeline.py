@@ -126,3 +126,11 @@ def test_reference_segment_dim(spark):
     from tessera.operators.profile import reference_segment_dim
     rows = reference_segment_dim(spark).collect()
     assert len(rows) == 5 and rows[1].base_aadt == 95000
+
+
+def test_label_encode_both_methods_agree(spark):
+    df = spark.createDataFrame([(s,) for s in ["b", "a", "c", "a", "b"]], "s string")
+    d, _ = clean.label_encode(df, "s", "code")
+    i, _ = clean.label_encode(df, "s", "code", method="indexer")
+    assert sorted(d.collect()) == sorted(i.collect())
+    assert {r.s: r.code for r in d.collect()} == {"a": 0, "b": 1, "c": 2}
