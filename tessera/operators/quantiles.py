@@ -29,8 +29,8 @@ def _small(df: DataFrame) -> DataFrame:
     return reliable(df)
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, grid: int = 1000,
-                 accuracy: int = 100000, max_bracket: int = 100000, max_rounds: int = 6) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, grid: int = 200,
+                 accuracy: int = 10000, max_bracket: int = 100000, max_rounds: int = 8) -> DataFrame:
     """(keys..., median): the average of the two middle values (interpolated
     median, as numpy/pandas); nulls ignored; a group without values -> null."""
     # the narrow (keys, value) column is materialised once: every round reads it
