@@ -46,9 +46,11 @@ def fill_gaps(daily: DataFrame, start, end) -> DataFrame:
     ``y_raw``.
     """
     w = Window.partitionBy(S.SERIES).orderBy(S.DT)
-    lo = F.when(F.lag(S.DT).over(w).isNull(), F.lit(start).cast("date")).otherwise(F.col(S.DT))
+    start_c = start if isinstance(start, Column) else F.lit(start).cast("date")
+    end_c = end if isinstance(end, Column) else F.lit(end).cast("date")
+    lo = F.when(F.lag(S.DT).over(w).isNull(), start_c).otherwise(F.col(S.DT))
     nxt = F.lead(S.DT).over(w)
-    hi = F.when(nxt.isNull(), F.lit(end).cast("date")).otherwise(F.date_sub(nxt, 1))
+    hi = F.when(nxt.isNull(), end_c).otherwise(F.date_sub(nxt, 1))
     spans = daily.select(S.SERIES, F.col(S.DT).alias("obs_dt"), "y_raw",
                          lo.alias("lo"), hi.alias("hi"))
     days = spans.select(S.SERIES, "obs_dt", "y_raw",
@@ -71,12 +73,13 @@ def build_panel(obs: DataFrame, start=None, end=None, value_col: str = "amount",
     if end is not None:
         obs = obs.where(F.col(S.DT) <= F.lit(end).cast("date"))
     daily = daily_totals(obs, value_col)
-    if start is None or end is None:
-        # bounds from the observations themselves: a scan with a global
-        # min/max, no shuffle (the daily totals would need one)
-        lo, hi = date_bounds(obs.where(F.col(S.SERIES).isNotNull() & F.col(S.DT).isNotNull()))
-        start = lo if start is None else start
-        end = hi if end is None else end
+    # missing bounds come from scalar subqueries of the same query (no separate
+    # action, no driver round trip); Catalyst merges the min and max into one
+    # subquery and answers it from a two-column scan of the observations
+    if start is None:
+        start = daily.select(F.min(S.DT)).scalar()
+    if end is None:
+        end = daily.select(F.max(S.DT)).scalar()
     dense = fill_gaps(daily, start, end)
     panel = dense.select(
         S.SERIES, series_name_expr(S.SERIES).alias(S.SERIES_NAME), S.DT,
