@@ -10,8 +10,6 @@ windows reuse the series partitioning.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,12 +29,6 @@ def daily_totals(obs: DataFrame, value_col: str = "amount") -> DataFrame:
             .groupBy(S.SERIES, S.DT).agg(F.sum(value_col).alias("y_raw")))
 
 
-def date_bounds(daily: DataFrame) -> tuple[_dt.date, _dt.date]:
-    """Global first and last day (a two-value aggregate)."""
-    row = daily.agg(F.min(S.DT).alias("lo"), F.max(S.DT).alias("hi")).first()
-    return row["lo"], row["hi"]
-
-
 def fill_gaps(daily: DataFrame, start, end) -> DataFrame:
     """Dense (series, dt) rows from ``start`` to ``end`` for every observed series.
 
