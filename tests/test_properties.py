@@ -49,3 +49,39 @@ def test_panel_and_windows_match_pandas(spark, rows):
     assert set(got) == set(exp)
     for k, e in exp.items():
         assert all(_eq(a, b) for a, b in zip(got[k], e)), (k, got[k], e)
+
+
+values = st.lists(st.tuples(st.sampled_from(["m1", "m2"]), st.integers(0, 30)), min_size=1, max_size=300)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values)
+def test_exact_median_matches_statistics(spark, rows):
+    import statistics
+
+    from tessera.operators.quantiles import exact_median
+    df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g string, x double")
+    got = {r.g: r.median for r in exact_median(df, ["g"], "x", grid=10, accuracy=100,
+                                                max_bracket=5).collect()}
+    exp = {g: statistics.median([float(v) for k, v in rows if k == g]) for g in {k for k, _ in rows}}
+    assert got == exp
+
+
+series_vals = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 9), st.integers(-5, 5)),
+                       min_size=2, max_size=30, unique_by=lambda t: (t[0], t[1]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(series_vals)
+def test_directional_accuracy_matches_numpy_concatenation(spark, rows):
+    import numpy as np
+
+    from tessera.operators import evaluate as ev
+    data = [("m", s, D0 + dt.timedelta(days=d), float(y), float(y + (d % 3) - 1)) for s, d, y in rows]
+    long = spark.createDataFrame(data, "model string, series_id string, dt date, y double, yhat double")
+    got = ev.directional_accuracy(long).first().Directional_Accuracy
+    ordered = sorted(data, key=lambda r: (r[1], r[2]))
+    y = np.array([r[3] for r in ordered])
+    p = np.array([r[4] for r in ordered])
+    exp = float(np.mean((np.diff(y) > 0) == (np.diff(p) > 0))) if len(y) > 1 else 0.0
+    assert math.isclose(got, exp, rel_tol=1e-12)
