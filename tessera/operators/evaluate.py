@@ -44,7 +44,7 @@ def _ape() -> Column:
     return F.abs(F.try_divide(_err(), F.col("y")))
 
 
-def direction_counts(long: DataFrame, across_series: bool = True) -> DataFrame:
+def direction_counts(long: DataFrame, across_series: bool = True, materialise: bool = True) -> DataFrame:
     """Per model: number of consecutive pairs and of pairs whose up/down agree.
 
     Inside a series the previous row is ``lag`` over (model, series) by dt.
@@ -52,6 +52,10 @@ def direction_counts(long: DataFrame, across_series: bool = True) -> DataFrame:
     last row of the previous series (series in id order), as the original
     concatenated array does.
     """
+    if across_series and materialise:
+        # read twice below (consecutive pairs and series ends): compute it once
+        from tessera.operators.models import reliable
+        long = reliable(long)
     w = Window.partitionBy("model", S.SERIES).orderBy(S.DT)
     inside = long.select("model", S.SERIES,
                          ((F.col("y") - F.lag("y").over(w) > 0)
@@ -83,9 +87,9 @@ def direction_counts(long: DataFrame, across_series: bool = True) -> DataFrame:
                     (F.coalesce("agree", F.lit(0)) + F.coalesce("e_agree", F.lit(0))).alias("agree")))
 
 
-def directional_accuracy(long: DataFrame, across_series: bool = True) -> DataFrame:
+def directional_accuracy(long: DataFrame, across_series: bool = True, materialise: bool = True) -> DataFrame:
     """Share of consecutive pairs with the same direction; 0.0 below two rows."""
-    c = direction_counts(long, across_series)
+    c = direction_counts(long, across_series, materialise)
     return c.select("model", F.when(F.col("pairs") > 0, F.col("agree").cast("double") / F.col("pairs"))
                     .otherwise(F.lit(0.0)).alias("Directional_Accuracy"))
 
@@ -131,7 +135,7 @@ def metrics(long: DataFrame) -> DataFrame:
     from tessera.operators.models import reliable
     long = reliable(long)
     pm = point_metrics(long)
-    da = directional_accuracy(long)
+    da = directional_accuracy(long, materialise=False)
     return pm.join(da, "model", "left").select(
         "model", "n", *[F.col(c) for c in S.METRIC_COLS])
 
@@ -162,7 +166,7 @@ def residuals(long: DataFrame) -> DataFrame:
     return long.withColumn("residual", F.col("y") - F.col("yhat"))
 
 
-def error_histogram(long: DataFrame, bins: int = 30) -> DataFrame:
+def error_histogram(long: DataFrame, bins: int = 30, materialise: bool = True) -> DataFrame:
     """Density histogram of the errors per model with ``bins`` equal-width bins.
 
     Bin edges come from the per-model min/max (a one-row-per-model table);
@@ -170,6 +174,10 @@ def error_histogram(long: DataFrame, bins: int = 30) -> DataFrame:
     value into bin 1 with width 1.
     """
     e = long.select("model", _err().alias("e"))
+    if materialise:
+        # read twice (extents, then bins): compute the narrow error column once
+        from tessera.operators.models import reliable
+        e = reliable(e)
     ext = e.groupBy("model").agg(F.min("e").alias("lo"), F.max("e").alias("hi"),
                                  F.count(F.lit(1)).alias("n"))
     width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / bins).otherwise(F.lit(1.0))
