@@ -31,7 +31,8 @@ def stream_daily_panel(spark, sf_dir):
     run = shared_path(spark, f"stream-{uuid.uuid4().hex}")
     schema = tables.read_table(spark, sf_dir, "events").schema
     stream = live.daily_stream(spark, sf_dir, "events.parquet", schema, "ts", "event_type", "value")
-    live.run_to_completion(stream, f"{run}/sink", f"{run}/checkpoint")
+    live.run_to_completion(stream, f"{run}/sink", f"{run}/checkpoint",
+                           state_partitions=spark.sparkContext.defaultParallelism)
     daily = live.read_latest(spark, f"{run}/sink")
     panel = pnl.build_panel(daily.select(S.SERIES, S.DT, "amount"))
     counts = daily.select(S.SERIES, S.DT, "n_events")

@@ -58,10 +58,24 @@ def _writer(sink_dir: str):
     return write
 
 
-def run_to_completion(stream: DataFrame, sink_dir: str, checkpoint_dir: str):
-    """Process everything available now (update mode), then stop."""
-    q = (stream.writeStream.outputMode("update").foreachBatch(_writer(sink_dir))
-         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+def run_to_completion(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
+                      state_partitions: int | None = None):
+    """Process everything available now (update mode), then stop.
+
+    ``state_partitions`` sets the number of state-store partitions of a new
+    query (Spark fixes it at the first start and keeps it in the checkpoint);
+    the session setting is restored right after the start.
+    """
+    spark = stream.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = (stream.writeStream.outputMode("update").foreachBatch(_writer(sink_dir))
+             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     return q
 
