@@ -134,3 +134,16 @@ def test_label_encode_both_methods_agree(spark):
     i, _ = clean.label_encode(df, "s", "code", method="indexer")
     assert sorted(d.collect()) == sorted(i.collect())
     assert {r.s: r.code for r in d.collect()} == {"a": 0, "b": 1, "c": 2}
+
+
+def test_future_features_flags_recomputed_or_copied(spark):
+    # history ends on Friday 2024-12-20; the future covers the weekend and Christmas
+    rows = [("a", d, 1000 + i) for i, d in enumerate(_days("2024-11-01", 50))]
+    p = panel_from_rows(spark, rows)
+    fresh = {r.dt.isoformat(): (r.is_weekend, r.is_holiday)
+             for r in fc.future_features(p, 6).collect()}
+    assert fresh["2024-12-21"] == (1, 0) and fresh["2024-12-25"] == (0, 1)
+    copied = {r.dt.isoformat(): (r.is_weekend, r.is_holiday)
+              for r in fc.future_features(p, 6, parity_flags=True).collect()}
+    assert set(copied.values()) == {(0, 0)}  # Friday's flags carried forward
+    assert len(fresh) == 6
