@@ -170,3 +170,26 @@ def paired_loss_test(spark, sf_dir):
     out = long.select("model_a", "model_b", "n", "mean_diff", "sd_diff",
                       F.try_divide(F.col("mean_diff"), F.col("sd_diff") / F.sqrt("n")).alias("t_stat"))
     return round_sig_cols(out, ["mean_diff", "sd_diff", "t_stat"])
+
+
+_EV_P = f"WITH {Q.panel_ctes(table='events', series='event_type', ts='ts', value='value')}"
+_EV_PART = "PARTITION BY series_id ORDER BY dt"
+
+
+@query("events_panel_features", f"""{_EV_P}
+SELECT series_id, dt, y,
+  CAST(lag(y, 1) OVER ({_EV_PART}) AS DOUBLE) AS y_lag_1,
+  CAST(lag(y, 7) OVER ({_EV_PART}) AS DOUBLE) AS y_lag_7,
+  round(avg(y) OVER ({_EV_PART} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS y_rolling_mean_7,
+  round(stddev_samp(y) OVER ({_EV_PART} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS y_rolling_std_7
+FROM panel""")
+def events_panel_features(spark, sf_dir):
+    """Short panel from the events table (daily value per event type, 30 days) with the lag and
+    rolling features a 30-day history supports."""
+    from tessera.plans.common import events_panel
+    p = events_panel(spark, sf_dir)
+    lags = feat.lag_columns(S.Y, [1, 7])
+    roll = feat.rolling_columns(S.Y, [7])
+    return round_doubles(p.select(S.SERIES, S.DT, S.Y, *[v.alias(k) for k, v in lags.items()],
+                                  roll["y_rolling_mean_7"].alias("y_rolling_mean_7"),
+                                  roll["y_rolling_std_7"].alias("y_rolling_std_7")))
