@@ -104,7 +104,7 @@ def directional_accuracy_by_series(long: DataFrame) -> DataFrame:
         F.count("agree").alias("pairs"))
 
 
-def point_metrics(long: DataFrame) -> DataFrame:
+def point_metrics(long: DataFrame, median: str = "exact") -> DataFrame:
     """MSE, RMSE, MAE, MAPE, R2, Theil's U per model in one aggregation; the exact
     median APE comes from the distributed bracketing median."""
     e = _err()
@@ -120,13 +120,16 @@ def point_metrics(long: DataFrame) -> DataFrame:
           .otherwise(F.lit(1.0) - F.col("_sse") / F.col("_sst")))
     theil = (F.when(F.col("_syy") == 0, F.lit(INF))
              .otherwise(F.sqrt("_sse") / F.sqrt("_syy")))
-    med = exact_median(long.select("model", _ape().alias("ape")), ["model"], "ape")
+    if median == "approx":  # one mergeable sketch per model, no extra passes
+        med = long.groupBy("model").agg(F.percentile_approx(_ape(), 0.5, 10000).alias("median"))
+    else:
+        med = exact_median(long.select("model", _ape().alias("ape")), ["model"], "ape")
     return g.join(med, "model", "left").select(
         "model", "n", "MSE", F.sqrt("MSE").alias("RMSE"), "MAE", "MAPE",
         (F.col("median") * 100).alias("MAPE_Median"), r2.alias("R2"), theil.alias("Theil_U"))
 
 
-def metrics(long: DataFrame) -> DataFrame:
+def metrics(long: DataFrame, median: str = "exact") -> DataFrame:
     """The comparison table: model + the 8 metrics (+ n).
 
     The long table is read by several aggregations (point metrics, median,
@@ -134,7 +137,7 @@ def metrics(long: DataFrame) -> DataFrame:
     """
     from tessera.operators.models import reliable
     long = reliable(long)
-    pm = point_metrics(long)
+    pm = point_metrics(long, median)
     da = directional_accuracy(long, materialise=False)
     return pm.join(da, "model", "left").select(
         "model", "n", *[F.col(c) for c in S.METRIC_COLS])

@@ -12,24 +12,30 @@ from pyspark.sql import functions as F
 from tessera import schema as S
 
 
-def data_summary(panel: DataFrame, y: str = S.Y) -> DataFrame:
+def data_summary(panel: DataFrame, y: str = S.Y, approx: bool = False) -> DataFrame:
     """Row count, date range, distinct series, y statistics and exact median.
 
     The list of series names is not packed into this one row (it grows with
     the number of series); it is the distributed ``series_names`` table.
+    ``approx`` uses HyperLogLog for the series count and a quantile sketch for
+    the median (single pass, no exact median rounds).
     """
     from tessera.operators.quantiles import exact_median
     agg = panel.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.date_format(F.min(S.DT), "yyyy-MM-dd").alias("first_dt"),
         F.date_format(F.max(S.DT), "yyyy-MM-dd").alias("last_dt"),
-        F.count_distinct(S.SERIES).alias("n_series"),
+        (F.approx_count_distinct(S.SERIES) if approx else F.count_distinct(S.SERIES)).alias("n_series"),
         F.avg(y).alias("y_mean"),
         F.stddev_samp(y).alias("y_std"),
         F.min(y).cast("double").alias("y_min"),
         F.max(y).cast("double").alias("y_max"),
         F.lit(1).alias("_k"))
-    med = exact_median(panel.select(F.lit(1).alias("_k"), F.col(y)), ["_k"], y)
+    if approx:
+        med = panel.select(F.lit(1).alias("_k"), F.col(y)).groupBy("_k").agg(
+            F.percentile_approx(F.col(y).cast("double"), 0.5, 10000).alias("median"))
+    else:
+        med = exact_median(panel.select(F.lit(1).alias("_k"), F.col(y)), ["_k"], y)
     return agg.join(med, "_k", "left").drop("_k").withColumnRenamed("median", "y_median")
 
 

@@ -44,3 +44,17 @@ def test_half_even_rounding(spark):
     rows = [("a", "2024-01-01", 2), ("a", "2024-01-02", 3)]  # mean 2.5 -> 2 (half-even)
     sp = prof.series_profile(panel_from_rows(spark, rows)).first()
     assert sp.mean_y == 2.0
+
+
+def test_approximate_options(spark):
+    from tessera.operators import evaluate as ev
+    rows = [("a", f"2024-01-{d:02d}", d * 10) for d in range(1, 22)]
+    p = panel_from_rows(spark, rows)
+    s = prof.data_summary(p, approx=True).first()
+    assert s.n_series == 1 and s.y_median == 110.0
+    long = p.selectExpr("'m' AS model", "series_id", "dt", "CAST(y AS DOUBLE) AS y",
+                        "CAST(y + 1 AS DOUBLE) AS yhat")
+    exact = ev.metrics(long).first()
+    approx = ev.metrics(long, median="approx").first()
+    assert math.isclose(approx.MAPE_Median, exact.MAPE_Median, rel_tol=0.1)
+    assert approx.RMSE == exact.RMSE
