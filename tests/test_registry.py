@@ -60,3 +60,10 @@ def test_flagship_plan_two_exchanges_pruned_scan(spark):
             assert "HashAggregate(keys=[]" in lines[i + 1], lines[i + 1]
     assert "PushedFilters: [IsNotNull(o_orderdate), IsNotNull(o_orderpriority)]" in plan
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
+
+
+def test_every_oracle_sql_runs_in_duckdb(duck):
+    for key, sql in E.oracle_sql().items():
+        rel = duck.sql(sql)
+        assert rel.columns, key
+        rel.fetchall()
