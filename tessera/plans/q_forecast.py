@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera import schema as S
-from tessera.operators import evaluate as ev, forecast as fc, models as mdl
+from tessera.operators import evaluate as ev, forecast as fc
 from tessera.operators import panel as pnl
 from tessera.plans import sql as Q
 from tessera.plans.common import orders_panel, orders_processed

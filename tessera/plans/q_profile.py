@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera import schema as S
-from tessera.operators import features as feat
 from tessera.operators import panel as pnl
 from tessera.operators import profile as prof
 from tessera.plans import sql as Q

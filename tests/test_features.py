@@ -1,8 +1,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
-
 from tessera import schema as S
 from tessera.functions import calendar as cal
 from tessera.operators import features as feat

@@ -3,7 +3,6 @@ import math
 
 from pyspark.sql import functions as F
 
-from tessera import schema as S
 from tessera.operators import clean, forecast as fc, models as mdl
 from tests.conftest import SF001, panel_from_rows
 
