@@ -19,10 +19,12 @@ def _format_of(path: str) -> str:
 
 
 def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               date_col: str | None = S.DT) -> DataFrame:
+               date_col: str | None = S.DT, cache: bool = False) -> DataFrame:
     """Read a table by suffix; CSV gets a header and, when given, an explicit schema.
 
-    A column named ``date_col`` is coerced to DATE when present.
+    A column named ``date_col`` is coerced to DATE when present.  ``cache``
+    keeps the table in executor memory/disk for repeated interactive reads
+    (recomputed from the files if an executor is lost).
     """
     fmt = _format_of(path)
     reader = spark.read
@@ -34,6 +36,9 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         df = reader.parquet(path)
     if date_col and date_col in df.columns:
         df = df.withColumn(date_col, F.to_date(F.col(date_col)))
+    if cache:
+        from pyspark import StorageLevel
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     return df
 
 

@@ -146,3 +146,12 @@ def test_future_features_flags_recomputed_or_copied(spark):
               for r in fc.future_features(p, 6, parity_flags=True).collect()}
     assert set(copied.values()) == {(0, 0)}  # Friday's flags carried forward
     assert len(fresh) == 6
+
+
+def test_cached_load(spark, tmp_path):
+    from tessera.sources import io
+    p = str(tmp_path / "c.parquet")
+    io.save_table(spark.range(5).withColumnRenamed("id", "v"), p)
+    df = io.load_table(spark, p, cache=True)
+    assert df.is_cached and df.count() == 5
+    df.unpersist()
