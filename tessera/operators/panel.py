@@ -52,19 +52,27 @@ def fill_gaps(daily: DataFrame, start, end) -> DataFrame:
 
 
 def build_panel(obs: DataFrame, start=None, end=None, value_col: str = "amount",
-                floor_value: int = S.Y_FLOOR, with_raw_calendar: bool = False) -> DataFrame:
+                floor_value: int = S.Y_FLOOR, with_raw_calendar: bool = False,
+                materialise_daily: bool = False) -> DataFrame:
     """Observations (series_id, dt, amount) -> dense daily panel (series_id, series_name, dt, y).
 
     Days without observations count as 0 and every value is clamped below at
     ``floor_value`` and truncated to a whole number.  ``start``/``end`` default
     to the observed global range; when given, observations outside are
     filtered before the shuffle (the filter reaches the parquet scan).
+    ``materialise_daily`` writes the daily totals once (for joined sources,
+    whose bounds subquery would otherwise repeat the join).
     """
     if start is not None:
         obs = obs.where(F.col(S.DT) >= F.lit(start).cast("date"))
     if end is not None:
         obs = obs.where(F.col(S.DT) <= F.lit(end).cast("date"))
     daily = daily_totals(obs, value_col)
+    if materialise_daily:
+        # expensive sources (joins): compute the daily totals once; the bounds
+        # and the gap filling then both read the written table
+        from tessera.operators.models import reliable
+        daily = reliable(daily)
     # missing bounds come from scalar subqueries of the same query (no separate
     # action, no driver round trip); Catalyst merges the min and max into one
     # subquery and answers it from a two-column scan of the observations

@@ -193,5 +193,5 @@ def quality_checks(spark, sf_dir):
 SELECT series_id, dt, y FROM panel""")
 def region_panel(spark, sf_dir):
     """Daily order value per customer region (orders -> customer -> nation -> region), gap-filled."""
-    p = pnl.build_panel(tables.region_observations(spark, sf_dir))
+    p = pnl.build_panel(tables.region_observations(spark, sf_dir), materialise_daily=True)
     return p.select(S.SERIES, S.DT, S.Y)
