@@ -69,23 +69,22 @@ def _draw(node: Node, key: Column, seed: int) -> Column:
     return F.log((bits + F.lit(0.5)) / F.lit(float(1 << 53))) / F.lit(node.weight)
 
 
-def shard_of(root: Node, key: Column, seed: int = 0) -> Column:
-    """The shard that ``key`` descends to."""
-    live = [c for c in root.children if c.weight > 0]
-    if not root.children:
-        return F.lit(root.shard)
-    if len(live) == 1:
-        return shard_of(live[0], key, seed)
-    best = F.greatest(*[F.struct(_draw(c, key, seed).alias("d"), F.lit(i).alias("i"))
-                        for i, c in enumerate(live)])["i"]
-    out = F.when(best == 0, shard_of(live[0], key, seed))
-    for i, c in enumerate(live[1:], 1):
-        out = out.when(best == i, shard_of(c, key, seed))
-    return out
-
-
 def placed(docs: DataFrame, root: Node, key: str, out: str = "shard", seed: int = 0) -> DataFrame:
-    return docs.withColumn(out, shard_of(root, F.col(key), seed).cast("int"))
+    """``docs`` with the shard that ``key`` descends to; one projection per level of the tree."""
+    d, level, depth = docs.withColumn("_at0", F.lit(0)), [root], 0
+    while any(n.children for n in level):
+        below, step = [], F
+        for i, node in enumerate(level):
+            first = len(below)
+            below += [c for c in node.children if c.weight > 0] or [node]
+            draws = [F.struct(_draw(c, F.col(key), seed).alias("d"), F.lit(j).alias("j"))
+                     for j, c in enumerate(below[first:], first)]
+            best = F.greatest(*draws)["j"] if len(draws) > 1 else F.lit(first)
+            step = step.when(F.col(f"_at{depth}") == i, best)
+        d = d.withColumn(f"_at{depth + 1}", step)
+        level, depth = below, depth + 1
+    ids = F.array(*[F.lit(n.shard) for n in level])
+    return d.withColumn(out, F.get(ids, F.col(f"_at{depth}")).cast("int")).drop(*[f"_at{i}" for i in range(depth + 1)])
 
 
 def with_slots(rows: DataFrame, shard: str, order: list[str], out: str = "slot") -> DataFrame:
