@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import line_rules, oracle, shards
+from tessera.llm import fingerprints, html_text, line_rules, mixing, oracle, shards
 from tessera.llm.common import documents
 from tessera.sources.tables import read_table
 
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -39,3 +40,21 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir, "doc_id", "text")
     return line_rules.with_line_rules(d, "q").select("doc_id", "q.*")
+
+
+@query("op5_mix_blocks")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, "doc_id", "text", "source")
+    laid, of, drawn = mixing.mixture(d, ["doc_id"])
+    return mixing.taken_words(laid, of, drawn).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op2_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared_with_next(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op7_html_density")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    return html_text.with_main_text(p).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
