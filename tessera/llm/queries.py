@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprints, html_text, line_rules, mixing, oracle, shards
+from tessera.llm import fingerprints, html_text, line_rules, mixing, oracle, pieces, shards
 from tessera.llm.common import documents
 from tessera.sources.tables import read_table
 
@@ -58,3 +58,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
     return html_text.with_main_text(p).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op3_pieces")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, "doc_id", "text")
+    rows = pieces.with_pieces(d, pieces.Pieces.load(), out="p")
+    return rows.select("doc_id", F.size("p.ids").cast("long").alias("n_tokens"), "p.n_byte_pieces", "p.ids",
+                       F.sha2(F.encode("p.decoded", "UTF-8"), 256).alias("decoded_sha256"),
+                       (F.col("p.decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
