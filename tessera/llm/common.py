@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+import tessera
 from tessera.session import shared_path
 from tessera.sources.tables import read_table
 
@@ -17,6 +21,20 @@ from tessera.sources.tables import read_table
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they were started (once per context)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    package = Path(tessera.__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="tessera-code-")) / "tessera.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    sc._tessera_shipped = True
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents", list(columns) or None)
 

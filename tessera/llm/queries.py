@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprints, html_text, line_rules, mixing, oracle, pieces, shards
-from tessera.llm.common import documents
+from tessera.llm import fingerprints, html_text, line_rules, mixing, oracle, pieces, shards, tree_weighting
+from tessera.llm.common import documents, ship_package
 from tessera.sources.tables import read_table
 
 
@@ -16,7 +16,10 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql
         return fn
@@ -67,3 +70,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("p.ids").cast("long").alias("n_tokens"), "p.n_byte_pieces", "p.ids",
                        F.sha2(F.encode("p.decoded", "UTF-8"), 256).alias("decoded_sha256"),
                        (F.col("p.decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@query("op4_tree_weighting")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_weighting.score(documents(spark, sf_dir, "doc_id", "text"))
