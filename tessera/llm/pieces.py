@@ -21,14 +21,16 @@ U+2581 itself, which comes back as a space.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import field_list
+
 MARKER = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
@@ -117,43 +119,44 @@ class Pieces:
         if not hasattr(self, "word"):
             self.lists = self.base.tolist(), self.check.tolist(), self.value.tolist()
             self.words = re.compile(self.pattern)
-            self.word = lru_cache(1 << 17)(self.best_path)
+            self.word = lru_cache(1 << 18)(lambda word: array("i", self.best_path(word)).tobytes())
         return self
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("lists", "word", "words")}
 
-    def best_path(self, word: str) -> tuple[int, ...]:
+    def best_path(self, word: str) -> list[int]:
         """The ids of the best path through a piece of text (spaces stand for markers)."""
         base, check, value = self.lists
-        scores = self.scores
+        scores, least = self.scores, float("-inf")
         s = word.replace(" ", MARKER).encode("utf-8", "surrogatepass")
         n = len(s)
-        best, back, by = [None] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        best, back, by = [least] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
         for i in range(n):
             here = best[i]
-            if here is None:
+            if here == least:
                 continue
             b = s[i]
             one = i + (1 if b < 0xC0 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4)
-            state, k, covered = 0, i, False
-            while k < n:
-                nxt = base[state] + s[k]
-                if check[nxt] != state:
+            state, covered = 0, False
+            for k in range(i, n):
+                t = base[state] + s[k]
+                if check[t] != state:
                     break
-                state = nxt
-                k += 1
-                v = value[state]
+                state = t
+                v = value[t]
                 if v >= 0:
-                    covered = covered or k == one
+                    k += 1
+                    if k == one:
+                        covered = True
                     score = here + scores[v]
-                    if best[k] is None or score > best[k]:
+                    if score > best[k]:
                         best[k], back[k], by[k] = score, i, v
             if not covered:
                 one = min(one, n)
                 score = here + self.unknown
-                if best[one] is None or score > best[one]:
+                if score > best[one]:
                     best[one], back[one], by[one] = score, i, -1
         out, k = [], n
         while k:
@@ -163,31 +166,44 @@ class Pieces:
             else:
                 out.extend(self.byte_ids[x] for x in reversed(s[i:k]))
             k = i
-        return tuple(reversed(out))
+        return out[::-1]
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode(self, text: str | None) -> np.ndarray:
         if not text:
-            return []
+            return np.zeros(0, np.int32)
         self.ready()
-        return list(chain.from_iterable(map(self.word, self.words.findall(" " + text.replace(MARKER, " ")))))
+        return np.frombuffer(b"".join(map(self.word, self.words.findall(" " + text.replace(MARKER, " ")))), np.int32)
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.out.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
-def with_pieces(docs: DataFrame, model: Pieces, text: str = "text", out: str = "pieces") -> DataFrame:
-    """``docs`` with a struct ``out``: ids, n_byte_pieces and decoded, the text read back."""
+RESULT = "ids array<int>, n_byte_pieces long, decoded string"
+
+
+def with_pieces(docs: DataFrame, model: Pieces, text: str = "text", out: str = "pieces", rows: int = 256) -> DataFrame:
+    """``docs`` with a struct ``out``: ids, n_byte_pieces and decoded, the text read back.
+
+    Results leave the worker ``rows`` texts at a time, which bounds its memory."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rest = [c for c in docs.columns if c != out]
 
-    @F.pandas_udf("ids array<int>, n_byte_pieces long, decoded string")
-    def pieces(texts: pd.Series) -> pd.DataFrame:
+    def encode(batches):
         m = shared.value.ready()
-        ids = [np.array(m.encode(t), np.int32) for t in texts]
-        return pd.DataFrame({"ids": ids, "n_byte_pieces": [int(m.is_byte[i].sum()) for i in ids],
-                             "decoded": [m.decode(i.tolist()) for i in ids]})
-
-    return docs.withColumn(out, pieces(F.coalesce(F.col(text), F.lit(""))))
+        for whole in batches:
+            for first in range(0, len(whole), rows):
+                batch = whole.slice(first, rows)
+                ids = [m.encode(t) for t in batch.column(text).to_pylist()]
+                ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+                result = pa.StructArray.from_arrays(
+                    [lists, pa.array([int(m.is_byte[i].sum()) for i in ids], pa.int64()),
+                     pa.array([m.decode(i.tolist()) for i in ids], pa.string())], ["ids", "n_byte_pieces", "decoded"])
+                yield pa.record_batch([*[batch.column(c) for c in rest], result], [*rest, out])
+
+    schema = docs.select(*rest).schema.add(out, field_list(RESULT))
+    return docs.select(*rest).mapInArrow(encode, schema)
 
 
 def decoded(tokens: DataFrame, model: Pieces, ids: str = "ids", out: str = "text") -> DataFrame:
