@@ -94,6 +94,32 @@ def scattered(index: Column, n: Column, *seed: Column, rounds: int = 24) -> Colu
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), index.cast("long"), one)
 
 
+def member_filter(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str, bits: int = 1 << 23) -> DataFrame:
+    """The ``rows`` whose key may be among the wanted ones (a Bloom filter of ``bits`` bits).
+
+    The filter is summed on Spark word by word and has a fixed size, so it may be broadcast
+    whatever the number of keys.  It lets all wanted rows through and few others while the keys
+    are fewer than its bits; an exact join has to follow where others would do harm.
+    """
+    def place(k, seed):
+        return F.pmod(F.xxhash64(F.col(k), F.lit(seed)), F.lit(bits))
+    spots = wanted.select(F.explode(F.array(*[place(wanted_key, s) for s in (1, 2)])).alias("p"))
+    words = spots.groupBy(F.floor(F.col("p") / 32).alias("w")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("b")).toArrow()
+    table = np.zeros(bits // 32, np.uint32)
+    table[words.column("w").to_numpy()] = words.column("b").to_numpy().astype(np.uint32)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def maybe(p, q):
+        import pandas as pd
+        t = shared.value
+        a, b = p.to_numpy(), q.to_numpy()
+        return pd.Series(((t[a >> 5] >> (a & 31).astype(np.uint32)) & (t[b >> 5] >> (b & 31).astype(np.uint32)) & 1) > 0)
+
+    return rows.where(maybe(place(key, 1), place(key, 2)))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected ``links``: rows (node, root), root = least node.
 

@@ -54,3 +54,32 @@ SELECT doc_id, nw::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbol
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        lost::BIGINT AS n_lost_words, n_failed::BIGINT AS n_failed_lines, kept
 FROM judged"""
+
+
+def ngram_groups_sql(words: int = 3, num: int = 90, den: int = 100, source: str = "documents") -> str:
+    """CTEs ending in ``grouped``: doc_id, n_shingles, component_id."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+    tw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{WORD}') AS w
+           FROM {source}),
+    sh AS (SELECT DISTINCT doc_id, s FROM (
+             SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+                                        WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+                                        ELSE list_transform(range(1, len(w) - {words} + 2),
+                                                            lambda i: array_to_string(w[i : i + {words} - 1], ' ')) END) AS s
+             FROM tw)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    links AS (SELECT p.a, p.b FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id
+                GROUP BY 1, 2) p JOIN sizes u ON u.doc_id = p.a JOIN sizes v ON v.doc_id = p.b
+              WHERE {den} * c >= {num} * (u.n + v.n - c)),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT doc_id AS x, doc_id AS y FROM {source}
+              UNION SELECT r.x, e.b FROM reach r JOIN edges e ON e.a = r.y),
+    grouped AS (SELECT tw.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id
+                FROM tw LEFT JOIN sizes USING (doc_id) JOIN (SELECT x, min(y) AS m FROM reach GROUP BY x) ON x = tw.doc_id)"""
+
+
+OP1 = f"""
+WITH RECURSIVE {ngram_groups_sql()}
+SELECT doc_id, n_shingles, component_id FROM grouped"""

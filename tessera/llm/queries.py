@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprints, html_text, line_rules, mixing, oracle, pieces, shards, tree_weighting
+from tessera.llm import fingerprints, html_text, line_rules, mixing, ngram_join, oracle, pieces, shards, tree_weighting
 from tessera.llm.common import documents, ship_package
 from tessera.sources.tables import read_table
 
@@ -75,3 +75,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_tree_weighting")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_weighting.score(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op1_ngram_join", oracle.OP1)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, "doc_id", "text")
+    return ngram_join.similar(d).select("doc_id", "n_shingles", "component_id")
