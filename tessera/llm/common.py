@@ -94,6 +94,22 @@ def scattered(index: Column, n: Column, *seed: Column, rounds: int = 24) -> Colu
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), index.cast("long"), one)
 
 
+def joined_safely(rows: DataFrame, more: DataFrame, key: list[str], how: str = "left") -> DataFrame:
+    """Join on a key that may be null in part; nulls are equal."""
+    renamed = more.select(*[F.col(k).alias(f"_{k}_") for k in key], *[c for c in more.columns if c not in key])
+    on = [rows[k].eqNullSafe(renamed[f"_{k}_"]) for k in key]
+    return rows.join(renamed, on, how).drop(*[f"_{k}_" for k in key])
+
+
+def bit_table(spots: DataFrame, bits: int) -> np.ndarray:
+    """The places (column p) below ``bits`` as a bit set, summed word by word on Spark."""
+    words = spots.groupBy(F.shiftright("p", 5).alias("w")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 31 as int))")).alias("b")).toArrow()
+    table = np.zeros(bits // 32, np.uint32)
+    table[words.column("w").to_numpy()] = words.column("b").to_numpy().astype(np.uint32)
+    return table
+
+
 def member_filter(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str, bits: int = 1 << 23) -> DataFrame:
     """The ``rows`` whose key may be among the wanted ones (a Bloom filter of ``bits`` bits).
 
@@ -104,11 +120,7 @@ def member_filter(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str,
     def place(k, seed):
         return F.pmod(F.xxhash64(F.col(k), F.lit(seed)), F.lit(bits))
     spots = wanted.select(F.explode(F.array(*[place(wanted_key, s) for s in (1, 2)])).alias("p"))
-    words = spots.groupBy(F.floor(F.col("p") / 32).alias("w")) \
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("b")).toArrow()
-    table = np.zeros(bits // 32, np.uint32)
-    table[words.column("w").to_numpy()] = words.column("b").to_numpy().astype(np.uint32)
-    shared = rows.sparkSession.sparkContext.broadcast(table)
+    shared = rows.sparkSession.sparkContext.broadcast(bit_table(spots, bits))
 
     @F.pandas_udf("boolean")
     def maybe(p, q):

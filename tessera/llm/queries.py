@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprints, html_text, line_rules, mixing, ngram_join, oracle, pieces, shards, tree_weighting
+from tessera.llm import fingerprints, html_text, line_rules, mixing, ngram_join, oracle, pieces, shards, suffix_dedup, tree_weighting
 from tessera.llm.common import documents, ship_package
 from tessera.sources.tables import read_table
 
@@ -81,3 +81,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir, "doc_id", "text")
     return ngram_join.similar(d).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal(documents(spark, sf_dir, "doc_id", "text"))

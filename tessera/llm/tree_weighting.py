@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import lower_ascii, saved, utf8_buffer
+from tessera.llm.common import joined_safely, lower_ascii, saved, utf8_buffer
 
 END = 255
 LN2 = float(np.log(2.0))
@@ -293,11 +293,11 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
         F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("more_known"),
         F.sum(F.col("k") * F.coalesce(F.log10((F.col("n") + 1) / divisor), F.lit(unknown))).alias("more_base"))
     copies = rows.groupBy(*key).agg(F.count("*").alias("copies"))
-    out = _joined(_joined(rows.drop("rare", "grams"), copies, key), add, key)
+    out = joined_safely(joined_safely(rows.drop("rare", "grams"), copies, key), add, key)
     if not shared:
         of = rows.select(*key, F.explode("grams").alias("g")).select(*key, "g.gram", "g.k")
         more = of.join(scores, "gram").groupBy(*key).agg(F.sum(F.col("k") * F.col("bits")).alias("more_bits"))
-        out = _joined(out, more, key)
+        out = joined_safely(out, more, key)
     else:
         out = out.withColumn("more_bits", F.lit(0.0))
     def part(c):
@@ -309,9 +309,3 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
                       (F.col("base") + part("more_base")).alias("base_score"),
                       (-bits * float(np.log10(2.0))).alias("score"), (bits / F.col("n_bytes")).alias("bits_per_byte"))
 
-
-def _joined(rows: DataFrame, more: DataFrame, key: list[str]) -> DataFrame:
-    """Left join on a key that may be null in part."""
-    renamed = more.select(*[F.col(k).alias(f"_{k}") for k in key], *[c for c in more.columns if c not in key])
-    on = [rows[k].eqNullSafe(renamed[f"_{k}"]) for k in key]
-    return rows.join(renamed, on, "left").drop(*[f"_{k}" for k in key])
