@@ -110,13 +110,15 @@ def bit_table(spots: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-def member_filter(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str, bits: int = 1 << 23) -> DataFrame:
-    """The ``rows`` whose key may be among the wanted ones (a Bloom filter of ``bits`` bits).
+def member_filter(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str, most_bits: int = 1 << 27) -> DataFrame:
+    """The ``rows`` whose key may be among the wanted ones (a Bloom filter).
 
-    The filter is summed on Spark word by word and has a fixed size, so it may be broadcast
-    whatever the number of keys.  It lets all wanted rows through and few others while the keys
+    The filter is summed on Spark word by word and has at most ``most_bits`` bits, so it may be
+    broadcast whatever the number of keys.  It lets all wanted rows through and few others while the keys
     are fewer than its bits; an exact join has to follow where others would do harm.
     """
+    bits = min(most_bits, max(1 << 20, 1 << (8 * wanted.count()).bit_length()))
+
     def place(k, seed):
         return F.pmod(F.xxhash64(F.col(k), F.lit(seed)), F.lit(bits))
     spots = wanted.select(F.explode(F.array(*[place(wanted_key, s) for s in (1, 2)])).alias("p"))

@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from tessera.llm.common import (byte_codes, components, lower_ascii, member_filter, mixed, powers, saved,
+from tessera.llm.common import (bit_table, byte_codes, components, lower_ascii, member_filter, mixed, powers, saved,
                                 utf8_buffer)
 
 _CODES = byte_codes(1)
@@ -175,7 +176,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int
             out.append(den * both >= num * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
-    t = texts.select("node", "text")
+    t = _texts_of(texts, pairs, words)
     return (pairs.join(t.toDF("a", "left"), "a").join(t.toDF("b", "right"), "b")
             .where(linked("left", "right")).select("a", "b"))
 
@@ -219,21 +220,19 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     (verified links of its node that the search needed)."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     members = saved(set_table(d, words, num, den, counters), "sets")
-    nodes = members.where("n > 0").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "prefix", "ranges")])
-    posts = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    posts = saved(posts, "postings")
-    leads = posts.groupBy("token").agg(F.count("*").alias("holders"), F.min(F.struct("n", "node", "pos")).alias("lead")) \
-        .where("holders > 1")
-    leads = leads.select("token", "lead.node", "lead.n", "lead.pos")
-    nodes = saved(nodes.select("node", "n", "ranges"), "nodes")
-
+    nodes = members.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("ranges").alias("ranges"))
+    posts = members.where("n > 0").select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+    common = posts.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    common = saved(common.select("token"), "common-shingles")
+    held = member_filter(posts, "token", common, "token").groupBy("token", "node").agg(F.first("n").alias("n"),
+                                                                                       F.first("pos").alias("pos"))
     order = ["token", "node", "n", "pos"]
-    pairs = saved(_range_filter(_meet(posts.select(*order), leads.select(*order), num, den, F.lit(True)),
-                                nodes, num, den), "led-pairs")
-    held = posts.join(leads.select("token"), "token", "left_semi").select(*order)
-    held = saved(held, "held-postings")
-    texts = saved(_texts_of(d, held.select("node").distinct(), words), "held-texts")
-    links = saved(_verified(pairs, texts, words, num, den), "led-links")
+    held = saved(held.join(common, "token").select(*order), "postings")
+    leads = held.groupBy("token").agg(F.min(F.struct("n", "node", "pos")).alias("lead")) \
+        .select("token", "lead.node", "lead.n", "lead.pos")
+    pairs = saved(_range_filter(saved(_meet(held, leads.select(*order), num, den, F.lit(True)), "led-pairs"),
+                                nodes, num, den), "led-candidates")
+    links = saved(_verified(pairs, d, words, num, den), "led-links")
     parts = components(links)
 
     def part_of(rows, node="node"):
@@ -244,8 +243,10 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     held = part_of(held)
     mixed_tokens = held.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
     rest = saved(held.join(mixed_tokens.select("token"), "token", "left_semi").select(*order, "part"), "open-postings")
-    more = saved(_range_filter(_meet(rest, rest, num, den, F.col("part_x") < F.col("part_y")), nodes, num, den), "open-pairs")
-    more = saved(_verified(more.join(pairs, ["a", "b"], "left_anti"), texts, words, num, den), "open-links")
+    more = saved(_meet(rest, rest, num, den, F.col("part_x") < F.col("part_y")).join(pairs, ["a", "b"], "left_anti"),
+                 "open-pairs")
+    more = saved(_range_filter(more, nodes, num, den), "open-candidates")
+    more = saved(_verified(more, d, words, num, den), "open-links")
     joined = part_of(part_of(more, "a").withColumnRenamed("part", "x"), "b").select("x", F.col("part").alias("y"))
     roots = components(joined, "x", "y").select(F.col("node").alias("_r"), F.col("root").alias("top"))
 
@@ -261,12 +262,40 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     return some.unionByName(none)
 
 
-def _texts_of(d: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """One text for every wanted node."""
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, num: int = 80,
+                den: int = 100) -> DataFrame:
+    """The rows of ``docs`` that stay when one text of each group does: the one with the least
+    id; of rows with this id and different texts the one that sorts first, of equal rows one.
+    Texts without words and rows without an id are left as they are."""
+    groups = saved(similar(docs, doc_id, text, words, num, den), "groups")
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    body = F.coalesce(F.col(text), F.lit(""))
+    solid = body.rlike("[^\\x20\\x09-\\x0D]") & F.col(doc_id).isNotNull()
+    w = W.partitionBy(doc_id).orderBy(text)
+    one = docs.where(solid).join(first, doc_id, "left_semi") \
+        .withColumn("_row", F.row_number().over(w)).where("_row = 1").drop("_row")
+    return one.unionByName(docs.where(~solid))
+
+
+def _texts_of(d: DataFrame, pairs: DataFrame, words: int, bits: int = 1 << 23) -> DataFrame:
+    """One text for every node of ``pairs`` (and a few others): written once, read by both joins.
+
+    Names of nodes are hashes, so some of their bits say where they stand in a bit set of fixed
+    size that tells tasks which texts to send on."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("k"))
+    spots = ends.select(F.explode(F.array(F.col("k").bitwiseAND(F.lit(bits - 1)),
+                                          F.shiftrightunsigned("k", 32).bitwiseAND(F.lit(bits - 1)))).alias("p"))
+    shared = d.sparkSession.sparkContext.broadcast(bit_table(spots, bits))
+
     def name(batches):
+        table = shared.value
         for batch in batches:
-            keys = [set_key(s) for s in shingle_sets(batch.column("text"), words)]
-            yield pa.record_batch([pa.array(keys, pa.int64()), batch.column("text")], ["node", "text"])
+            k = np.array([set_key(s) for s in shingle_sets(batch.column("text"), words)], np.int64)
+            p, q = k & (bits - 1), k.view(np.uint64) >> np.uint64(32)
+            q = (q & np.uint64(bits - 1)).astype(np.int64)
+            ok = np.flatnonzero((table[p >> 5] >> (p & 31).astype(np.uint32)) & (table[q >> 5] >> (q & 31).astype(np.uint32)) & 1)
+            of = pa.array(ok)
+            yield pa.record_batch([pa.array(k[ok]), batch.column("text").take(of).cast(pa.string())], ["node", "text"])
+
     t = d.select("text").mapInArrow(name, "node long, text string")
-    t = member_filter(t, "node", wanted, "node")
-    return t.groupBy("node").agg(F.first("text").alias("text"))
+    return saved(t.groupBy("node").agg(F.first("text").alias("text")), "node-texts")
