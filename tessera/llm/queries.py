@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprints, html_text, line_rules, mixing, ngram_join, oracle, pieces, shards, suffix_dedup, tree_weighting
+from tessera.llm import fingerprints, html_text, licences, line_rules, mixing, ngram_join, oracle, pieces, shards, suffix_dedup, tree_weighting
 from tessera.llm.common import documents, ship_package
 from tessera.sources.tables import read_table
 
@@ -86,3 +86,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op9_licences")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, "doc_id", "text")
+    rows = licences.scanned(d, licences.trained(d))
+    sure = F.filter("notices", lambda x: x["confirmed"])
+    return rows.select("doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_notices"),
+                       F.size(sure).cast("long").alias("n_confirmed"),
+                       F.size(F.filter("notices", lambda x: x["family"] == "unknown")).cast("long").alias("n_unknown"),
+                       F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))).alias("families"))
