@@ -101,6 +101,7 @@ def gram_counts(texts: DataFrame, depth: int) -> DataFrame:
 
 def log_gamma(x: Column) -> Column:
     """Natural logarithm of the gamma function for x >= 1/2 (shifted Stirling series)."""
+    x = x.cast("double")
     y = x + 8
     r = 1 / (y * y)
     series = (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r / 1680))) / y
