@@ -41,7 +41,7 @@ from tessera.llm.common import bit_table, byte_codes, member_filter, mixed, powe
 
 LENGTH, SEED, SHALLOW = 100, 40, 16
 NO_ID = -(1 << 63)  # stands for a null id in keys, so joins are on plain columns
-PIECE = 1 << 20
+PIECE = 1 << 20  # a power of two
 _CODES = byte_codes(10)
 _BASE = 0xBF58476D1CE4E5B9
 _TABLES: list[np.ndarray] = []

@@ -70,7 +70,7 @@ def test_pieces_of_long_texts(table, monkeypatch):
                 out |= {(t, a + k, a + o, x) for k in range(n)}
         return out
     whole = starts()
-    monkeypatch.setattr(sd, "PIECE", 700)
+    monkeypatch.setattr(sd, "PIECE", 512)
     sd._TABLES.clear()
     assert starts() == whole and len(whole) == 4901 + 201
     sd._TABLES.clear()
