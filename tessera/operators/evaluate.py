@@ -22,11 +22,12 @@ INF = float("inf")
 
 
 def to_long(wide: DataFrame, pred_cols: dict[str, str], y: str = S.Y, keep=()) -> DataFrame:
-    """Wide predictions -> long (model, series_id, dt, y, yhat, *keep) with ``stack``."""
-    parts = ", ".join(f"'{m}', CAST({c} AS DOUBLE)" for m, c in pred_cols.items())
-    return wide.selectExpr(S.SERIES, S.DT, f"CAST({y} AS DOUBLE) AS y", *keep,
-                           f"stack({len(pred_cols)}, {parts}) AS (model, yhat)") \
-        .select("model", S.SERIES, S.DT, "y", "yhat", *keep)
+    """Wide predictions -> long (model, series_id, dt, y, yhat, *keep); any model or column name."""
+    def named(c):
+        return F.col("`" + c.replace("`", "``") + "`").cast("double")
+    pairs = F.array(*[F.struct(F.lit(m).alias("model"), named(c).alias("yhat")) for m, c in pred_cols.items()])
+    return wide.select(S.SERIES, S.DT, named(y).alias("y"), *keep, F.explode(pairs).alias("_p")) \
+        .select("_p.model", S.SERIES, S.DT, "y", "_p.yhat", *keep)
 
 
 def valid_pairs(long: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def direction_counts(long: DataFrame, across_series: bool = True, materialise: b
     """
     if across_series and materialise:
         # read twice below (consecutive pairs and series ends): compute it once
-        from tessera.operators.models import reliable
+        from tessera.tables import reliable
         long = reliable(long)
     w = Window.partitionBy("model", S.SERIES).orderBy(S.DT)
     inside = long.select("model", S.SERIES,
@@ -135,7 +136,7 @@ def metrics(long: DataFrame, median: str = "exact") -> DataFrame:
     The long table is read by several aggregations (point metrics, median,
     directions), so it is materialised once in the shared checkpoint folder.
     """
-    from tessera.operators.models import reliable
+    from tessera.tables import reliable
     long = reliable(long)
     pm = point_metrics(long, median)
     da = directional_accuracy(long, materialise=False)
@@ -179,7 +180,7 @@ def error_histogram(long: DataFrame, bins: int = 30, materialise: bool = True) -
     e = long.select("model", _err().alias("e"))
     if materialise:
         # read twice (extents, then bins): compute the narrow error column once
-        from tessera.operators.models import reliable
+        from tessera.tables import reliable
         e = reliable(e)
     ext = e.groupBy("model").agg(F.min("e").alias("lo"), F.max("e").alias("hi"),
                                  F.count(F.lit(1)).alias("n"))
@@ -187,7 +188,8 @@ def error_histogram(long: DataFrame, bins: int = 30, materialise: bool = True) -
     b = F.when(F.col("hi") > F.col("lo"),
                F.least(F.floor((F.col("e") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
                        F.lit(bins - 1)) + 1).otherwise(F.lit(1)).cast("int")
-    counts = e.join(ext, "model").groupBy("model", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    # one row per model, as many as prediction columns were given: bounded
+    counts = e.join(F.broadcast(ext), "model").groupBy("model", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = ext.select("model", "lo", "hi", "n", width.alias("width"),
                       F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     out = grid.join(counts, ["model", "bin"], "left").select(
@@ -226,46 +228,39 @@ def report_lines(metrics_df: DataFrame, title: str = "PANEL FORECASTING - MODEL
     """The evaluation report as (line_no, line): header, comparison block (fixed
     width), per-model details, ranking and recommendations.
 
-    Built from the metrics table (one row per model) with string formatting
-    on Spark; the line numbers give the order.
+    Built from the metrics table (one row per model) with string formatting on Spark.
+    ``line_no`` orders the lines by (section, rank, item): sections have room for a
+    billion models of up to a thousand lines each.
     """
     ranked = ranking(metrics_df)
     spark = metrics_df.sparkSession
-    rule = "=" * 60
-    dash = "-" * 40
-    head = [rule, title, rule, "", "MODEL PERFORMANCE COMPARISON", dash]
-    cols = ["Model"] + S.METRIC_COLS
-    header = " ".join(f"{c:>20}" for c in cols)
-    fixed = spark.createDataFrame([(i, s) for i, s in enumerate(head)] + [(len(head), header)],
-                                  "line_no int, line string")
-    base = 100
-    comp = ranked.select(
-        (F.lit(base) + F.col("rank")).alias("line_no"),
-        F.concat_ws(" ", F.format_string("%20s", "model"),
-                    *[F.format_string("%20.6f", F.col(c)) for c in S.METRIC_COLS]).alias("line"))
-    detail_base = 1000
-    per_model = []
-    per_model.append(ranked.select((F.lit(detail_base) + F.col("rank") * 20).alias("line_no"),
-                                   F.concat(F.lit("\n"), F.upper("model"), F.lit(":")).alias("line")))
-    for i, c in enumerate(S.METRIC_COLS, 1):
-        per_model.append(ranked.select(
-            (F.lit(detail_base) + F.col("rank") * 20 + i).alias("line_no"),
-            F.format_string(f"  {c}: %.4f", F.col(c)).alias("line")))
-    rank_base = 5000
-    rank_lines = ranked.select((F.lit(rank_base) + F.col("rank")).alias("line_no"),
-                               F.format_string("%d. %s: RMSE = %.2f", "rank", "model", "RMSE")
-                               .alias("line"))
-    best = best_models(metrics_df, family)
-    rec = best.select(F.explode(F.array(
-        F.struct(F.lit(9001).alias("line_no"), F.concat(F.lit("• Best performing model: "), "best_model").alias("line")),
-        F.struct(F.lit(9002).alias("line_no"), F.concat(F.lit(f"• Best {family.upper()} model: "), "best_family_model").alias("line")),
-        F.struct(F.lit(9003).alias("line_no"), F.concat(F.lit("• Best traditional ML model: "), "best_other_model").alias("line")),
-    )).alias("r")).select("r.*").where(F.col("line").isNotNull())
-    static = spark.createDataFrame(
-        [(150, ""), (900, "DETAILED MODEL METRICS"), (901, dash),
-         (4998, "\nMODEL RANKING (by RMSE)"), (4999, dash),
-         (8998, "\nRECOMMENDATIONS"), (8999, dash), (9999, "\n" + rule)],
-        "line_no int, line string")
-    parts = [fixed, comp, *per_model, rank_lines, rec, static]
-    out = reduce(lambda a, b: a.unionByName(b), [p.select(F.col("line_no").cast("int"), "line") for p in parts])
-    return out
+    rule, dash = "=" * 60, "-" * 40
+    header = " ".join(f"{c:>20}" for c in ["Model"] + S.METRIC_COLS)
+
+    def number(section, rank=0, item=0):
+        rank = F.col(rank) if isinstance(rank, str) else F.lit(rank)
+        return (F.lit(section).cast("long") * 10 ** 12 + rank.cast("long") * 1000 + item).alias("line_no")
+
+    def plain(section, texts):
+        rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, line string")
+        return rows.select((F.lit(section).cast("long") * 10 ** 12 + F.col("i")).alias("line_no"), "line")
+
+    comparison = ranked.select(number(2, "rank"), F.concat_ws(
+        " ", F.format_string("%20s", "model"),
+        *[F.format_string("%20.6f", F.col(c)) for c in S.METRIC_COLS]).alias("line"))
+    items = F.array(F.concat(F.lit("\n"), F.upper("model"), F.lit(":")),
+                    *[F.format_string(f"  {c}: %.4f", F.col(c)) for c in S.METRIC_COLS])
+    details = ranked.select("rank", F.posexplode(items).alias("i", "line")) \
+        .select(number(5, "rank", F.col("i")), "line")
+    order = ranked.select(number(7, "rank"),
+                          F.format_string("%d. %s: RMSE = %.2f", "rank", "model", "RMSE").alias("line"))
+    advice = best_models(metrics_df, family).select(F.posexplode(F.array(
+        F.concat(F.lit("• Best performing model: "), "best_model"),
+        F.concat(F.lit(f"• Best {family.upper()} model: "), "best_family_model"),
+        F.concat(F.lit("• Best traditional ML model: "), "best_other_model"))).alias("i", "line")) \
+        .where(F.col("line").isNotNull()).select(number(9, 0, F.col("i")), "line")
+    parts = [plain(1, [rule, title, rule, "", "MODEL PERFORMANCE COMPARISON", dash, header]), comparison,
+             plain(3, [""]), plain(4, ["DETAILED MODEL METRICS", dash]), details,
+             plain(6, ["\nMODEL RANKING (by RMSE)", dash]), order,
+             plain(8, ["\nRECOMMENDATIONS", dash]), advice, plain(10, ["\n" + rule])]
+    return reduce(lambda a, b: a.unionByName(b), parts)

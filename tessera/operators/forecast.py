@@ -203,7 +203,7 @@ def sequence_regression(df: DataFrame, feature_cols: list[str], length: int = S.
     from pyspark.ml.regression import GBTRegressor
 
     data, ranges = sequence_dataset(df, feature_cols, length, validation_split)
-    from tessera.operators.models import reliable
+    from tessera.tables import reliable
     data = reliable(data)
     gbt = GBTRegressor(labelCol="label", featuresCol="features", maxIter=max_iter, maxDepth=4,
                        stepSize=0.1, seed=seed, validationIndicatorCol="is_validation",
@@ -261,7 +261,7 @@ def sequence_forecast(model, panel: DataFrame, feature_cols: list[str], horizon:
     """
     from pyspark.ml.functions import array_to_vector
 
-    from tessera.operators.models import reliable
+    from tessera.tables import reliable
     ranges = model.tessera_ranges
     lo_y, hi_y = ranges[S.Y]
 

@@ -15,28 +15,30 @@ from pyspark.sql import SparkSession
 from tessera import __version__
 from tessera.operators import models as mdl
 from tessera.session import shared_path
+from tessera.sources.tables import fingerprint
+from tessera.tables import path_exists, reliable
 
 _MEMO: dict[str, PipelineModel] = {}
 
 
-def _key(sf_dir: str, name: str, tag: str, cols) -> str:
-    """Store key: input folder, tag, feature list and the model parameters, so a
+def _key(sf_dir: str, data: str, name: str, tag: str, cols) -> str:
+    """Store key: input folder and the state of its files, tag, feature list and the model parameters, so a
     change of any of them fits a new model instead of reusing a stale one."""
     from tessera import schema as S
-    spec = f"{__version__}|{sf_dir.rstrip('/')}|{tag}|{','.join(cols)}|{S.RF_PARAMS}|{S.GBT_PARAMS}"
+    spec = f"{__version__}|{sf_dir.rstrip('/')}|{data}|{tag}|{','.join(cols)}|{S.RF_PARAMS}|{S.GBT_PARAMS}"
     h = hashlib.sha1(spec.encode()).hexdigest()[:16]
     return f"models/{h}/{name}"
 
 
 def get_model(spark: SparkSession, sf_dir: str, name: str, train_fn, cols, tag: str = "panel") -> PipelineModel:
     """``train_fn()`` returns the training frame; fitted only when no saved model exists."""
-    path = shared_path(spark, _key(sf_dir, name, tag, cols))
+    path = shared_path(spark, _key(sf_dir, fingerprint(spark, sf_dir), name, tag, cols))
     if path in _MEMO:
         return _MEMO[path]
-    try:
+    if path_exists(spark, path):
         model = PipelineModel.load(path)
-    except Exception:
-        model = mdl.fit(name, mdl.reliable(train_fn()), cols)
+    else:
+        model = mdl.fit(name, reliable(train_fn()), cols)
         model.write().overwrite().save(path)
     _MEMO[path] = model
     return model
@@ -47,6 +49,6 @@ def get_models(spark, sf_dir, names, train_fn, cols, tag: str = "panel") -> dict
 
     def once():
         if "df" not in frame:
-            frame["df"] = mdl.reliable(train_fn())
+            frame["df"] = reliable(train_fn())
         return frame["df"]
     return {n: get_model(spark, sf_dir, n, once, cols, tag) for n in names}

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera import schema as S
 from tessera.operators import panel as pnl
+from tessera.tables import reliable
 
 NON_FEATURES = [S.Y, S.DT, S.SERIES, S.SERIES_NAME]
 MODEL_NAMES = ["linear_regression", "random_forest", "gradient_boosting"]
@@ -98,23 +99,6 @@ def fit(name: str, df: DataFrame, cols: list[str], params: dict | None = None) -
     return make_pipeline(name, pipeline_columns(name, df, cols), params).fit(df)
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Cut lineage: write the frame as a parquet table below the cluster's
-    ``spark.checkpoint.dir`` and read it back.
-
-    Unlike ``Dataset.checkpoint`` (which runs the plan once for the action and
-    once more to write the checkpoint unless the data is cached) the plan runs
-    once; readers get columnar scans, and a lost executor re-reads the table
-    instead of recomputing the upstream plan.
-    """
-    import uuid
-
-    from tessera.session import shared_path
-    path = shared_path(df.sparkSession, f"tables/{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # --- time-ordered folds --------------------------------------------------------
 def ts_folds(df: DataFrame, n_splits: int = S.CV_FOLDS, by: str = "row") -> DataFrame:
     """Expanding-window folds: fold f tests rows [N-(k-f)t, N-(k-f)t+t), t = N//(k+1),
@@ -139,17 +123,11 @@ def ts_folds(df: DataFrame, n_splits: int = S.CV_FOLDS, by: str = "row") -> Data
 
 
 def _date_index(df: DataFrame) -> DataFrame:
-    """0-based position in (dt, series_id) order: rank inside the day + rows of
-    earlier days (one window pass, materialised once, distributed prefix sum)."""
+    """0-based position in (dt, series_id) order, by distributed prefix sums: no task sorts
+    all series of a day."""
     from tessera.operators.positions import exclusive_prefix_sum
-    ranked = reliable(df.withColumns({
-        "_pos": F.row_number().over(Window.partitionBy(S.DT).orderBy(S.SERIES)) - 1,
-        "_n": F.count(F.lit(1)).over(Window.partitionBy(S.DT))}))
-    counts = ranked.where(F.col("_pos") == 0).select(S.DT, "_n")
-    offsets = exclusive_prefix_sum(counts, [S.DT], "_n", "_off").select(S.DT, "_off")
-    return (ranked.join(offsets, S.DT)
-            .withColumn("global_idx", F.col("_off") + F.col("_pos"))
-            .drop("_off", "_pos", "_n"))
+    one = df.withColumn("_one", F.lit(1).cast("long"))
+    return exclusive_prefix_sum(one, [S.DT, S.SERIES], "_one", "global_idx").drop("_one")
 
 
 def cross_validate(name: str, df: DataFrame, cols: list[str], n_splits: int = S.CV_FOLDS,

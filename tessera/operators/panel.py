@@ -17,10 +17,10 @@ from tessera import schema as S
 from tessera.functions import calendar as cal
 
 
-def series_name_expr(series: str | Column = S.SERIES) -> Column:
-    """Display name of a series key: drop a leading 'N-' rank and lower-case."""
+def series_name_expr(series: str | Column = S.SERIES, drop: str | None = None) -> Column:
+    """Display name of a series key: lower case, without what the pattern ``drop`` matches."""
     c = F.col(series) if isinstance(series, str) else series
-    return F.lower(F.regexp_replace(c, r"^[0-9]+-", ""))
+    return F.lower(F.regexp_replace(c, drop, "") if drop else c)
 
 
 def daily_totals(obs: DataFrame, value_col: str = "amount") -> DataFrame:
@@ -53,7 +53,7 @@ def fill_gaps(daily: DataFrame, start, end) -> DataFrame:
 
 def build_panel(obs: DataFrame, start=None, end=None, value_col: str = "amount",
                 floor_value: int = S.Y_FLOOR, with_raw_calendar: bool = False,
-                materialise_daily: bool = False) -> DataFrame:
+                materialise_daily: bool = False, drop_from_name: str | None = None) -> DataFrame:
     """Observations (series_id, dt, amount) -> dense daily panel (series_id, series_name, dt, y).
 
     Days without observations count as 0 and every value is clamped below at
@@ -61,7 +61,8 @@ def build_panel(obs: DataFrame, start=None, end=None, value_col: str = "amount",
     to the observed global range; when given, observations outside are
     filtered before the shuffle (the filter reaches the parquet scan).
     ``materialise_daily`` writes the daily totals once (for joined sources,
-    whose bounds subquery would otherwise repeat the join).
+    whose bounds subquery would otherwise repeat the join).  ``drop_from_name`` is a
+    pattern that display names leave out.
     """
     if start is not None:
         obs = obs.where(F.col(S.DT) >= F.lit(start).cast("date"))
@@ -71,7 +72,7 @@ def build_panel(obs: DataFrame, start=None, end=None, value_col: str = "amount",
     if materialise_daily:
         # expensive sources (joins): compute the daily totals once; the bounds
         # and the gap filling then both read the written table
-        from tessera.operators.models import reliable
+        from tessera.tables import reliable
         daily = reliable(daily)
     # missing bounds come from scalar subqueries of the same query (no separate
     # action, no driver round trip); Catalyst merges the min and max into one
@@ -82,7 +83,7 @@ def build_panel(obs: DataFrame, start=None, end=None, value_col: str = "amount",
         end = daily.select(F.max(S.DT)).scalar()
     dense = fill_gaps(daily, start, end)
     panel = dense.select(
-        S.SERIES, series_name_expr(S.SERIES).alias(S.SERIES_NAME), S.DT,
+        S.SERIES, series_name_expr(S.SERIES, drop_from_name).alias(S.SERIES_NAME), S.DT,
         cal.clamp_floor(F.coalesce(F.col("y_raw"), F.lit(0)), floor_value).alias(S.Y))
     if with_raw_calendar:
         panel = raw_calendar(panel)
@@ -132,7 +133,7 @@ def with_global_index(panel: DataFrame, order_cols=(S.SERIES, S.DT)) -> DataFram
     (``positions.exclusive_prefix_sum``), so a very large number of series
     never meets in one task; it is joined back on series_id.
     """
-    from tessera.operators.models import reliable
+    from tessera.tables import reliable
     from tessera.operators.positions import exclusive_prefix_sum
     series_col = order_cols[0]
     w = Window.partitionBy(series_col).orderBy(*order_cols[1:])

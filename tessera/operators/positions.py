@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 def exclusive_prefix_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
                          group_cols: list[str] | tuple = (), num_partitions: int | None = None) -> DataFrame:
-    from tessera.operators.models import reliable
+    from tessera.tables import reliable
 
     group_cols = list(group_cols)
     # without an explicit count AQE may coalesce neighbouring ranges (partition

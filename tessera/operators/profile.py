@@ -90,35 +90,47 @@ def series_profile(panel: DataFrame) -> DataFrame:
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation for every ordered column pair, long form
-    (col_a, pos_a, col_b, pos_b, corr).
-
-    Two distributed passes over the narrow numeric projection (materialised
-    once): the column means / min / max, then Spark ML's ``Correlation`` on
-    the mean-centred vectors (one tree aggregation of the k x k Gram matrix;
-    centring keeps it free of cancellation).  A constant column gets null
-    correlations; rows with a missing value are skipped.  Only the k x k
-    result (bounded by the number of columns)
-    reaches the driver.
+    (col_a, pos_a, col_b, pos_b, corr), each over the rows that have both values.
+
+    Two passes over the narrow numeric projection (materialised once): the column means,
+    then one row of centred sums per task and their total: for masks M (value present)
+    and values X (0 where absent) the k x k products X'X, X'M, (X*X)'M and M'M.  Centring
+    keeps the sums free of cancellation.  A pair with a constant side, or fewer than two
+    rows, gets null.  Only k x k sums reach the driver, bounded by the number of columns.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+    import numpy as np
 
-    from tessera.operators.models import reliable
+    from tessera.tables import reliable
     k = len(cols)
     x = reliable(df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]))
-    st = x.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(k)],
-               *[(F.max(f"x{i}") == F.min(f"x{i}")).alias(f"c{i}") for i in range(k)]).first()
-    const = [bool(st[f"c{i}"]) for i in range(k)]
-    cen = x.select(*[(F.col(f"x{i}") - F.lit(st[f"m{i}"])).alias(f"d{i}") for i in range(k)])
-    vec = VectorAssembler(inputCols=[f"d{i}" for i in range(k)], outputCol="_v",
-                          handleInvalid="skip").transform(cen).select("_v")
-    mat = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    first = x.agg(*[F.avg(F.when(~F.isnan(f"x{i}"), F.col(f"x{i}"))).alias(f"m{i}") for i in range(k)]).first()
+    means = np.array([m if m is not None else 0.0 for m in first])
+
+    def sums(batches):
+        import pandas as pd
+        total = np.zeros((4, k, k))
+        for pdf in batches:
+            v = pdf.to_numpy(dtype=float) - means
+            m = np.isfinite(v).astype(float)
+            v = np.where(m > 0, v, 0.0)
+            total += np.stack([v.T @ v, v.T @ m, (v * v).T @ m, m.T @ m])
+        yield pd.DataFrame({"part": range(4 * k), "row": list(total.reshape(4 * k, k))})
+
+    parts = x.mapInPandas(sums, "part int, row array<double>") \
+        .select("part", F.posexplode("row").alias("j", "v")).groupBy("part", "j").agg(F.sum("v").alias("v"))
+    total = np.zeros((4 * k, k))
+    for part, j, v in parts.collect():
+        total[part, j] = v
+    xy, xm, xxm, n = total.reshape(4, k, k)
     rows = []
     for i in range(k):
         for j in range(k):
-            r = None if const[i] or const[j] else float(mat[i][j])
-            if r is not None and r != r:  # NaN
-                r = None
+            r = None
+            if n[i, j] >= 2:
+                va = xxm[i, j] - xm[i, j] ** 2 / n[i, j]
+                vb = xxm[j, i] - xm[j, i] ** 2 / n[i, j]
+                if va > 1e-12 * xxm[i, j] and vb > 1e-12 * xxm[j, i]:
+                    r = float((xy[i, j] - xm[i, j] * xm[j, i] / n[i, j]) / np.sqrt(va * vb))
             rows.append((cols[i], i, cols[j], j, 1.0 if i == j and r is not None else r))
     return df.sparkSession.createDataFrame(
         rows, "col_a string, pos_a int, col_b string, pos_b int, corr double")
@@ -192,11 +204,3 @@ def quality_checks(obs: DataFrame, value_col: str = "amount", lo: float = 0.0,
         F.sum("low").cast("long").alias("below_range"), F.sum("high").cast("long").alias("above_range"),
         F.sum(F.col("k") - 1).cast("long").alias("duplicate_rows"),
         (F.datediff(F.max(S.DT), F.min(S.DT)) + 1 - F.count(F.lit(1))).cast("long").alias("missing_days"))
-
-
-def reference_segment_dim(spark) -> DataFrame:
-    """The original five road segments with their generator parameters (fixed values)."""
-    return spark.createDataFrame(
-        S.REFERENCE_SEGMENTS,
-        "segment_id string, name string, base_aadt long, growth_rate double, "
-        "seasonal_factor double, noise_level double")

@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 
 
 def _small(df: DataFrame) -> DataFrame:
-    from tessera.operators.models import reliable
+    from tessera.tables import reliable
     return reliable(df)
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, grid: int = 200,
-                 accuracy: int = 10000, max_bracket: int = 100000, max_rounds: int = 8) -> DataFrame:
+                 accuracy: int = 10000, max_bracket: int = 100000, max_rounds: int = 64) -> DataFrame:
     """(keys..., median): the average of the two middle values (interpolated
     median, as numpy/pandas); nulls ignored; a group without values -> null."""
     # the narrow (keys, value) column is materialised once: every round reads it
@@ -44,16 +44,6 @@ def exact_median(df: DataFrame, keys: list[str], value: str, grid: int = 200,
         (F.col("_n") / 2).cast("long").alias("_k2"), F.lit(0).cast("long").alias("_below")))
     pool = v
     parts = []
-    # direct path: when every group already fits the bounded collect, pick the
-    # middle ranks at once (no bracketing rounds)
-    largest = state.agg(F.max(F.col("_k1") + F.col("_k2") + 1)).first()[0]  # = max group size
-    if largest is not None and largest <= max_bracket:
-        whole = (v.groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_a"))
-                 .join(state, keys))
-        picked = whole.select(*keys, ((F.element_at("_a", (F.col("_k1") + 1).cast("int"))
-                                       + F.element_at("_a", (F.col("_k2") + 1).cast("int"))) / 2)
-                              .alias("median"))
-        return state_keys.join(picked, keys, "left")
     for _ in range(max_rounds):
         g = pool.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"),
                                     F.percentile_approx("_v", fractions, accuracy).alias("_g"))
@@ -96,10 +86,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, grid: int = 200,
         pool = pool.join(open_.select(*keys, "_lo", "_hi"), keys).where(inb).select(*keys, "_v")
         state = _small(open_.select(*keys, "_k1", "_k2", (F.col("_below") + F.col("_cl")).alias("_below")))
     else:
-        # still open after max_rounds: the pool is the bracket; finish with the
-        # exact percentile over the (now strongly reduced) pool
-        rest = pool.join(state.select(*keys, "_k1", "_k2", "_below"), keys)
-        parts.append(rest.groupBy(*keys).agg(F.median("_v").alias("median")))
+        raise RuntimeError(f"the median's brackets did not close in {max_rounds} rounds")
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)

@@ -11,7 +11,7 @@ from tessera.sources import tables
 
 def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main panel: daily order value per order priority, gap-filled, clamped."""
-    return pnl.build_panel(tables.orders_observations(spark, sf_dir))
+    return pnl.build_panel(tables.orders_observations(spark, sf_dir), drop_from_name=tables.ORDER_RANK)
 
 
 def events_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def run_data_processing(spark: SparkSession, sf_dir: str, start=None, end=None,
     obs = tables.OBSERVATION_SOURCES[source](spark, sf_dir)
     raw = pnl.build_panel(obs, start, end)
     import hashlib
-    digest = hashlib.sha1(f"{sf_dir.rstrip('/')}|{source}|{start}|{end}".encode()).hexdigest()[:16]
+    digest = hashlib.sha1(f"{sf_dir.rstrip('/')}|{tables.fingerprint(spark, sf_dir)}|{source}|{start}|{end}".encode()).hexdigest()[:16]
     path = materialise_to or shared_path(spark, f"processed-{digest}.parquet")
     processed = io.load_or_compute(spark, path, lambda: feat.processed_panel(raw))
     return {"panel": raw, "processed": processed, "summary": prof.data_summary(processed),

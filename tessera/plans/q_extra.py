@@ -109,16 +109,16 @@ def export_slice(spark, sf_dir):
     """CSV export of a filtered slice (with header) and its schema-typed read-back."""
     path = shared_path(spark, f"slice-{uuid.uuid4().hex}.csv")
     sl = pnl.filter_series_range(orders_panel(spark, sf_dir), "4-NOT SPECIFIED", "2000-01-01", "2000-12-31")
-    io.save_table(sl.coalesce(1), path)
+    io.save_table(sl, path)
     return io.load_table(spark, path, schema=sl.schema).select(S.SERIES, S.SERIES_NAME, S.DT, S.Y)
 
 
 _DRIFT_SQL = f"""WITH {Q.preds_ctes()},
-e AS (SELECT series_id, dt, (y - yhat) * (y - yhat) AS se FROM preds WHERE model = 'naive_lag_1'),
-r AS (SELECT series_id, dt,
-  sqrt(avg(se) OVER (PARTITION BY series_id ORDER BY dt ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) AS rolling_rmse,
-  sqrt(avg(se) OVER (PARTITION BY series_id)) AS baseline_rmse FROM e)
-SELECT series_id, dt, {Q.rsig('rolling_rmse')} AS rolling_rmse, {Q.rsig('baseline_rmse')} AS baseline_rmse,
+e AS (SELECT model, series_id, dt, (y - yhat) * (y - yhat) AS se FROM preds),
+r AS (SELECT model, series_id, dt,
+  sqrt(avg(se) OVER (PARTITION BY model, series_id ORDER BY dt ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) AS rolling_rmse,
+  sqrt(avg(se) OVER (PARTITION BY model, series_id)) AS baseline_rmse FROM e)
+SELECT model, series_id, dt, {Q.rsig('rolling_rmse')} AS rolling_rmse, {Q.rsig('baseline_rmse')} AS baseline_rmse,
   round(rolling_rmse / baseline_rmse, 6) AS ratio
 FROM r WHERE rolling_rmse > 1.25 * baseline_rmse"""
 
@@ -127,11 +127,10 @@ FROM r WHERE rolling_rmse > 1.25 * baseline_rmse"""
 def drift_alerts(spark, sf_dir):
     """Days where the 30-day rolling RMSE of a model exceeds 1.25 x its whole-series RMSE."""
     from pyspark.sql import Window
-    e = naive_long(spark, sf_dir).where(F.col("model") == "naive_lag_1") \
-        .select(S.SERIES, S.DT, F.pow(F.col("y") - F.col("yhat"), 2).alias("se"))
-    w = Window.partitionBy(S.SERIES).orderBy(S.DT)
-    r = e.select(S.SERIES, S.DT, F.sqrt(F.avg("se").over(w.rowsBetween(-29, 0))).alias("rolling_rmse"),
-                 F.sqrt(F.avg("se").over(Window.partitionBy(S.SERIES))).alias("baseline_rmse"))
+    e = naive_long(spark, sf_dir).select("model", S.SERIES, S.DT, F.pow(F.col("y") - F.col("yhat"), 2).alias("se"))
+    w = Window.partitionBy("model", S.SERIES).orderBy(S.DT)
+    r = e.select("model", S.SERIES, S.DT, F.sqrt(F.avg("se").over(w.rowsBetween(-29, 0))).alias("rolling_rmse"),
+                 F.sqrt(F.avg("se").over(Window.partitionBy("model", S.SERIES))).alias("baseline_rmse"))
     out = r.where(F.col("rolling_rmse") > 1.25 * F.col("baseline_rmse")) \
         .withColumn("ratio", F.round(F.col("rolling_rmse") / F.col("baseline_rmse"), 6))
     return round_sig_cols(out, ["rolling_rmse", "baseline_rmse"])

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera import schema as S
-from tessera.operators import evaluate as ev, forecast as fc
+from tessera.operators import evaluate as ev, features as feat, forecast as fc
 from tessera.operators import panel as pnl
 from tessera.plans import sql as Q
 from tessera.plans.common import orders_panel, orders_processed
@@ -91,20 +91,27 @@ def ffill_lags(spark, sf_dir):
 
 
 @query("forecast_overlay", f"""WITH {_FUT_CTES},
-lasty AS (SELECT series_id, y FROM lastrow)
-SELECT p.series_id, p.dt, 'actual' AS kind, CAST(p.y AS DOUBLE) AS value FROM panel p, mx WHERE p.dt > mx.last_dt - 90
+lasty AS (SELECT series_id, y FROM lastrow),
+{Q.features_cte(digits_cyclic=None, digits_roll=None)},
+fitted AS (SELECT series_id, dt, {', '.join(f"{c} AS {m}" for m, c in Q.NAIVE_MODELS.items())},
+  row_number() OVER (PARTITION BY series_id ORDER BY dt DESC) AS k FROM feat)
+SELECT p.series_id, p.dt, 'actual' AS kind, CAST(p.y AS DOUBLE) AS value FROM panel p
+UNION ALL
+{' UNION ALL '.join(f"SELECT series_id, dt, '{m}' AS kind, CAST({m} AS DOUBLE) AS value FROM fitted WHERE k <= 30" for m in Q.NAIVE_MODELS)}
 UNION ALL
 SELECT f.series_id, f.dt, 'forecast' AS kind, CAST(l.y AS DOUBLE) AS value FROM fut f JOIN lasty l ON f.series_id = l.series_id""")
 def forecast_overlay(spark, sf_dir):
-    """Chart table: the last 90 days of history and a 30-day last-value forecast, tagged by kind."""
+    """Chart table: the whole history, every naive model's values for the last 30 rows of each
+    series, and a 30-day last-value forecast, tagged by kind."""
     p = orders_panel(spark, sf_dir)
     last_dt = fc.last_date(p)
-    hist = p.where(F.col(S.DT) > F.date_sub(F.lit(last_dt).cast("date"), 90)).select(
-        S.SERIES, S.DT, F.lit("actual").alias("kind"), F.col(S.Y).cast("double").alias("value"))
+    hist = p.select(S.SERIES, S.DT, F.lit("actual").alias("kind"), F.col(S.Y).cast("double").alias("value"))
+    fitted = ev.recent_per_series(ev.to_long(feat.add_features(p), Q.NAIVE_MODELS), 30) \
+        .select(S.SERIES, S.DT, F.col("model").alias("kind"), F.col("yhat").alias("value"))
     lasty = pnl.latest_rows(p).select(S.SERIES, F.col(S.Y).cast("double").alias("value"))
     fut = fc.future_frame(p, H, last_dt).select(S.SERIES, S.DT).join(lasty, S.SERIES) \
         .select(S.SERIES, S.DT, F.lit("forecast").alias("kind"), "value")
-    return hist.unionByName(fut)
+    return hist.unionByName(fitted).unionByName(fut)
 
 
 @query("predict_future")

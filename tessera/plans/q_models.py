@@ -11,6 +11,7 @@ from tessera.operators import model_store
 from tessera.plans import sql as Q
 from tessera.plans.common import orders_processed
 from tessera.plans.registry import query, round_doubles, round_sig_cols
+from tessera.tables import reliable
 
 _FEATS = S.FEATURE_NAMES
 _PROC = f"""WITH {Q.panel_ctes()},
@@ -103,7 +104,7 @@ def ols_single(spark, sf_dir):
 
 
 def _fit_predict(spark, sf_dir, name):
-    df = mdl.reliable(training_frame(spark, sf_dir))
+    df = reliable(training_frame(spark, sf_dir))
     model = mdl.fit(name, df, _FEATS)
     return model.transform(df).select(S.SERIES, S.DT, "label", "prediction")
 

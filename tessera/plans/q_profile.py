@@ -119,6 +119,31 @@ def corr_matrix(spark, sf_dir):
     return round_doubles(prof.corr_matrix(orders_processed(spark, sf_dir), _CORR_COLS), 6)
 
 
+def _corr_nullable_sql() -> str:
+    cols, rows = _CORR_COLS, []
+    aggs = [f"stddev_pop(CAST({c} AS DOUBLE)) AS s{i}" for i, c in enumerate(cols)]
+    for i, a in enumerate(cols):
+        rows.append(f"SELECT '{a}' AS col_a, {i} AS pos_a, '{a}' AS col_b, {i} AS pos_b, "
+                    f"CASE WHEN s{i} = 0 THEN NULL ELSE 1.0 END AS corr FROM m")
+        for j in range(i + 1, len(cols)):
+            aggs.append(f"corr(CAST({a} AS DOUBLE), CAST({cols[j]} AS DOUBLE)) AS c{i}_{j}")
+            r = f"CASE WHEN isnan(c{i}_{j}) THEN NULL ELSE c{i}_{j} END"
+            rows.append(f"SELECT '{cols[j]}', {j}, '{a}', {i}, {r} FROM m")
+            rows.append(f"SELECT '{a}', {i}, '{cols[j]}', {j}, {r} FROM m")
+    return f"""WITH {Q.panel_ctes()},
+{Q.features_cte(digits_cyclic=None, digits_roll=None)},
+m AS (SELECT {', '.join(aggs)} FROM feat),
+u AS ({' UNION ALL '.join(rows)})
+SELECT col_a, CAST(pos_a AS INTEGER) AS pos_a, col_b, CAST(pos_b AS INTEGER) AS pos_b, round(corr, 6) AS corr FROM u"""
+
+
+@query("corr_matrix_nullable", _corr_nullable_sql())
+def corr_matrix_nullable(spark, sf_dir):
+    """Correlations of the panel before incomplete rows are dropped: every pair over the rows
+    that have both values."""
+    return round_doubles(prof.corr_matrix(orders_features(spark, sf_dir), _CORR_COLS), 6)
+
+
 @query("corr_lower_triangle", _corr_sql(True))
 def corr_lower_triangle(spark, sf_dir):
     """Heat-map cells below the diagonal (upper triangle and diagonal masked)."""

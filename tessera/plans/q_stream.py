@@ -25,12 +25,14 @@ SELECT sp.series_id, sp.dt, CAST(floor(greatest(coalesce(d.amount, 0), 1000)) AS
        CAST(coalesce(d.n_events, 0) AS BIGINT) AS n_events
 FROM sp LEFT JOIN d ON sp.series_id = d.series_id AND sp.dt = d.dt""")
 def stream_daily_panel(spark, sf_dir):
-    """Events as a file stream -> watermarked 1-day windows per event type -> exactly-once
+    """Events as a file stream (the whole table is a backfill, so without a watermark) -> 1-day
+    windows per event type -> exactly-once
     micro-batch sink -> newest aggregate per day -> gap-filled panel (y clamped as the
     batch panel, plus the event count)."""
     run = shared_path(spark, f"stream-{uuid.uuid4().hex}")
     schema = tables.read_table(spark, sf_dir, "events").schema
-    stream = live.daily_stream(spark, sf_dir, "events.parquet", schema, "ts", "event_type", "value")
+    stream = live.daily_stream(spark, tables.table_path(sf_dir, "events"), None, schema, "ts", "event_type", "value",
+                               watermark=None)
     live.run_to_completion(stream, f"{run}/sink", f"{run}/checkpoint",
                            state_partitions=spark.sparkContext.defaultParallelism)
     daily = live.read_latest(spark, f"{run}/sink")

@@ -47,15 +47,6 @@ CV_FOLDS = 5
 # Model hyper-parameters.
 RF_PARAMS = dict(numTrees=100, maxDepth=10, minInstancesPerNode=2, seed=42)
 GBT_PARAMS = dict(maxIter=100, stepSize=0.1, maxDepth=6, minInstancesPerNode=2, seed=42)
-# Road-segment dimension of the original synthetic data:
-# (segment_id, name, base_aadt, growth_rate, seasonal_factor, noise_level)
-REFERENCE_SEGMENTS = [
-    ("I-40_Raleigh_Durham", "I-40 Raleigh-Durham", 85000, 0.025, 0.15, 0.08),
-    ("I-85_Charlotte", "I-85 Charlotte", 95000, 0.03, 0.12, 0.07),
-    ("I-95_Fayetteville", "I-95 Fayetteville", 65000, 0.02, 0.18, 0.09),
-    ("US-421_Winston_Salem", "US-421 Winston-Salem", 45000, 0.018, 0.10, 0.06),
-    ("NC-147_Durham", "NC-147 Durham", 35000, 0.035, 0.08, 0.05),
-]
 # Feature names in model order (target prefix "aadt" renamed to "y").
 FEATURE_NAMES = [
     "year", "month", "day_of_year", "day_of_week", "is_weekend", "is_holiday",

@@ -21,6 +21,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 FIXED_SIZE_TABLES = {"nation": 25, "region": 5}
 
 
+# order priorities carry a rank in front of their name ("1-URGENT")
+ORDER_RANK = r"^[0-9]+-"
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -31,6 +35,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and modification times of the tables in a folder (two levels), as one hash."""
+    import hashlib
+    root = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for s in fs.listStatus(root):
+        for f in fs.listStatus(s.getPath()) if s.isDirectory() else [s]:
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha1(repr(sorted(found)).encode()).hexdigest()[:16]
+
+
 def orders_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: series = order priority, dt = order date, amount = total price.
 

@@ -14,21 +14,34 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera import schema as S
+from tessera.tables import is_file, path_exists
 
 
-def daily_stream(spark: SparkSession, source_dir: str, file_glob: str, schema,
-                 ts_col: str, series_col: str, value_col: str, watermark: str = "2 days",
+def daily_stream(spark: SparkSession, source_dir: str, file_glob: str | None, schema,
+                 ts_col: str, series_col: str, value_col: str, watermark: str | None = "2 days",
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    """Daily totals of the files below ``source_dir`` (a folder, or a table written as one file or
+    a folder of part files); ``file_glob`` restricts file names.
+
+    Rows that come more than ``watermark`` after the newest event are dropped, as Spark says
+    when state is cleared.  For a backfill, where files may come in any order of time, give
+    ``watermark=None``: state is then kept for every day and nothing is dropped.
+    """
+    if is_file(spark, source_dir):  # file streams read folders
+        source_dir, file_glob = source_dir.rsplit("/", 1)
+    reader = spark.readStream.schema(schema)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(source_dir)
     ts = utc_instant(F.col(ts_col)) if schema[ts_col].dataType.typeName() == "timestamp_ntz" \
         else F.col(ts_col)
-    return (events.select(ts.alias("ts"), F.col(series_col).alias(S.SERIES),
-                          F.col(value_col).cast("decimal(18,2)").alias("amount"))
-            .withWatermark("ts", watermark)
-            .groupBy(F.window("ts", "1 day").alias("w"), S.SERIES)
+    rows = events.select(ts.alias("ts"), F.col(series_col).alias(S.SERIES),
+                         F.col(value_col).cast("decimal(18,2)").alias("amount"))
+    if watermark:
+        rows = rows.withWatermark("ts", watermark)
+    return (rows.groupBy(F.window("ts", "1 day").alias("w"), S.SERIES)
             .agg(F.count(F.lit(1)).alias("n_events"), F.sum("amount").alias("amount")))
 
 
@@ -81,7 +94,9 @@ def run_to_completion(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
 
 
 def read_latest(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """Newest aggregate per (series, day) across micro-batches."""
+    """Newest aggregate per (series, day) across micro-batches; no rows before the first batch."""
+    if not path_exists(spark, sink_dir):
+        return spark.createDataFrame([], "series_id string, dt date, n_events long, amount decimal(28,2)")
     df = spark.read.parquet(sink_dir)
     w = Window.partitionBy(S.SERIES, S.DT).orderBy(F.col("batch_id").desc())
     return (df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)

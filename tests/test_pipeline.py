@@ -121,12 +121,6 @@ def test_date_ordered_folds_never_test_before_train(spark):
         assert max(train_days) <= min(test_days)
 
 
-def test_reference_segment_dim(spark):
-    from tessera.operators.profile import reference_segment_dim
-    rows = reference_segment_dim(spark).collect()
-    assert len(rows) == 5 and rows[1].base_aadt == 95000
-
-
 def test_label_encode_both_methods_agree(spark):
     df = spark.createDataFrame([(s,) for s in ["b", "a", "c", "a", "b"]], "s string")
     d, _ = clean.label_encode(df, "s", "code")
