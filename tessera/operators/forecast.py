@@ -10,6 +10,7 @@ whole recursion runs inside one JVM expression per series row.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tessera import schema as S
 from tessera.functions import calendar as cal
 from tessera.operators import clean, features as feat, panel as pnl
+from tessera.tables import dropped, reliable
 
 
 def last_date(history: DataFrame):
@@ -184,16 +186,63 @@ def sequence_dataset(df: DataFrame, feature_cols: list[str], length: int = S.SEQ
     cols = list(feature_cols)
     ranges = clean.minmax_fit(df, cols + [S.Y])
     scaled = clean.minmax_scale(df, ranges, suffix="_s")
+    # the place of the cut is found on the narrow keys; the wide windows are neither sorted nor joined
+    place = F.row_number().over(Window.partitionBy(S.SERIES).orderBy(S.DT))
+    keys = df.select(S.SERIES, S.DT, place.alias("_place")).where(F.col("_place") > length).select(S.SERIES, S.DT)
+    keys = reliable(pnl.with_global_index(keys))
+    cut = int(math.floor((1 - validation_split) * keys.count()))
+    at = keys.where(F.col("global_idx") == cut).first()
+    late = F.lit(False) if at is None else (
+        (F.col(S.SERIES) > at[S.SERIES]) | ((F.col(S.SERIES) == at[S.SERIES]) & (F.col(S.DT) >= F.lit(at[S.DT]))))
     win = feat.sequence_windows(scaled, [f"{c}_s" for c in cols], length, target=f"{S.Y}_s")
-    win = pnl.with_global_index(win)
-    n = win.count()
-    cut = int(math.floor((1 - validation_split) * n))
     out = win.select(S.SERIES, S.DT, F.col("target").alias("label"),
-                     array_to_vector(F.flatten("window")).alias("features"),
-                     (F.col("global_idx") >= F.lit(cut)).alias("is_validation"))
+                     array_to_vector(F.flatten("window")).alias("features"), late.alias("is_validation"))
     return out, ranges
 
 
+@dataclass
+class SequenceModel:
+    """A fitted sequence model with all that forecasting needs: the scaling ranges of every column,
+    the feature columns in order, the window length and the losses per iteration."""
+    model: object
+    ranges: dict[str, tuple[float, float]]
+    columns: list[str]
+    length: int
+    losses: list[tuple[int, float, float]]
+
+    def save(self, spark, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/model")
+        rows = [("column", i, c, *map(float, self.ranges[c]), self.length) for i, c in enumerate(self.columns)]
+        rows.append(("target", 0, S.Y, *map(float, self.ranges[S.Y]), self.length))
+        rows += [("loss", i, "", a, b, self.length) for i, a, b in self.losses]
+        spark.createDataFrame(rows, "kind string, place int, name string, lo double, hi double, length int") \
+            .coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "SequenceModel":
+        from pyspark.ml.regression import GBTRegressionModel
+        rows = sorted(spark.read.parquet(f"{path}/settings").collect())
+        columns = [r for r in rows if r.kind == "column"]
+        ranges = {r.name: (r.lo, r.hi) for r in rows if r.kind in ("column", "target")}
+        return cls(GBTRegressionModel.load(f"{path}/model"), ranges, [r.name for r in columns], rows[0].length,
+                   [(r.place, r.lo, r.hi) for r in rows if r.kind == "loss"])
+
+    def predictions(self, df: DataFrame) -> DataFrame:
+        """Fitted values of every window of ``df`` in the original scale."""
+        from pyspark.ml.functions import array_to_vector
+        scaled = clean.minmax_scale(df, self.ranges, suffix="_s")
+        win = feat.sequence_windows(scaled, [f"{c}_s" for c in self.columns], self.length, target=f"{S.Y}_s")
+        lo, hi = self.ranges[S.Y]
+        x = win.select(S.SERIES, S.DT, F.col("target"), array_to_vector(F.flatten("window")).alias("features"))
+        return self.model.transform(x).select(S.SERIES, S.DT, (F.col("target") * (hi - lo) + lo).alias(S.Y),
+                                              (F.col("prediction") * (hi - lo) + lo).alias("yhat"))
+
+
+def fitted_sequence(df: DataFrame, feature_cols: list[str], length: int = S.SEQUENCE_LENGTH, **params) -> SequenceModel:
+    model, _, hist = sequence_regression(df, feature_cols, length, **params)
+    return SequenceModel(model, model.tessera_ranges, list(feature_cols), length, [tuple(r) for r in hist.collect()])
+
+
 def sequence_regression(df: DataFrame, feature_cols: list[str], length: int = S.SEQUENCE_LENGTH,
                         max_iter: int = 50, validation_split: float = 0.2, tol: float = 0.0,
                         seed: int = 42):
@@ -203,7 +252,6 @@ def sequence_regression(df: DataFrame, feature_cols: list[str], length: int = S.
     from pyspark.ml.regression import GBTRegressor
 
     data, ranges = sequence_dataset(df, feature_cols, length, validation_split)
-    from tessera.tables import reliable
     data = reliable(data)
     gbt = GBTRegressor(labelCol="label", featuresCol="features", maxIter=max_iter, maxDepth=4,
                        stepSize=0.1, seed=seed, validationIndicatorCol="is_validation",
@@ -261,8 +309,10 @@ def sequence_forecast(model, panel: DataFrame, feature_cols: list[str], horizon:
     """
     from pyspark.ml.functions import array_to_vector
 
-    from tessera.tables import reliable
-    ranges = model.tessera_ranges
+    if isinstance(model, SequenceModel):
+        model, ranges, feature_cols, length = model.model, model.ranges, model.columns, model.length
+    else:
+        ranges = model.tessera_ranges
     lo_y, hi_y = ranges[S.Y]
 
     def scaled(name: str, col: Column) -> Column:
@@ -282,6 +332,7 @@ def sequence_forecast(model, panel: DataFrame, feature_cols: list[str], horizon:
         S.SERIES, "last_dt", F.transform("_h", lambda r: r["_y"]).alias("hist"),
         F.transform("_wnd", lambda r: r["_row"]).alias("window"),
         F.array().cast("array<double>").alias("out"))
+    held = None  # the written state that the next one is computed from
     for step in range(1, horizon + 1):
         d = F.date_add(F.col("last_dt"), step)
         x = state.withColumn("features", array_to_vector(F.flatten("window")))
@@ -301,7 +352,10 @@ def sequence_forecast(model, panel: DataFrame, feature_cols: list[str], horizon:
             F.concat(F.slice("window", 2, length - 1), F.array(new_row)).alias("window"),
             F.concat("out", F.array("_yhat")).alias("out"))
         if step % materialise_every == 0 and step < horizon:
-            state = reliable(state)
+            state, old = reliable(state), held
+            if old is not None:
+                dropped(old)
+            held = state
     return state.select(S.SERIES, "last_dt", F.posexplode("out").alias("step", "yhat")).select(
         S.SERIES, F.date_add("last_dt", F.col("step") + 1).alias(S.DT),
         (F.col("step") + 1).alias("step"), "yhat")

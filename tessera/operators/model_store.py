@@ -52,3 +52,14 @@ def get_models(spark, sf_dir, names, train_fn, cols, tag: str = "panel") -> dict
             frame["df"] = reliable(train_fn())
         return frame["df"]
     return {n: get_model(spark, sf_dir, n, once, cols, tag) for n in names}
+
+
+def get_sequence(spark: SparkSession, sf_dir: str, train_fn, cols, tag: str = "sequence"):
+    """The stored sequence model with its ranges and length; fitted and saved when there is none."""
+    from tessera.operators import forecast as fc
+    path = shared_path(spark, _key(sf_dir, fingerprint(spark, sf_dir), "sequence", tag, cols))
+    if path not in _MEMO:
+        if not path_exists(spark, f"{path}/settings"):
+            fc.fitted_sequence(reliable(train_fn()), cols).save(spark, path)
+        _MEMO[path] = fc.SequenceModel.load(spark, path)
+    return _MEMO[path]

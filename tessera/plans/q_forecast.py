@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera import schema as S
 from tessera.operators import evaluate as ev, features as feat, forecast as fc
+from tessera.operators import model_store
 from tessera.operators import panel as pnl
 from tessera.plans import sql as Q
 from tessera.plans.common import orders_panel, orders_processed
@@ -127,6 +128,20 @@ def _roll(spark, sf_dir):
     return fc.roll_forward(orders_panel(spark, sf_dir), intercept, coefs, H)
 
 
+def stored_sequence(spark, sf_dir):
+    return model_store.get_sequence(spark, sf_dir, lambda: orders_processed(spark, sf_dir), [S.Y] + _FEATS)
+
+
+@query("sequence_summary")
+def sequence_summary(spark, sf_dir):
+    """The stored sequence model: window length, columns, trees, final and best losses."""
+    m = stored_sequence(spark, sf_dir)
+    best = min(m.losses, key=lambda r: r[2])
+    row = (m.length, len(m.columns), m.model.getNumTrees, m.losses[-1][1], m.losses[-1][2], best[0], best[2])
+    return spark.createDataFrame([row], "length int, n_columns int, n_trees int, final_loss double, "
+                                        "final_val_loss double, best_iter int, best_val_loss double")
+
+
 @query("roll_forward")
 def roll_forward(spark, sf_dir):
     """Recursive 30-step forecast: each predicted day feeds the next day's lags and windows."""
@@ -134,9 +149,8 @@ def roll_forward(spark, sf_dir):
 
 
 def _sequence(spark, sf_dir):
-    cols = [S.Y] + _FEATS
-    model, _, _ = fc.sequence_regression(orders_processed(spark, sf_dir), cols)
-    return fc.sequence_forecast(model, orders_panel(spark, sf_dir), cols, H)
+    model = stored_sequence(spark, sf_dir)
+    return fc.sequence_forecast(model, orders_panel(spark, sf_dir), model.columns, H)
 
 
 @query("sequence_forecast")
@@ -173,6 +187,6 @@ def evaluation_run(spark, sf_dir):
     df = training_frame(spark, sf_dir)
     wide = fc.score(models, df, keys=(S.SERIES, S.DT, "label"))
     long = ev.to_long(wide, {n: f"{n}_prediction" for n in models}, y="label")
-    _, seq, _ = fc.sequence_regression(orders_processed(spark, sf_dir), [S.Y] + _FEATS)
+    seq = stored_sequence(spark, sf_dir).predictions(orders_processed(spark, sf_dir))
     seq_long = seq.select(F.lit("sequence_model").alias("model"), S.SERIES, S.DT, S.Y, "yhat")
     return ev.ranking(ev.metrics(ev.valid_pairs(long.unionByName(seq_long)))).orderBy("rank")
