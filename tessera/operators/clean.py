@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import schema as S
+from tessera.tables import reliable
 
 
 def null_columns(df: DataFrame, cols: list[str]) -> list[str]:
@@ -24,6 +25,7 @@ def fill_rules(df: DataFrame, cols: list[str], only_null_cols: bool = True,
     The forward fill runs per series (it never carries a value across series).
     Column means come from one aggregation of bounded size (one value per column).
     """
+    df = reliable(df)  # read by the aggregation and by the fill
     # one aggregation answers both questions: which columns hold nulls, and
     # the mean of every rolling column (the upstream plan runs once for it)
     roll_all = [c for c in cols if "lag" not in c and "rolling" in c]
@@ -71,6 +73,7 @@ def label_encode(df: DataFrame, col: str, out_col: str | None = None, method: st
                               handleInvalid="error").fit(df)
         return model.transform(df).withColumn(out_col, F.col(out_col).cast("int")), model
     from tessera.operators.positions import exclusive_prefix_sum
+    df = reliable(df)  # read by the labels and by the join
     labels = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
     codes = exclusive_prefix_sum(labels, [col], "_one", out_col) \
         .select(col, F.col(out_col).cast("int").alias(out_col))
@@ -79,6 +82,7 @@ def label_encode(df: DataFrame, col: str, out_col: str | None = None, method: st
 
 def standardize(df: DataFrame, cols: list[str], suffix: str = "") -> DataFrame:
     """(x - mean) / population std; a constant column maps to 0."""
+    df = reliable(df)  # read by the statistics and by the scaling
     stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                    *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
     return df.withColumns({

@@ -50,7 +50,8 @@ def future_features(panel: DataFrame, horizon: int = S.FORECAST_DAYS, parity_fla
     With ``parity_flags`` the weekend / holiday flags are copied from the last
     history row (as the original did) instead of being recomputed.
     """
-    base = panel.select(S.SERIES, S.SERIES_NAME, S.DT, S.Y)
+    # read by the last date, the last rows, the union and the fill: computed once
+    base = reliable(panel.select(S.SERIES, S.SERIES_NAME, S.DT, S.Y))
     last_dt = last_dt or last_date(base)
     combined = history_plus_future(base, future_frame(base, horizon, last_dt))
     f = feat.add_features(combined)
@@ -84,9 +85,9 @@ def _window_stats(s: Column, n: int) -> dict[str, Column]:
     part = F.slice(s, F.greatest(size - F.lit(n) + 1, F.lit(1)), F.lit(n))
     m = F.size(part).cast("double")
     total = F.aggregate(part, F.lit(0.0), lambda a, x: a + x)
-    sq = F.aggregate(part, F.lit(0.0), lambda a, x: a + x * x)
     mean = F.when(m > 0, total / m)
-    var = F.when(m > 1, (sq - total * total / m) / (m - 1))
+    sq = F.aggregate(part, F.lit(0.0), lambda a, x: a + (x - total / m) * (x - total / m))  # no cancellation
+    var = F.when(m > 1, sq / (m - 1))
     return {"mean": mean, "std": F.sqrt(F.greatest(var, F.lit(0.0))),
             "min": F.array_min(part), "max": F.array_max(part)}
 

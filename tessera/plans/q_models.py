@@ -45,7 +45,7 @@ SELECT series_id, dt, {', '.join(f"round(coalesce(CASE WHEN max({c}) OVER () = m
 FROM proc""")
 def minmax_scale(spark, sf_dir):
     """(x - min) / (max - min); constant columns -> 0."""
-    df = orders_processed(spark, sf_dir)
+    df = reliable(orders_processed(spark, sf_dir))
     cols = _SC + [S.Y]
     s = clean.minmax_scale(df, clean.minmax_fit(df, cols), suffix="_s")
     return round_doubles(s.select(S.SERIES, S.DT, *[f"{c}_s" for c in cols]), 6)
@@ -55,7 +55,7 @@ def minmax_scale(spark, sf_dir):
 SELECT series_id, dt, CAST(y AS DOUBLE) AS y_restored FROM proc""")
 def minmax_inverse(spark, sf_dir):
     """Scale y to [0, 1] and back: the inverse restores the original values."""
-    df = orders_processed(spark, sf_dir)
+    df = reliable(orders_processed(spark, sf_dir))
     rng = clean.minmax_fit(df, [S.Y])
     s = clean.minmax_scale(df, rng, suffix="_s").select(S.SERIES, S.DT, F.col("y_s").alias(S.Y))
     back = clean.minmax_inverse(s, rng, suffix="_restored")
