@@ -198,20 +198,19 @@ def _range_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> Dat
 
 def _meet(x: DataFrame, y: DataFrame, num: int, den: int, condition) -> DataFrame:
     """Candidate pairs (a, b) of postings ``x`` and ``y`` that share a shingle and pass the length
-    and positional filters; each pair once."""
+    and positional filters; each pair once.
+
+    The positional filter is that of a first common shingle: what stands before it in either set
+    is not in the other.  A later common shingle may fail it, but a linked pair passes at its
+    first, which is in both prefixes; so no link is lost and few shingles name a pair twice."""
     p, q = x.toDF(*[f"{c}_x" for c in x.columns]), y.toDF(*[f"{c}_y" for c in y.columns])
     n, m, i, j = F.col("n_x"), F.col("n_y"), F.col("pos_x"), F.col("pos_y")
     def enough(overlap):  # J >= num / den  <=>  (num + den) * overlap >= num * (n + m)
         return (num + den) * overlap >= num * (n + m)
     pairs = p.join(q, (p.token_x == q.token_y) & (F.col("node_x") != F.col("node_y")) & enough(F.least(n, m))
-                   & enough(F.least(i, j) + F.least(n - i, m - j)) & condition)
+                   & enough(F.least(n - i, m - j)) & condition)
     a, b = F.least("node_x", "node_y"), F.greatest("node_x", "node_y")
-    flip = F.col("node_x") > F.col("node_y")
-    pairs = pairs.select(a.alias("a"), b.alias("b"), F.when(flip, m).otherwise(n).alias("n_x"),
-                         F.when(flip, n).otherwise(m).alias("n_y"), F.when(flip, j).otherwise(i).alias("pos_x"),
-                         F.when(flip, i).otherwise(j).alias("pos_y"))
-    pairs = pairs.groupBy("a", "b").agg(*[F.min(c).alias(c) for c in ("n_x", "n_y", "pos_x", "pos_y")])
-    return pairs.where(enough(F.least(n - i, m - j))).select("a", "b")
+    return pairs.select(a.alias("a"), b.alias("b")).distinct()
 
 
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, num: int = 90,
@@ -228,7 +227,8 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
                                                                                        F.first("pos").alias("pos"))
     order = ["token", "node", "n", "pos"]
     held = saved(held.join(common, "token").select(*order), "postings")
-    leads = held.groupBy("token").agg(F.min(F.struct("n", "node", "pos")).alias("lead")) \
+    # the holder with the fewest rare shingles before the token stands in the middle of its kind
+    leads = held.groupBy("token").agg(F.min(F.struct("pos", "n", "node")).alias("lead")) \
         .select("token", "lead.node", "lead.n", "lead.pos")
     pairs = saved(_range_filter(saved(_meet(held, leads.select(*order), num, den, F.lit(True)), "led-pairs"),
                                 nodes, num, den), "led-candidates")
