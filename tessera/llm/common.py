@@ -195,6 +195,13 @@ def powers(n: int, base: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
+def in_slices(batches, rows: int = 1000):
+    """The record batches, at most ``rows`` rows at a time, so a worker's objects stay few."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+
+
 def utf8_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow string column as one array, and its n+1 offsets (nulls are empty)."""
     import pyarrow as pa

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import joined_safely, lower_ascii, saved, utf8_buffer
+from tessera.llm.common import in_slices, joined_safely, lower_ascii, saved, utf8_buffer
 
 END = 255
 LN2 = float(np.log(2.0))
@@ -185,15 +185,19 @@ class GramTable:
 # ---- words ----------------------------------------------------------------------------------
 
 def _word_counts(batches):
-    for batch in batches:
-        n: Counter = Counter()
+    n: Counter = Counter()
+
+    def out():
+        return pa.record_batch([pa.array(n.keys(), pa.binary()), pa.array(n.values(), pa.int64())], ["word", "n"])
+
+    for batch in in_slices(batches):
         for text in batch.column("text").to_pylist():
             n.update((text or "").encode("utf-8", "surrogatepass").lower().split())
-            if len(n) > 400_000:
-                yield pa.record_batch([pa.array(n.keys(), pa.binary()), pa.array(n.values(), pa.int64())], ["word", "n"])
-                n = Counter()
-        if n:
-            yield pa.record_batch([pa.array(n.keys(), pa.binary()), pa.array(n.values(), pa.int64())], ["word", "n"])
+        if len(n) > 300_000:
+            yield out()
+            n.clear()
+    if n:
+        yield out()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -233,7 +237,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     n_words, n_types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
     train_tokens, types = n_words + ends, n_types + (ends > 0)
     least = frequent_from(counts, most_frequent)
-    frequent = dict((bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= least).collect())
+    often = counts.where(F.col("n") >= least).toArrow()
+    frequent = dict(zip(often.column("word").to_pylist(), often.column("n").to_pylist()))
     shared = scores.count() <= most_shared
     table = None
     if shared:
@@ -245,7 +250,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     def read(batches):
         logs = {w: np.log10((c + 1) / divisor) for w, c in known.value.items()}
         end = np.log10((ends + 1) / divisor)
-        for batch in batches:
+        for batch in in_slices(batches):
             column = batch.column("text")
             n = len(column)
             bits, sizes = np.zeros(n), np.zeros(n, np.int64)
