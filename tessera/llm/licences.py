@@ -72,7 +72,7 @@ CUES = "licen[sc]|copyright|rights reserved|permission|permitted|public domain|r
 FAMILIES = sorted(TEMPLATES)
 CLASSES = [*FAMILIES, "none", "unknown"]
 
-FEATURES = 1 << 15
+FEATURES = 1 << 13
 _PAIR = mixed(np.array([11, 13], dtype=np.uint64)) | np.uint64(1)
 
 
@@ -175,7 +175,10 @@ def plain_paragraphs(docs: DataFrame, text: str, most: int) -> list[str]:
     """The ``most`` paragraphs without a cue word that have the least hashes of the corpus."""
     lines = docs.select(F.explode(F.split(F.col(text), "\n")).alias("p"))
     lines = lines.where(F.col("p").rlike(WORD) & ~F.col("p").rlike(f"(?i){CUES}")).select("p", F.xxhash64("p").alias("h"))
-    return [r["p"] for r in lines.distinct().orderBy("h", "p").limit(most).collect()]
+    least = lines.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    if least is None:
+        return []
+    return [r["p"] for r in lines.where(F.col("h") <= least).distinct().orderBy("h", "p").collect()]
 
 
 def training_rows(plain: list[str], variants: int, seed: int) -> list[tuple[str, int, bool]]:
@@ -205,7 +208,7 @@ def training_rows(plain: list[str], variants: int, seed: int) -> list[tuple[str,
     return rows + [(p, CLASSES.index("none"), i % 5 == 4) for i, p in enumerate(plain)]
 
 
-def trained(docs: DataFrame, text: str = "text", variants: int = 40, most_plain: int = 3000, false_accepts: float = 0.01,
+def trained(docs: DataFrame, text: str = "text", variants: int = 30, most_plain: int = 2000, false_accepts: float = 0.01,
             confirm: float = 0.8, seed: int = 9) -> Scanner:
     """A scanner fitted on a bounded sample (see the module's text for the bounds)."""
     from pyspark.ml.classification import LogisticRegression
@@ -215,7 +218,7 @@ def trained(docs: DataFrame, text: str = "text", variants: int = 40, most_plain:
     vectors = counts_of([r[0] for r in rows])
     fit = [(float(c), Vectors.sparse(FEATURES, v)) for (_, c, held), v in zip(rows, vectors) if not held]
     frame = spark.createDataFrame(fit, ["label", "features"]).coalesce(4)
-    model = LogisticRegression(family="multinomial", regParam=2e-4, maxIter=60, standardization=False).fit(frame)
+    model = LogisticRegression(family="multinomial", regParam=2e-4, maxIter=40, standardization=False).fit(frame)
     weights = np.zeros((FEATURES, len(CLASSES)), np.float32)
     intercepts = np.full(len(CLASSES), -1e3)
     n = model.numClasses
