@@ -11,7 +11,9 @@
 4. The k-th draw of a source reads block ``perm(k mod n_blocks)`` of its epoch ``k div
    n_blocks``, by a permutation keyed by source and epoch.  So no block is read twice in an
    epoch, and none more than ``max_epochs`` times.
-5. Blocks are joined by (source, index) with the words of the texts.
+5. Blocks are joined by (source, index) with the words of the texts: the mix, one row per slot
+   (:func:`mixed_blocks`).  What each text gives to it (:func:`placed_words`) and the texts as the
+   mix takes them (:func:`mixed_texts`) are read off these rows.
 
 All steps are DataFrame functions.  No window orders a whole source: offsets come from sums per
 (source, hash bucket); draws of a large source are made in runs that are dealt to many tasks.
@@ -114,33 +116,100 @@ def mixture(docs: DataFrame, order: list[str], source: str = "source", text: str
     return laid, of, draws(of, shard_slots, seed)
 
 
+def in_shards(drawn: DataFrame) -> DataFrame:
+    """``drawn`` with source_draws: how many draws of its source the shard holds."""
+    counts = drawn.groupBy("shard", "skey").agg(F.count(F.lit(1)).alias("source_draws"))
+    return drawn.join(counts, ["shard", "skey"])
+
+
+def block_texts(laid: DataFrame, block_words: int, text: str = "text") -> DataFrame:
+    """One row per block: skey, block, parts (first_word, from_word, words, text; in order).
+
+    A part's text holds its words, each with the white space that follows it."""
+    first, end = F.col("first_word"), F.col("first_word") + F.col("size")
+
+    def part(pieces, block):
+        lo = F.greatest(block * block_words, first)
+        n = F.least((block + 1) * block_words, end) - lo
+        cut = F.array_join(F.slice(pieces, (lo - first + 1).cast("int"), n.cast("int")), "")
+        return F.struct(block.alias("block"), first.alias("first_word"), (lo - first).alias("from_word"),
+                        n.alias("words"), cut.alias("text"))
+
+    numbers = F.sequence(F.floor(first / block_words), F.floor((end - 1) / block_words))
+    pieces = F.regexp_extract_all(text, F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
+    # the outer transform binds the pieces, so a text is split once, not once per block
+    parts = F.element_at(F.transform(F.array(pieces), lambda p: F.transform(numbers, lambda b: part(p, b))), 1)
+    rows = laid.where("size > 0").select("skey", F.explode(parts).alias("p"))
+    return rows.groupBy("skey", F.col("p.block").alias("block")).agg(F.array_sort(F.collect_list(
+        F.struct("p.first_word", "p.from_word", "p.words", "p.text"))).alias("parts"))
+
+
+def mixed_blocks(docs: DataFrame, order: list[str], source: str = "source", text: str = "text",
+                 weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, block_words: int = 64,
+                 shard_slots: int = 4096, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The laid-out rows of ``docs``, the sources with targets, and the mix itself.
+
+    The mix has one row per slot: shard, slot, skey, block, epoch, source_draws (draws of this
+    source in the shard), words (the block's text, a line break between texts) and parts."""
+    laid = saved(laid_out(docs, order, source, text), "laid-out")
+    of = targets(laid, weights, max_epochs, block_words)
+    drawn = in_shards(saved(draws(of, shard_slots, seed), "draws"))
+    mix = block_texts(laid, block_words, text).join(drawn, ["skey", "block"])
+    words = F.array_join(F.transform("parts", lambda p: p["text"]), "\n")
+    return laid, of, mix.select("shard", "slot", "skey", "block", "epoch", "source_draws", words.alias("words"), "parts")
+
+
+def _summed(laid: DataFrame, of: DataFrame, got: DataFrame, zero: dict) -> DataFrame:
+    """``laid`` with source_size, target and ``got``'s columns, which are ``zero`` where it has no row."""
+    rows = laid.where("size > 0").join(got, ["skey", "first_word"], "left")
+    none = laid.where("size = 0")
+    for c, value in zero.items():
+        rows, none = rows.withColumn(c, F.coalesce(c, value)), none.withColumn(c, value)
+    return rows.unionByName(none).join(of.select("skey", "source_size", "target"), "skey")
+
+
 def taken_words(laid: DataFrame, of: DataFrame, drawn: DataFrame, block_words: int = 64) -> DataFrame:
     """``laid`` with source_size, target and taken: the words that the mix takes of each text."""
     uses = drawn.groupBy("skey", "block").agg(F.count(F.lit(1)).alias("uses"))
     got = blocks_of(laid, block_words).join(uses, ["skey", "block"]) \
-        .groupBy("skey", "first_word").agg(F.sum(F.col("words") * F.col("uses")).alias("got"))
-    some, none = laid.where("size > 0"), laid.where("size = 0").withColumn("got", F.lit(0).cast("long"))
-    rows = some.join(got, ["skey", "first_word"], "left").select(*none.columns).union(none)
-    return rows.withColumn("taken", F.coalesce("got", F.lit(0)).cast("long")).drop("got") \
-        .join(of.select("skey", "source_size", "target"), "skey")
+        .groupBy("skey", "first_word").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
+    return _summed(laid, of, got, {"taken": F.lit(0).cast("long")})
+
+
+PLACES = "array<struct<shard: bigint, slot: bigint, epoch: bigint, block: bigint, words: bigint, source_draws: bigint, words_crc32: bigint>>"
+
+
+def placed_words(laid: DataFrame, of: DataFrame, mix: DataFrame) -> DataFrame:
+    """``laid`` with source_size, target, taken and places: every slot of the mix that holds words
+    of the text, how many of them, the shard's draws of the source, and a checksum of the slot."""
+    crc = F.crc32(F.encode("words", "UTF-8"))
+    parts = mix.select("shard", "slot", "skey", "epoch", "block", "source_draws", crc.alias("words_crc32"),
+                       F.explode(F.transform("parts", lambda p: F.struct(p["first_word"].alias("first_word"),
+                                                                         p["words"].alias("words")))).alias("p"))
+    place = F.struct("shard", "slot", "epoch", "block", F.col("p.words").alias("words"), "source_draws", "words_crc32")
+    got = parts.groupBy("skey", F.col("p.first_word").alias("first_word")) \
+        .agg(F.sum("p.words").alias("taken"), F.array_sort(F.collect_list(place)).cast(PLACES).alias("places"))
+    return _summed(laid, of, got, {"taken": F.lit(0).cast("long"), "places": F.array().cast(PLACES)})
 
 
 def mixed_texts(docs: DataFrame, order: list[str], source: str = "source", text: str = "text",
                 weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, block_words: int = 64,
-                seed: int = 0) -> DataFrame:
+                seed: int = 0, shard_slots: int = 4096, most_parts: int = 2000) -> DataFrame:
     """``docs`` as the mix takes them: a text appears once per epoch in which it has a part, cut
-    to the words drawn in that epoch, each with the white space that follows it."""
+    to the words drawn in that epoch, each with the white space that follows it.
+
+    Rows come in the order of the mix, by the first slot that holds a part of them; a shard's rows
+    are in one partition."""
     columns = docs.columns
-    lay = laid_out(docs, order, source, text)
-    laid = saved(lay.select("skey", "size", "first_word"), "laid-out")
-    of = targets(laid, weights, max_epochs, block_words)
-    parts = blocks_of(laid, block_words).join(draws(of, seed=seed).select("skey", "block", "epoch"), ["skey", "block"]) \
-        .groupBy("skey", "first_word", "epoch") \
-        .agg(F.array_sort(F.collect_list(F.struct("from_word", "words"))).alias("_parts"))
-    parts = parts.groupBy("skey", "first_word").agg(F.collect_list("_parts").alias("_epochs"))
-    rows = lay.where("size > 0").join(parts, ["skey", "first_word"])
-    pieces = F.regexp_extract_all(text, F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
-    rows = rows.withColumn("_pieces", pieces).withColumn("_one", F.explode("_epochs"))
-    cut = F.array_join(F.flatten(F.transform("_one", lambda p: F.slice(
-        F.col("_pieces"), (p["from_word"] + 1).cast("int"), p["words"].cast("int")))), "")
-    return rows.withColumn(text, cut).select(*columns)
+    laid, of, mix = mixed_blocks(docs, order, source, text, weights, max_epochs, block_words, shard_slots, seed)
+    parts = mix.select("shard", "slot", "skey", "epoch", F.explode("parts").alias("p"))
+    cut = F.array_sort(F.collect_list(F.struct("p.from_word", "p.text")))
+    rows = parts.groupBy("skey", F.col("p.first_word").alias("first_word"), "epoch") \
+        .agg(F.min(F.struct("shard", "slot")).alias("_at"), cut.alias("_cut")) \
+        .withColumn("_text", F.array_join(F.transform("_cut", lambda p: p["text"]), "")).drop("_cut")
+    rows = laid.where("size > 0").drop(text).join(rows, ["skey", "first_word"]).withColumnRenamed("_text", text)
+    total = of.agg(F.sum("n_draws")).first()[0] or 0
+    shards = max(1, -(-total // shard_slots))
+    n = min(shards, most_parts)
+    rows = rows.withColumn("_part", F.floor(F.col("_at.shard") * n / shards).cast("int"))
+    return rows.repartitionById(n, "_part").sortWithinPartitions("_at", "first_word").select(*columns)

@@ -48,8 +48,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_mix_blocks")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir, "doc_id", "text", "source")
-    laid, of, drawn = mixing.mixture(d, ["doc_id"])
-    return mixing.taken_words(laid, of, drawn).select("doc_id", "size", "source_size", "target", "taken")
+    laid, of, mix = mixing.mixed_blocks(d, ["doc_id"])
+    return mixing.placed_words(laid, of, mix).select("doc_id", "size", "source_size", "target", "taken", "places")
 
 
 @query("op2_fingerprints")

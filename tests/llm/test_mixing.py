@@ -108,3 +108,53 @@ def test_empty_table(table):
 def test_no_python_in_the_plan(table):
     plan = mixed(table(corpus()))[3]._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_the_mix_holds_every_slot_with_the_words_of_its_block(table):
+    rows = corpus()
+    laid, of, mix = mixing.mixed_blocks(table(rows), ["doc_id"], block_words=16, shard_slots=64)
+    got, drawn = mix.collect(), mixing.draws(of, 64).collect()
+    assert sorted((r.shard, r.slot, r.skey, r.block, r.epoch) for r in got) \
+        == sorted((r.shard, r.slot, r.skey, r.block, r.epoch) for r in drawn)
+    in_shard, streams = defaultdict(int), defaultdict(list)
+    for r in drawn:
+        in_shard[r.shard, r.skey] += 1
+    for r in sorted(laid.collect(), key=lambda r: (r.skey, r.first_word)):
+        streams[r.skey] += (r.text or "").split()
+    for r in got:
+        assert r.source_draws == in_shard[r.shard, r.skey]
+        assert r.words.split() == streams[r.skey][r.block * 16: r.block * 16 + 16]
+
+
+def test_places_and_documents_are_read_off_the_mix(table):
+    import zlib
+    rows = corpus()
+    docs = table(rows)
+    laid, of, mix = mixing.mixed_blocks(docs, ["doc_id"], block_words=16, shard_slots=64)
+    slots = {(r.shard, r.slot): r for r in mix.collect()}
+    got = mixing.placed_words(laid, of, mix)
+    held = defaultdict(int)
+    for r in got.collect():
+        assert r.taken == sum(p.words for p in r.places)
+        for p in r.places:
+            held[p.shard, p.slot] += p.words
+            assert p.words_crc32 == zlib.crc32(slots[p.shard, p.slot].words.encode())
+    assert held == {k: len(r.words.split()) for k, r in slots.items()}
+    assert got.count() == len(rows)
+    first = {}
+    where = {(r.skey, r.first_word): r.doc_id for r in laid.where("size > 0").collect()}
+    for r in slots.values():
+        for p in r.parts:
+            k = (where[r.skey, p.first_word], r.epoch)
+            first[k] = min(first.get(k, (r.shard, r.slot)), (r.shard, r.slot))
+    out = [r.doc_id for r in mixing.mixed_texts(docs, ["doc_id"], block_words=16, shard_slots=64).collect()]
+    want = [k[0] for k in sorted(first, key=first.get)]
+    at = {k: i for i, k in enumerate(dict.fromkeys(want))}
+    seen = [at[d] for d in dict.fromkeys(out)]
+    by_slot = defaultdict(set)
+    for d in at:
+        by_slot[min(v for k, v in first.items() if k[0] == d)].add(d)
+    assert [min(v for k, v in first.items() if k[0] == d) for d in dict.fromkeys(out)] == sorted(
+        s for s, ds in by_slot.items() for _ in ds)
+    assert len(seen) == len(at)
+    assert not re.search("Python|Pandas|Arrow", got._jdf.queryExecution().executedPlan().toString())
