@@ -10,10 +10,12 @@ by 0): characters per tag, lowered where links make up the text.  The sum
 of an element's children's densities is largest where paragraphs stand side by side; the element
 with the largest sum is the main one.  The least density on its path up to the body is the
 threshold: elements beside it that reach the threshold, or are headings, belong to the text as
-well.  Inside an ``article`` or ``main`` element the text is that whole element.
+well.  Inside an ``article`` or ``main`` element the text is that whole element, with the elements
+beside it that reach the threshold (a second article, say); headings beside it do not count.
 
-Elements that hold no running text by their kind (scripts, menus, forms ...) or by a word of
-their class, id or role (advert, sidebar, comments ...) are left out before densities are taken.
+Elements that hold no running text by their kind (scripts, menus, forms ...), by a token of their
+class, id or role (advert, sidebar-left, comments ...) or because they are hidden are left out
+before densities are taken.
 
 Nulls, empty pages and pages without text give ''.  Repeated rows are read one by one.  Pages of
 any length are read whole, one at a time, in linear time; damaged markup is read as far as it
@@ -53,9 +55,13 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>
     |<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
     |<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S | re.X)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_PART = re.compile(r"[a-z]+")
+_SIZE = re.compile(r"\d+(?:x\d+)?")
+#: parts of a token that only say where or in what form an element stands
+PLACE_WORDS = {"left", "right", "top", "bottom", "primary", "secondary", "box", "list", "area", "block", "section", "item",
+               "items", "bar", "unit", "slot", "panel", "button", "buttons", "form", "links", "container", "wrapper", "wrap"}
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 
 
@@ -65,15 +71,24 @@ def _no_text(tag: str, attributes: str, in_article: bool) -> bool:
     if not attributes or tag in ("body", "html", "article", "main") and "role" not in attributes and \
             "comment" not in attributes.lower():
         return False
-    if _HIDDEN.search(attributes):
-        return True
     for m in _ATTRIBUTE.finditer(attributes):
-        words = set(_WORD.findall((m[2] or m[3] or m[4] or "").lower()))
-        if words & NO_TEXT_WORDS or not in_article and words & HEADER_WORDS:
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "hidden" and value.strip() != "until-found" or name == "aria-hidden" and value.strip() == "true" \
+                or name == "style" and _NO_DISPLAY.search(value):
+            return True
+        if name in ("class", "id", "role") and any(_named(t, in_article) for t in value.split()):
             return True
     return False
 
 
+def _named(token: str, in_article: bool) -> bool:
+    """Whether a class, id or role token names a kind without running text: as a whole, or by parts
+    that all name such kinds or places, as in sidebar-left; with-sidebar does not."""
+    words = NO_TEXT_WORDS if in_article else NO_TEXT_WORDS | HEADER_WORDS
+    parts = set(_PART.findall(_SIZE.sub("", token)))
+    return bool(parts & words) and not parts - words - PLACE_WORDS
+
+
 class Page:
     """The elements of a page in document order, without those that hold no running text."""
 
@@ -194,13 +209,14 @@ class Page:
         path = [best]
         while path[-1] != self.body:
             path.append(self.parent[path[-1]])
+        threshold = min(density[i] for i in path)
         for kind in ("article", "main"):
-            for i in path:
-                if self.tag[i] == kind:
-                    return [i]
+            for top in path:
+                if self.tag[top] == kind:
+                    return [i for i in inside if self.parent[i] == self.parent[top]
+                            and (i == top or density[i] >= threshold)]
         if best == self.body:
             return [best]
-        threshold = min(density[i] for i in path)
         return [i for i in inside if self.parent[i] == self.parent[best]
                 and (i == best or density[i] >= threshold or self.tag[i] in HEADINGS)]
 

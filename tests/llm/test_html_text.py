@@ -52,3 +52,23 @@ def test_column_keeps_rows_and_other_columns(spark):
     assert got.columns == ["page_id", "html", "n_chars", "text"]
     assert sorted(r.text for r in got.collect()) == ["", "a", "a", "b"]
     assert with_main_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("attributes,kept", [
+    ("style='overflow:hidden'", True), ("class='overflow-hidden'", True), ("aria-hidden='false'", True),
+    ("class='content with-sidebar'", True), ("class=no-sidebar", True), ("data-role='sidebar'", True),
+    ("title='hidden'", True), ("hidden='until-found'", True), ("hidden", False), ("HIDDEN=''", False),
+    ("style='color:red; display : none'", False), ("aria-hidden=true", False), ("class='left sidebar'", False),
+    ("class='sidebar-left'", False), ("id=ad-300x250", False), ("class='cookie-notice'", False),
+])
+def test_what_hides_an_element(attributes, kept):
+    assert main_text(f"<body><div {attributes}><p>{BODY}</p><p>{BODY}</p></div></body>") \
+        == (" ".join((BODY * 2).split()) if kept else "")
+
+
+def test_threshold_chooses_beside_an_article_and_without_one():
+    links = "".join(f"<li><a href=/{i}>Topic {i}</a></li>" for i in range(30))
+    for tag in ("article", "div"):
+        page = f"<body><ul>{links}</ul><{tag}><p>One.</p>{f'<p>{BODY * 4}</p>' * 6}</{tag}>" \
+               f"<{tag}><p>Two.</p>{f'<p>{BODY * 4}</p>' * 5}</{tag}><div><a>Imprint</a></div></body>"
+        assert main_text(page) == " ".join(f"One. {BODY * 24} Two. {BODY * 20}".split())
