@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, mixed, utf8_buffer
+from tessera.llm.common import WORD, dropped, mixed, saved, utf8_buffer
 from tessera.llm.ngram_join import word_hashes
 
 # ---- FIXED VALUES: notices by family ---------------------------------------------------------
@@ -72,7 +72,7 @@ CUES = "licen[sc]|copyright|rights reserved|permission|permitted|public domain|r
 FAMILIES = sorted(TEMPLATES)
 CLASSES = [*FAMILIES, "none", "unknown"]
 
-FEATURES = 1 << 13
+FEATURES = 1 << 15
 _PAIR = mixed(np.array([11, 13], dtype=np.uint64)) | np.uint64(1)
 
 
@@ -208,7 +208,7 @@ def training_rows(plain: list[str], variants: int, seed: int) -> list[tuple[str,
     return rows + [(p, CLASSES.index("none"), i % 5 == 4) for i, p in enumerate(plain)]
 
 
-def trained(docs: DataFrame, text: str = "text", variants: int = 30, most_plain: int = 2000, false_accepts: float = 0.01,
+def trained(docs: DataFrame, text: str = "text", variants: int = 40, most_plain: int = 3000, false_accepts: float = 0.01,
             confirm: float = 0.8, seed: int = 9) -> Scanner:
     """A scanner fitted on a bounded sample (see the module's text for the bounds)."""
     from pyspark.ml.classification import LogisticRegression
@@ -216,15 +216,17 @@ def trained(docs: DataFrame, text: str = "text", variants: int = 30, most_plain:
     spark = docs.sparkSession
     rows = training_rows(plain_paragraphs(docs, text, most_plain), variants, seed)
     vectors = counts_of([r[0] for r in rows])
-    fit = [(float(c), Vectors.sparse(FEATURES, v)) for (_, c, held), v in zip(rows, vectors) if not held]
-    frame = spark.createDataFrame(fit, ["label", "features"]).coalesce(4)
-    model = LogisticRegression(family="multinomial", regParam=2e-4, maxIter=40, standardization=False).fit(frame)
+    frame = spark.createDataFrame([(float(c), Vectors.sparse(FEATURES, v)) for (_, c, held), v in zip(rows, vectors)
+                                   if not held], ["label", "features"]).coalesce(4)
+    frame = saved(frame, "licence-fit")  # every iteration reads a table, not rows that the driver holds
+    model = LogisticRegression(family="multinomial", regParam=2e-4, maxIter=60, standardization=False).fit(frame)
     weights = np.zeros((FEATURES, len(CLASSES)), np.float32)
     intercepts = np.full(len(CLASSES), -1e3)
     n = model.numClasses
     weights[:, :n] = model.coefficientMatrix.toArray().T
     intercepts[:n] = model.interceptVector.toArray()
     held = [(c, v) for (_, c, h), v in zip(rows, vectors) if h]
+    dropped(frame)
     margins = np.array([sum(weights[k].astype(np.float64) * x for k, x in v.items()) + intercepts for _, v in held])
     labels = np.array([c for c, _ in held])
     scanner = Scanner(weights, intercepts, 1.0, 0.0, confirm)

@@ -65,3 +65,11 @@ def test_training_sample_is_bounded_and_repeatable(table):
     assert len(a) == 10 and a == lc.plain_paragraphs(docs.repartition(2), "text", 10)
     assert not any("licence" in p for p in a)
     assert lc.training_rows(a, 5, 1) == lc.training_rows(a, 5, 1)
+
+
+def test_the_model_is_not_made_smaller():
+    import inspect
+    given = inspect.signature(lc.trained).parameters
+    assert (given["variants"].default, given["most_plain"].default) == (40, 3000)
+    line = " ".join(f"w{i}" for i in range(400))
+    assert len(lc.counts_of([line])[0]) >= 0.98 * 799  # words and pairs of a long line seldom collide
