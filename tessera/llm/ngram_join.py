@@ -265,15 +265,18 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, num: int = 80,
                 den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stay when one text of each group does: the one with the least
-    id; of rows with this id and different texts the one that sorts first, of equal rows one.
-    Texts without words and rows without an id are left as they are."""
-    groups = saved(similar(docs, doc_id, text, words, num, den), "groups")
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    id; of a group's rows with this id the one whose text sorts first, of equal rows one.  Where
+    an id comes with texts of several groups, each group keeps its own.  Texts without words and
+    rows without an id are left as they are."""
     body = F.coalesce(F.col(text), F.lit(""))
+    key = F.when(F.col(doc_id).isNotNull(), F.struct(F.col(doc_id).alias("id"), F.xxhash64(body).alias("h")))
+    groups = saved(similar(docs.select(key.alias("_key"), text), "_key", text, words, num, den), "groups")
+    first = groups.where("doc_id.id = component_id.id") \
+        .select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).distinct()
     solid = body.rlike("[^\\x20\\x09-\\x0D]") & F.col(doc_id).isNotNull()
-    w = W.partitionBy(doc_id).orderBy(text)
-    one = docs.where(solid).join(first, doc_id, "left_semi") \
-        .withColumn("_row", F.row_number().over(w)).where("_row = 1").drop("_row")
+    w = W.partitionBy("_group").orderBy(text)
+    one = docs.where(solid).withColumn("_key", key).join(first, "_key") \
+        .withColumn("_row", F.row_number().over(w)).where("_row = 1").select(*docs.columns)
     return one.unionByName(docs.where(~solid))
 
 

@@ -75,3 +75,10 @@ def test_a_chain_is_one_component(table):
     rows = [(i, " ".join(words[i * 4: i * 4 + 160])) for i in range(20)]
     got = {r.component_id for r in ngram_join.similar(table(rows), counters=1 << 8).collect()}
     assert got == {c for _, _, c in brute(rows, 3, 90, 100)} == {0}
+
+
+def test_one_id_with_unrelated_texts_keeps_one_per_group(table):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, b), (1, a), (1, a), (1, a + " more"), (2, b), (3, a + " more"), (None, a), (4, "")]
+    left = ngram_join.one_of_each(table(rows)).collect()
+    assert sorted([(r.doc_id, r.text) for r in left], key=str) == sorted([(1, a), (1, b), (None, a), (4, "")], key=str)
