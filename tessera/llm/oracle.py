@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tessera.llm import url_rules
 from tessera.llm.line_rules import CLOSING_MARKS, SEPARATORS, SYMBOLS, LineRules, phrase_pattern
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -83,3 +84,31 @@ def ngram_groups_sql(words: int = 3, num: int = 90, den: int = 100, source: str
 OP1 = f"""
 WITH RECURSIVE {ngram_groups_sql()}
 SELECT doc_id, n_shingles, component_id FROM grouped"""
+
+
+def _values(rows: list[tuple[str, ...]]) -> str:
+    return ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in r) + ")" for r in rows)
+
+
+#: every url meets every rule; patterns are rewritten by nested replacements
+OP13 = f"""
+WITH u AS (SELECT row_number() OVER () AS rid, page_id,
+                  translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{url_rules.UPPER}', '{url_rules.LOWER}') AS host,
+                  regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+sites AS (SELECT rule, verdict, split_part(rule, '/', 1) AS h, substr(rule, strpos(rule, '/')) AS p
+          FROM (VALUES {_values(url_rules.SITES)}) AS t(rule, verdict)),
+site AS (SELECT rid, rule, verdict FROM u JOIN sites ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+         QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(rule) DESC, rule, verdict) = 1),
+patterns AS (SELECT rule, kind, verdict,
+                    replace(replace(replace(replace(replace(CASE WHEN starts_with(rule, '||') THEN '<' || substr(rule, 3)
+                                                                 WHEN starts_with(rule, '|') THEN '>' || substr(rule, 2)
+                                                                 ELSE rule END, '.', '[.]'), '*', '(.|\n)*'),
+                                    '^', '(^|$|[^a-zA-Z0-9])'), '<', '(^|[.])'), '>', '^') AS re
+             FROM (SELECT *, 'host' AS kind FROM (VALUES {_values(url_rules.HOST_PATTERNS)}) AS t(rule, verdict)
+                   UNION ALL SELECT *, 'path' FROM (VALUES {_values(url_rules.PATH_PATTERNS)}) AS t(rule, verdict))),
+method AS (SELECT rid, rule, verdict FROM u JOIN patterns
+             ON regexp_matches(CASE kind WHEN 'host' THEN host ELSE path END, re, 'i')
+           QUALIFY row_number() OVER (PARTITION BY rid ORDER BY verdict, length(rule) DESC, rule) = 1)
+SELECT page_id, host, path, site.rule AS rule, coalesce(site.verdict, method.verdict, 'allow') AS verdict,
+       CASE WHEN site.rule IS NULL THEN method.rule END AS pattern
+FROM u LEFT JOIN site USING (rid) LEFT JOIN method USING (rid)"""
