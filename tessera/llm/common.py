@@ -195,11 +195,18 @@ def powers(n: int, base: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
-def in_slices(batches, rows: int = 1000):
-    """The record batches, at most ``rows`` rows at a time, so a worker's objects stay few."""
+def in_slices(batches, rows: int = 1000, most_bytes: int | None = None):
+    """The record batches, at most ``rows`` rows (and ``most_bytes`` bytes, or one row) at a time, so a
+    worker's objects stay few."""
     for batch in batches:
-        for first in range(0, len(batch), rows):
-            yield batch.slice(first, rows)
+        todo = [batch.slice(first, rows) for first in reversed(range(0, len(batch), rows))]
+        while todo:
+            part = todo.pop()
+            if most_bytes and len(part) > 1 and part.nbytes > most_bytes:
+                half = len(part) // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
 
 
 def utf8_buffer(column) -> tuple[np.ndarray, np.ndarray]:

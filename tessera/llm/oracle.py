@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import url_rules
+from tessera.llm import spelling, url_rules
 from tessera.llm.line_rules import CLOSING_MARKS, SEPARATORS, SYMBOLS, LineRules, phrase_pattern
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -112,3 +112,40 @@ method AS (SELECT rid, rule, verdict FROM u JOIN patterns
 SELECT page_id, host, path, site.rule AS rule, coalesce(site.verdict, method.verdict, 'allow') AS verdict,
        CASE WHEN site.rule IS NULL THEN method.rule END AS pattern
 FROM u LEFT JOIN site USING (rid) LEFT JOIN method USING (rid)"""
+
+
+#: crc32 byte by byte (x >= 0: a byte comes in, else: one bit is shifted out); words that share what is
+#: left when one code point goes are one edit apart
+OP11 = f"""
+WITH RECURSIVE runs AS (
+  SELECT id, run, count(*) AS k FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+           translate(unnest(regexp_extract_all(text, '[{spelling.LETTERS}]{{5,}}')), '{spelling.UPPER}', '{spelling.LOWER}') AS run
+    FROM documents) GROUP BY ALL),
+hashed AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(bytes, lambda b:
+             [b, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+             ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295::BIGINT) AS h
+  FROM (SELECT run, k, flatten(list_transform(string_split(id || ':' || run, ''), lambda ch:
+               CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT]
+                    ELSE [192 + (unicode(ch) >> 6), 128 + (unicode(ch) & 63)]::BIGINT[] END)) AS bytes FROM runs)),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                   ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+         FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+longer AS (SELECT DISTINCT l.word AS a, l.n AS an, s.word AS b, s.n AS bn FROM less l JOIN words s ON l.rest = s.word),
+pairs AS (SELECT x.word AS word, x.n AS n, y.word AS near, y.n AS near_n
+          FROM less x JOIN less y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+          UNION ALL SELECT a, an, b, bn FROM longer UNION ALL SELECT b, bn, a, an FROM longer),
+best AS (SELECT word, n, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM pairs
+         QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+                  CASE WHEN near_n >= 2 * w.n THEN near END AS form, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+           FROM words w LEFT JOIN best b ON w.word = b.word),
+chain AS (SELECT word, form AS tip FROM formed WHERE form IS NOT NULL
+          UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.tip = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, tip FROM chain c JOIN formed f ON c.tip = f.word WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(tip, f.word) AS root, n, n_near, form_n FROM formed f LEFT JOIN ends e ON f.word = e.word"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprints, html_text, licences, line_rules, mixing, ngram_join, oracle, pieces, shards, suffix_dedup, tree_weighting, url_rules
+from tessera.llm import fingerprints, html_text, licences, line_rules, mixing, ngram_join, oracle, pieces, shards, spelling, suffix_dedup, tree_weighting, url_rules
 from tessera.llm.common import documents, ship_package
 from tessera.sources.tables import read_table
 
@@ -99,6 +99,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))).alias("families"))
 
 
+@query("op11_spelling_variants", oracle.OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(documents(spark, sf_dir, "doc_id", "text"), misspelt=97)
+    return spelling.variants(words)
+
+
 @query("op13_url_rules", oracle.OP13)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged(read_table(spark, sf_dir, "pages", ["page_id", "url"]), url_rules.rule_table(spark))
