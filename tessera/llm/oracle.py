@@ -149,3 +149,20 @@ chain AS (SELECT word, form AS tip FROM formed WHERE form IS NOT NULL
           UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.tip = f.word WHERE f.form IS NOT NULL),
 ends AS (SELECT c.word, tip FROM chain c JOIN formed f ON c.tip = f.word WHERE f.form IS NULL)
 SELECT f.word, form, coalesce(tip, f.word) AS root, n, n_near, form_n FROM formed f LEFT JOIN ends e ON f.word = e.word"""
+
+
+#: every anchor meets every row
+OP12 = """
+WITH rows AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.id AS a, o.id AS o, a.label = o.label AS same, list_inner_product(a.v, o.v)::BIGINT AS s
+           FROM rows a JOIN rows o ON a.id <> o.id WHERE a.id % 100 = 0),
+pos AS (SELECT a, o, s FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, o) <= 5)
+SELECT p.a AS anchor_id, p.o AS positive_id,
+       (row_number() OVER (PARTITION BY p.a, p.o ORDER BY n.s DESC, n.o))::INT AS rank, n.o AS negative_id,
+       p.s AS positive_score, n.s AS negative_score
+FROM pos p JOIN scored n ON p.a = n.a AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s
+QUALIFY rank <= 5"""

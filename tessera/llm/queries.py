@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprints, html_text, licences, line_rules, mixing, ngram_join, oracle, pieces, shards, spelling, suffix_dedup, tree_weighting, url_rules
+from tessera.llm import fingerprints, hard_negatives, html_text, licences, line_rules, mixing, ngram_join, oracle, pieces, shards, spelling, suffix_dedup, tree_weighting, url_rules
 from tessera.llm.common import documents, ship_package
 from tessera.sources.tables import read_table
 
@@ -105,6 +105,15 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(words)
 
 
+@query("op12_hard_negatives", oracle.OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    rows = hard_negatives.usable(e, "vec_id", "label", "embedding")
+    rows = rows.select("id", F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+                       F.transform("vector", lambda x: F.floor(x.cast("double") * 256)).alias("vector"))
+    return hard_negatives.mined(rows, F.col("id") % 100 == 0)
+
+
 @query("op13_url_rules", oracle.OP13)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged(read_table(spark, sf_dir, "pages", ["page_id", "url"]), url_rules.rule_table(spark))
