@@ -100,6 +100,16 @@ def counts_of(paragraphs: list[str]) -> list[dict[int, float]]:
     return out
 
 
+def sparse_rows(paragraphs: list[str], step: int = 500) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same as (features, values), features in order."""
+    out = []
+    for i in range(0, len(paragraphs), step):
+        for v in counts_of(paragraphs[i: i + step]):
+            k = np.array(sorted(v), np.int32)
+            out.append((k, np.array([v[x] for x in k.tolist()])))
+    return out
+
+
 def word_pairs(text: str) -> set[tuple[str, str]]:
     """Pairs of neighbouring words, in lower case and without outer punctuation."""
     words = [w for w in (x.strip(".,;:()\"'") for x in text.lower().split()) if w]
@@ -198,14 +208,17 @@ def training_rows(plain: list[str], variants: int, seed: int) -> list[tuple[str,
         for t in TEMPLATES[family]:
             own = t.split()
             for i in range(variants):
-                body = own if i % 4 == 0 else [w for w in own if rng.random() > 0.08] or own
-                around = (words(rng.randrange(8)), words(rng.randrange(8))) if i % 4 > 1 else ([], [])
-                rows.append((" ".join([*around[0], *body, *around[1]]), CLASSES.index(family), i % 5 == 4))
+                held = i % 5 == 4
+                body = own if i % 4 == 0 and not held else [w for w in own if rng.random() > 0.08] or own
+                around = (words(1 + rng.randrange(7)), words(1 + rng.randrange(7))) if i % 4 > 1 or held else ([], [])
+                rows.append((" ".join([*around[0], *body, *around[1]]), CLASSES.index(family), held))
                 if len(own) > 3:
                     other = [rng.choice(vocabulary) if len(uses[w.lower()]) == 1 else w for w in own]
                     if sum(a == b for a, b in zip(own, other)) < 0.8 * len(own):
-                        rows.append((" ".join(other), CLASSES.index("unknown"), i % 5 == 4))
-    return rows + [(p, CLASSES.index("none"), i % 5 == 4) for i, p in enumerate(plain)]
+                        rows.append((" ".join(other), CLASSES.index("unknown"), held))
+    rows += [(p, CLASSES.index("none"), i % 5 == 4) for i, p in enumerate(plain)]
+    fitted = {text for text, _, held in rows if not held}
+    return [row for row in rows if not row[2] or row[0] not in fitted]  # nothing held out was seen in the fit
 
 
 def trained(docs: DataFrame, text: str = "text", variants: int = 40, most_plain: int = 3000, false_accepts: float = 0.01,
@@ -215,19 +228,24 @@ def trained(docs: DataFrame, text: str = "text", variants: int = 40, most_plain:
     from pyspark.ml.linalg import Vectors
     spark = docs.sparkSession
     rows = training_rows(plain_paragraphs(docs, text, most_plain), variants, seed)
-    vectors = counts_of([r[0] for r in rows])
-    frame = spark.createDataFrame([(float(c), Vectors.sparse(FEATURES, v)) for (_, c, held), v in zip(rows, vectors)
-                                   if not held], ["label", "features"]).coalesce(4)
-    frame = saved(frame, "licence-fit")  # every iteration reads a table, not rows that the driver holds
+    labels = np.array([c for _, c, _ in rows])
+    away = np.array([held for *_, held in rows])
+    vectors = sparse_rows([r[0] for r in rows])
+    # features that no fitted row has keep the weight 0 under the penalty, so they are left out of the fit
+    used = np.unique(np.concatenate([f for (f, _), held in zip(vectors, away) if not held]))
+    frame = spark.createDataFrame([(float(c), Vectors.sparse(len(used), np.searchsorted(used, f), x))
+                                   for c, (f, x), held in zip(labels.tolist(), vectors, away) if not held], ["label", "features"])
+    del rows
+    frame = saved(frame.coalesce(1), "licence-fit")  # every iteration reads a table, not rows that the driver holds
     model = LogisticRegression(family="multinomial", regParam=2e-4, maxIter=60, standardization=False).fit(frame)
     weights = np.zeros((FEATURES, len(CLASSES)), np.float32)
     intercepts = np.full(len(CLASSES), -1e3)
     n = model.numClasses
-    weights[:, :n] = model.coefficientMatrix.toArray().T
+    weights[used, :n] = model.coefficientMatrix.toArray().T
     intercepts[:n] = model.interceptVector.toArray()
-    held = [(c, v) for (_, c, h), v in zip(rows, vectors) if h]
     dropped(frame)
-    margins = np.array([sum(weights[k].astype(np.float64) * x for k, x in v.items()) + intercepts for _, v in held])
+    held = [(c, v) for c, v, h in zip(labels.tolist(), vectors, away) if h]
+    margins = np.array([x @ weights[f].astype(np.float64) + intercepts for _, (f, x) in held])
     labels = np.array([c for c, _ in held])
     scanner = Scanner(weights, intercepts, 1.0, 0.0, confirm)
     losses = []
