@@ -39,21 +39,55 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents", list(columns) or None)
 
 
+_WRITTEN: list[str] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the cluster's checkpoint folder and read it again (cuts lineage)."""
+    """Write ``df`` below the cluster's checkpoint folder and read it again (cuts lineage).
+
+    The table is deleted by :func:`dropped` or :func:`cleared`, at the latest when the driver ends."""
     spark = df.sparkSession
     path = shared_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    target, fs = _place(spark, path)
+    fs.deleteOnExit(target)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _folders(df: DataFrame) -> set[str]:
+    return {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in df.inputFiles()}
+
+
 def dropped(df: DataFrame) -> None:
     """Delete the files of a frame made by :func:`saved` that nothing reads any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    cleared(df.sparkSession, only=_folders(df))
+
+
+def written() -> int:
+    """A mark for :func:`cleared`: the tables written so far."""
+    return len(_WRITTEN)
+
+
+def written_since(mark: int) -> set[str]:
+    """Names of the saved tables written after a mark and not deleted since."""
+    return {path.rsplit("/", 1)[-1] for path in _WRITTEN[mark:]}
+
+
+def cleared(spark: SparkSession, since: int = 0, keep: DataFrame | None = None, only: set[str] | None = None) -> None:
+    """Delete the saved tables written after the mark ``since``, but those that ``keep`` reads."""
+    kept = _folders(keep) if keep is not None else set()
+    for path in _WRITTEN[since:]:
+        folder = path.rsplit("/", 1)[-1]
+        if folder not in kept and (only is None or folder in only):
+            target, fs = _place(spark, path)
+            fs.delete(target, True)
+            _WRITTEN.remove(path)
 
 
 def n_buckets(df: DataFrame, per_bucket: int = 20_000, least: int = 64) -> int:

@@ -28,10 +28,14 @@ from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import in_slices
+
 # ---- FIXED VALUES: phrases and marks of the line rules --------------------------------------
 BOILERPLATE = [
     "all rights reserved", "tous droits réservés", "alle rechte vorbehalten",
@@ -138,10 +142,20 @@ def with_line_rules(docs: DataFrame, out: str = "quality", text: str = "text",
 
 
 def keep_clean(docs: DataFrame, text: str = "text", rules: LineRules = LineRules()) -> DataFrame:
-    """The texts that pass, with their failing lines removed; the other columns as they were."""
-    q = "_line_rules"
-    return (with_line_rules(docs, q, text, rules, cleaned=True).where(F.col(f"{q}.kept"))
-            .withColumn(text, F.col(f"{q}.clean_text")).drop(q))
+    """The texts that pass, with their failing lines removed; the other columns as they were.
+
+    Rows are judged and sent back a few at a time, so a task holds little besides its input batch."""
+    at = docs.columns.index(text)
+
+    def clean(batches):
+        for batch in in_slices(batches, 1000, 2 << 20):
+            judged = [judge(t, rules, cleaned=True) for t in batch.column(at).to_pylist()]
+            kept = np.array([row[8] for row in judged], bool)
+            columns = batch.columns
+            columns[at] = pa.array([row[-1] if row[8] else None for row in judged], batch.column(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(kept))
+
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def phrase_pattern() -> str:

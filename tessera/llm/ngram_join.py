@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tessera.llm.common import (bit_table, byte_codes, components, lower_ascii, member_filter, mixed, powers, saved,
-                                utf8_buffer)
+from tessera.llm.common import (bit_table, byte_codes, cleared, components, dropped, in_slices, lower_ascii, member_filter, mixed,
+                                powers, saved, utf8_buffer, written)
 
 _CODES = byte_codes(1)
 _BASE = 0xD6E8FEB86659FD93
@@ -113,7 +113,7 @@ def shingle_counters(texts: DataFrame, words: int, counters: int) -> np.ndarray:
     """In how many texts (at most) the shingles of each of ``counters`` classes occur."""
     def count(batches):
         total = np.zeros(counters, np.int64)
-        for batch in batches:
+        for batch in in_slices(batches, 2000, 4 << 20):
             for s in shingle_sets(batch.column(0), words):
                 np.add.at(total, (s & np.uint64(counters - 1)).astype(np.int64), 1)
         some = np.flatnonzero(total)
@@ -130,7 +130,7 @@ def _least(n, num: int, den: int):
 
 
 def set_table(texts: DataFrame, words: int, num: int, den: int, counters: int) -> DataFrame:
-    """One row per text: doc_id, node, n, prefix (in order), ranges (counts by hash range)."""
+    """One row per text: doc_id, node, n, prefix (in order), ranges (counts by hash range), text."""
     rank = shingle_counters(texts, words, counters)
     rank = np.minimum(rank, (1 << 23) - 1).astype(np.uint64) << np.uint64(40)
     shared = texts.sparkSession.sparkContext.broadcast(rank)
@@ -138,7 +138,7 @@ def set_table(texts: DataFrame, words: int, num: int, den: int, counters: int) -
     def describe(batches):
         rank = shared.value
         mask = np.uint64(counters - 1)
-        for batch in batches:
+        for batch in in_slices(batches, 2000, 4 << 20):
             node, size, prefix, ranges = [], [], [], []
             for s in shingle_sets(batch.column("text"), words):
                 n = len(s)
@@ -159,26 +159,28 @@ def set_table(texts: DataFrame, words: int, num: int, den: int, counters: int) -
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(node, pa.int64()), pa.array(size, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                 pa.array([x.tobytes() for x in ranges], pa.binary())], ["doc_id", "node", "n", "prefix", "ranges"])
+                 pa.array([x.tobytes() for x in ranges], pa.binary()), batch.column("text")],
+                ["doc_id", "node", "n", "prefix", "ranges", "text"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(describe, f"doc_id {kind}, node long, n long, prefix array<long>, ranges binary")
+    return texts.mapInArrow(describe, f"doc_id {kind}, node long, n long, prefix array<long>, ranges binary, text string")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of nodes whose texts' sets are alike enough."""
-    @F.pandas_udf("boolean")
-    def linked(left, right):
-        import pandas as pd
-        out = []
-        for x, y in zip(shingle_sets(pa.array(left, pa.string()), words), shingle_sets(pa.array(right, pa.string()), words)):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(den * both >= num * (len(x) + len(y) - both))
-        return pd.Series(out, dtype=bool)
+    def linked(batches):
+        for batch in in_slices(batches, 1000, 4 << 20):
+            ok = []
+            for x, y in zip(shingle_sets(batch.column("left"), words), shingle_sets(batch.column("right"), words)):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(den * both >= num * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    t = _texts_of(texts, pairs, words)
-    return (pairs.join(t.toDF("a", "left"), "a").join(t.toDF("b", "right"), "b")
-            .where(linked("left", "right")).select("a", "b"))
+    t = _texts_of(sets, pairs)
+    links = saved(pairs.join(t.toDF("a", "left"), "a").join(t.toDF("b", "right"), "b")
+                  .select("a", "b", "left", "right").mapInArrow(linked, "a long, b long"), "links")
+    dropped(t)
+    return links
 
 
 def _range_filter(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -227,12 +229,14 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
                                                                                        F.first("pos").alias("pos"))
     order = ["token", "node", "n", "pos"]
     held = saved(held.join(common, "token").select(*order), "postings")
+    dropped(common)
     # the holder with the fewest rare shingles before the token stands in the middle of its kind
     leads = held.groupBy("token").agg(F.min(F.struct("pos", "n", "node")).alias("lead")) \
         .select("token", "lead.node", "lead.n", "lead.pos")
-    pairs = saved(_range_filter(saved(_meet(held, leads.select(*order), num, den, F.lit(True)), "led-pairs"),
-                                nodes, num, den), "led-candidates")
-    links = saved(_verified(pairs, d, words, num, den), "led-links")
+    met = saved(_meet(held, leads.select(*order), num, den, F.lit(True)), "led-pairs")
+    pairs = saved(_range_filter(met, nodes, num, den), "led-candidates")
+    dropped(met)
+    links = _verified(pairs, members, words, num, den)
     parts = components(links)
 
     def part_of(rows, node="node"):
@@ -240,15 +244,17 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
         return rows.join(p, F.col(node) == F.col("_n"), "left") \
             .withColumn("part", F.coalesce("root", F.col(node))).drop("_n", "root")
 
-    held = part_of(held)
-    mixed_tokens = held.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    rest = saved(held.join(mixed_tokens.select("token"), "token", "left_semi").select(*order, "part"), "open-postings")
-    more = saved(_meet(rest, rest, num, den, F.col("part_x") < F.col("part_y")).join(pairs, ["a", "b"], "left_anti"),
-                 "open-pairs")
-    more = saved(_range_filter(more, nodes, num, den), "open-candidates")
-    more = saved(_verified(more, d, words, num, den), "open-links")
+    grouped = part_of(held)
+    mixed_tokens = grouped.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
+    rest = saved(grouped.join(mixed_tokens.select("token"), "token", "left_semi").select(*order, "part"), "open-postings")
+    met = saved(_meet(rest, rest, num, den, F.col("part_x") < F.col("part_y")).join(pairs, ["a", "b"], "left_anti"),
+                "open-pairs")
+    again = saved(_range_filter(met, nodes, num, den), "open-candidates")
+    more = _verified(again, members, words, num, den)
     joined = part_of(part_of(more, "a").withColumnRenamed("part", "x"), "b").select("x", F.col("part").alias("y"))
     roots = components(joined, "x", "y").select(F.col("node").alias("_r"), F.col("root").alias("top"))
+    for done in (held, pairs, rest, met, again):
+        dropped(done)
 
     rows = part_of(members.select("doc_id", "node", "n"))
     rows = rows.join(roots, rows.part == roots._r, "left").withColumn("part", F.coalesce("top", "part")).drop("_r", "top")
@@ -270,17 +276,22 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     rows without an id are left as they are."""
     body = F.coalesce(F.col(text), F.lit(""))
     key = F.when(F.col(doc_id).isNotNull(), F.struct(F.col(doc_id).alias("id"), F.xxhash64(body).alias("h")))
+    mark = written()
     groups = saved(similar(docs.select(key.alias("_key"), text), "_key", text, words, num, den), "groups")
+    cleared(docs.sparkSession, mark, keep=groups)
     first = groups.where("doc_id.id = component_id.id") \
         .select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).distinct()
+    # texts are ordered only where a group's least id comes with several of them
+    first = first.join(first.groupBy("_group").agg(F.count("*").alias("_texts")), "_group")
     solid = body.rlike("[^\\x20\\x09-\\x0D]") & F.col(doc_id).isNotNull()
+    found = docs.where(solid).withColumn("_key", key).join(first, "_key")
     w = W.partitionBy("_group").orderBy(text)
-    one = docs.where(solid).withColumn("_key", key).join(first, "_key") \
-        .withColumn("_row", F.row_number().over(w)).where("_row = 1").select(*docs.columns)
-    return one.unionByName(docs.where(~solid))
+    lone = found.where("_texts = 1").dropDuplicates(["_key"]).select(*docs.columns)
+    one = found.where("_texts > 1").withColumn("_row", F.row_number().over(w)).where("_row = 1").select(*docs.columns)
+    return lone.unionByName(one).unionByName(docs.where(~solid))
 
 
-def _texts_of(d: DataFrame, pairs: DataFrame, words: int, bits: int = 1 << 23) -> DataFrame:
+def _texts_of(sets: DataFrame, pairs: DataFrame, bits: int = 1 << 23) -> DataFrame:
     """One text for every node of ``pairs`` (and a few others): written once, read by both joins.
 
     Names of nodes are hashes, so some of their bits say where they stand in a bit set of fixed
@@ -288,17 +299,14 @@ def _texts_of(d: DataFrame, pairs: DataFrame, words: int, bits: int = 1 << 23) -
     ends = pairs.select(F.explode(F.array("a", "b")).alias("k"))
     spots = ends.select(F.explode(F.array(F.col("k").bitwiseAND(F.lit(bits - 1)),
                                           F.shiftrightunsigned("k", 32).bitwiseAND(F.lit(bits - 1)))).alias("p"))
-    shared = d.sparkSession.sparkContext.broadcast(bit_table(spots, bits))
-
-    def name(batches):
-        table = shared.value
-        for batch in batches:
-            k = np.array([set_key(s) for s in shingle_sets(batch.column("text"), words)], np.int64)
-            p, q = k & (bits - 1), k.view(np.uint64) >> np.uint64(32)
-            q = (q & np.uint64(bits - 1)).astype(np.int64)
-            ok = np.flatnonzero((table[p >> 5] >> (p & 31).astype(np.uint32)) & (table[q >> 5] >> (q & 31).astype(np.uint32)) & 1)
-            of = pa.array(ok)
-            yield pa.record_batch([pa.array(k[ok]), batch.column("text").take(of).cast(pa.string())], ["node", "text"])
-
-    t = d.select("text").mapInArrow(name, "node long, text string")
+    shared = sets.sparkSession.sparkContext.broadcast(bit_table(spots, bits))
+
+    @F.pandas_udf("boolean")
+    def wanted(node):
+        import pandas as pd
+        table, k = shared.value, node.to_numpy()
+        p, q = k & (bits - 1), (k.view(np.uint64) >> np.uint64(32)).astype(np.int64) & (bits - 1)
+        return pd.Series(((table[p >> 5] >> (p & 31).astype(np.uint32)) & (table[q >> 5] >> (q & 31).astype(np.uint32)) & 1) > 0)
+
+    t = sets.where(wanted("node")).select("node", "text")
     return saved(t.groupBy("node").agg(F.first("text").alias("text")), "node-texts")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bit_table, byte_codes, member_filter, mixed, powers, saved, utf8_buffer
+from tessera.llm.common import bit_table, byte_codes, cleared, member_filter, mixed, powers, saved, utf8_buffer, written
 
 LENGTH, SEED, SHALLOW = 100, 40, 16
 NO_ID = -(1 << 63)  # stands for a null id in keys, so joins are on plain columns
@@ -398,7 +398,9 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     """``docs`` with repeats cut out of ``text``; texts of which no byte is left are dropped.  A
     character that a cut splits goes as a whole.  Of rows with equal id and text one stays."""
     d = _named(docs, doc_id, text)
+    mark = written()
     cuts = saved(_cut_texts(d, repeated_runs(d, length, seed), length, True), "cut-texts")
+    cleared(docs.sparkSession, mark, keep=cuts)
     columns = docs.columns
     rows = docs.withColumn("_id", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))) \
         .withColumn("_sig", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
