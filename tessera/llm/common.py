@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -90,6 +91,12 @@ def cleared(spark: SparkSession, since: int = 0, keep: DataFrame | None = None,
             _WRITTEN.remove(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let the driver collect its garbage: Spark keeps the shuffle files of finished jobs until it does."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def n_buckets(df: DataFrame, per_bucket: int = 20_000, least: int = 64) -> int:
     """Buckets that hold about ``per_bucket`` rows each, so their number grows with the table."""
     return max(least, -(-df.count() // per_bucket))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tessera.llm.common import WORD, n_buckets, running_offsets, saved, scattered
+from tessera.llm.common import WORD, n_buckets, released, running_offsets, saved, scattered
 
 WEIGHTS = (5, 2, 1)
 RUN = 8192
@@ -202,9 +202,12 @@ def mixed_texts(docs: DataFrame, order: list[str], source: str = "source", text:
     are in one partition."""
     columns = docs.columns
     laid, of, mix = mixed_blocks(docs, order, source, text, weights, max_epochs, block_words, shard_slots, seed)
-    parts = mix.select("shard", "slot", "skey", "epoch", F.explode("parts").alias("p"))
+    released(docs.sparkSession)
+    # dealt by text before they are grouped by text and epoch, so the join below finds them in place
+    parts = mix.select("shard", "slot", "skey", "epoch", F.explode("parts").alias("p")) \
+        .withColumn("first_word", F.col("p.first_word")).repartition("skey", "first_word")
     cut = F.array_sort(F.collect_list(F.struct("p.from_word", "p.text")))
-    rows = parts.groupBy("skey", F.col("p.first_word").alias("first_word"), "epoch") \
+    rows = parts.groupBy("skey", "first_word", "epoch") \
         .agg(F.min(F.struct("shard", "slot")).alias("_at"), cut.alias("_cut")) \
         .withColumn("_text", F.array_join(F.transform("_cut", lambda p: p["text"]), "")).drop("_cut")
     rows = laid.where("size > 0").drop(text).join(rows, ["skey", "first_word"]).withColumnRenamed("_text", text)
