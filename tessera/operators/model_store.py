@@ -63,3 +63,12 @@ def get_sequence(spark: SparkSession, sf_dir: str, train_fn, cols, tag: str = "s
             fc.fitted_sequence(reliable(train_fn()), cols).save(spark, path)
         _MEMO[path] = fc.SequenceModel.load(spark, path)
     return _MEMO[path]
+
+
+def get_scores(spark: SparkSession, sf_dir: str, names, train_fn, cols, tag: str = "panel"):
+    """Cross-validation scores of the pipelines, one row per (model, fold); computed and saved when there are none."""
+    from tessera.operators import tuning
+    path = shared_path(spark, _key(sf_dir, fingerprint(spark, sf_dir), "cv-" + "-".join(names), tag, cols))
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        tuning.cross_validate(names, tuning.fold_table(train_fn(), cols)).coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema(tuning.SCORES).parquet(path)

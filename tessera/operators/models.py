@@ -8,6 +8,8 @@ checkpoint, not from the raw tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -133,20 +135,8 @@ def _date_index(df: DataFrame) -> DataFrame:
 def cross_validate(name: str, df: DataFrame, cols: list[str], n_splits: int = S.CV_FOLDS,
                    by: str = "row", params: dict | None = None) -> DataFrame:
     """RMSE per fold of pipeline ``name`` on time-ordered folds."""
-    folded, total, t = ts_folds(df, n_splits, by)
-    folded = reliable(folded)
-    first = total - n_splits * t
-    rows = []
-    for f in range(n_splits):
-        start = first + f * t
-        train = folded.where(F.col("global_idx") < start)
-        test = folded.where(F.col("test_fold") == f)
-        model = fit(name, train, cols, params)
-        pred = model.transform(test)
-        mse = pred.agg(F.avg(F.pow(F.col("label") - F.col("prediction"), 2))).first()[0]
-        rows.append((name, f, int(start), int(t), float(mse) ** 0.5))
-    spark = df.sparkSession
-    return spark.createDataFrame(rows, "model string, fold int, train_rows long, test_rows long, rmse double")
+    from tessera.operators import tuning
+    return tuning.cross_validate([name], tuning.fold_table(df, cols, n_splits, by), {name: params} if params else None)
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:
@@ -159,26 +149,18 @@ def train_models(df: DataFrame, cols: list[str], names=MODEL_NAMES, cv: bool = T
                  params: dict | None = None):
     """CV, fit on all rows, in-sample metrics. Returns (models, metrics DataFrame, cv DataFrame)."""
     from tessera.operators import evaluate as ev
+    from tessera.operators import tuning
     data = reliable(df)
-    models, preds, cvs = {}, [], []
-    for name in names:
-        p = (params or {}).get(name)
-        if cv:
-            cvs.append(cross_validate(name, data, cols, params=p))
-        models[name] = fit(name, data, cols, p)
-        preds.append(models[name].transform(data).select(
-            F.lit(name).alias("model"), S.SERIES, S.DT, F.col("label").alias(S.Y),
-            F.col("prediction").alias("yhat")))
-    long = preds[0]
-    for p in preds[1:]:
-        long = long.unionByName(p)
-    metrics = ev.metrics(long)
-    cv_df = None
-    if cvs:
-        cv_df = cvs[0]
-        for c in cvs[1:]:
-            cv_df = cv_df.unionByName(c)
-    return models, metrics, cv_df
+    cv_df = tuning.cross_validate(names, tuning.fold_table(data, cols), params) if cv else None
+    models = {name: fit(name, data, cols, (params or {}).get(name)) for name in names}
+    return models, ev.metrics(fitted_values(models, data)), cv_df
+
+
+def fitted_values(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
+    """Predictions of every model on ``df`` as one long table (model, series_id, dt, y, yhat)."""
+    preds = [m.transform(df).select(F.lit(name).alias("model"), S.SERIES, S.DT, F.col("label").alias(S.Y),
+                                    F.col("prediction").alias("yhat")) for name, m in models.items()]
+    return reduce(DataFrame.unionByName, preds)
 
 
 def feature_importance(model: PipelineModel, cols: list[str] | None = None) -> DataFrame:
@@ -194,8 +176,9 @@ def feature_importance(model: PipelineModel, cols: list[str] | None = None) -> D
         .orderBy(F.col("importance").desc(), "feature")
 
 
-def model_summary(models: dict[str, PipelineModel]) -> DataFrame:
-    """One row per model: type, number of input features, trees / iterations."""
+def model_summary(models: dict[str, PipelineModel], metrics: DataFrame | None = None, scores: DataFrame | None = None) -> DataFrame:
+    """One row per model: type, number of input features, trees, nodes; with ``metrics`` the error
+    measures, with the fold ``scores`` the mean and deviation of the cross-validation."""
     rows = []
     for name, m in models.items():
         est = m.stages[-1]
@@ -205,8 +188,11 @@ def model_summary(models: dict[str, PipelineModel]) -> DataFrame:
                      int(est.getNumTrees) if trees is not None else None,
                      int(est.totalNumNodes) if hasattr(est, "totalNumNodes") else None))
     spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, "model string, model_type string, n_features int, "
-                                       "n_trees int, total_nodes int")
+    out = spark.createDataFrame(rows, "model string, model_type string, n_features int, "
+                                      "n_trees int, total_nodes int")
+    if metrics is not None:
+        out = out.join(metrics, "model", "left")
+    return out if scores is None else out.join(cv_summary(scores), "model", "left")
 
 
 def save_models(models: dict[str, PipelineModel], path: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera import schema as S
 from tessera.operators import clean, evaluate as ev, forecast as fc, models as mdl
-from tessera.operators import model_store
+from tessera.operators import model_store, tuning
 from tessera.plans import sql as Q
 from tessera.plans.common import orders_processed
 from tessera.plans.registry import query, round_doubles, round_sig_cols
@@ -127,20 +127,49 @@ def gradient_boosting(spark, sf_dir):
     return _fit_predict(spark, sf_dir, "gradient_boosting")
 
 
+def stored_scores(spark, sf_dir):
+    return model_store.get_scores(spark, sf_dir, mdl.MODEL_NAMES, lambda: training_frame(spark, sf_dir), _FEATS)
+
+
 @query("cv_scores")
 def cv_scores(spark, sf_dir):
-    """Five expanding-window folds of the linear pipeline: RMSE per fold, plus mean / pop std."""
-    df = training_frame(spark, sf_dir)
-    scores = mdl.cross_validate("linear_regression", df, _FEATS)
-    summ = mdl.cv_summary(scores)
-    return scores.join(summ, "model")
+    """Five expanding-window folds of the three pipelines: RMSE per fold, plus mean / pop std."""
+    scores = stored_scores(spark, sf_dir)
+    return scores.join(mdl.cv_summary(scores), "model")
+
+
+@query("cv_fold_sizes", f"""{_PROC}, n AS (SELECT count(*) AS n, count(*) // 6 AS t FROM proc)
+SELECT CAST(f AS INTEGER) AS fold, n - (5 - f) * t AS train_rows, t AS test_rows
+FROM n, (SELECT unnest(range(5)) AS f)""")
+def cv_fold_sizes(spark, sf_dir):
+    """Training and test rows of every fold of the written fold table, counted from its rows."""
+    folds = tuning.fold_table(training_frame(spark, sf_dir), _FEATS)
+    test = F.col("test_fold")
+    cuts = folds.rows.where(test.isNotNull()).groupBy(test.alias("fold")).agg(F.min("global_idx").alias("start"),
+                                                                           F.count("*").alias("test_rows"))
+    return folds.rows.join(F.broadcast(cuts), F.col("global_idx") < F.col("start")) \
+        .groupBy("fold", "test_rows").agg(F.count("*").alias("train_rows")).select("fold", "train_rows", "test_rows")
+
+
+#: candidates of the race, small enough for a laptop; any grid can be given to tuning.race
+TUNING_GRID = {
+    "linear_regression": tuning.grid(select_k=[5, 10, 20, 29], regParam=[0.0, 0.1]),
+    "random_forest": tuning.grid(numTrees=[20], maxDepth=[4, 7, 10], minInstancesPerNode=[2, 8]),
+    "gradient_boosting": tuning.grid(maxIter=[15], maxDepth=[3, 5], stepSize=[0.1, 0.3]),
+}
+
+
+@query("tune_models")
+def tune_models(spark, sf_dir):
+    """Successive halving over a grid for each pipeline on the time-ordered folds: one row per candidate and rung."""
+    return tuning.race(TUNING_GRID, tuning.fold_table(training_frame(spark, sf_dir), _FEATS))
 
 
 @query("train_metrics")
 def train_metrics(spark, sf_dir):
-    """Fit the three pipelines on all rows and score them in-sample (comparison table)."""
+    """Fit the three pipelines on all rows, score them in-sample (comparison table) and by cross-validation."""
     _, metrics, _ = mdl.train_models(training_frame(spark, sf_dir), _FEATS, cv=False)
-    return ev.ranking(metrics)
+    return ev.ranking(metrics.join(mdl.cv_summary(stored_scores(spark, sf_dir)), "model"))
 
 
 @query("feature_importance")
@@ -152,8 +181,11 @@ def feature_importance(spark, sf_dir):
 
 @query("model_summary")
 def model_summary(spark, sf_dir):
-    """One row per stored pipeline: estimator, inputs, trees, nodes."""
-    return mdl.model_summary(stored_models(spark, sf_dir))
+    """One row per stored pipeline: estimator, inputs, trees, nodes, in-sample error measures, mean and deviation
+    of the cross-validation."""
+    models = stored_models(spark, sf_dir)
+    metrics = ev.metrics(mdl.fitted_values(models, reliable(training_frame(spark, sf_dir))))
+    return mdl.model_summary(models, metrics, stored_scores(spark, sf_dir))
 
 
 @query("sequence_regression")
