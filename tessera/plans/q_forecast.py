@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from tessera import schema as S
 from tessera.operators import evaluate as ev, features as feat, forecast as fc
 from tessera.operators import model_store
-from tessera.operators import panel as pnl
+from tessera.operators import panel as pnl, tree_roll
 from tessera.plans import sql as Q
 from tessera.plans.common import orders_panel, orders_processed
 from tessera.plans.q_models import _FEATS, stored_models, training_frame
 from tessera.plans.registry import query, round_doubles
 from tessera.session import shared_path
+from tessera.tables import reliable
 
 H = S.FORECAST_DAYS
 
@@ -161,6 +162,53 @@ def sequence_forecast(spark, sf_dir):
     return _sequence(spark, sf_dir)
 
 
+_FIXED = [  # FIXED VALUES: two small trees over four features, as (feature, threshold, left, right, value) per node
+    (0.7, [("y_lag_1", 1e5, 1, 4, 0.0), ("y_lag_7", 1.5e5, 2, 3, 0.0), (None, 0.0, -1, -1, 9e4), (None, 0.0, -1, -1, 2.1e5),
+           ("y_rolling_mean_7", 2.5e5, 5, 6, 0.0), (None, 0.0, -1, -1, 1.8e5), (None, 0.0, -1, -1, 3.2e5)]),
+    (0.4, [("day_of_week", 3.5, 1, 4, 0.0), ("y_lag_7", 1.2e5, 2, 3, 0.0), (None, 0.0, -1, -1, 1.1e5), (None, 0.0, -1, -1, 2.6e5),
+           ("y_rolling_mean_7", 2e5, 5, 6, 0.0), (None, 0.0, -1, -1, 1.4e5), (None, 0.0, -1, -1, 2.4e5)])]
+_FIXED_COLS = ["y_lag_1", "y_lag_7", "y_rolling_mean_7", "day_of_week"]
+
+
+@query("roll_forward_fixed_trees", f"""WITH RECURSIVE {Q.panel_ctes()},
+ranked AS (SELECT series_id, dt, CAST(y AS DOUBLE) AS y, row_number() OVER (PARTITION BY series_id ORDER BY dt DESC) AS rn FROM panel),
+start AS (SELECT series_id, max(dt) AS last_dt, list(y ORDER BY dt) AS h FROM ranked WHERE rn <= 365 GROUP BY series_id),
+roll AS (
+  SELECT series_id, last_dt, h, 0 AS step FROM start
+  UNION ALL
+  SELECT series_id, last_dt, list_append(h,
+      0.7 * CASE WHEN h[-1] <= 1e5 THEN CASE WHEN h[-7] <= 1.5e5 THEN 9e4 ELSE 2.1e5 END
+                 WHEN list_avg(h[-6:]) <= 2.5e5 THEN 1.8e5 ELSE 3.2e5 END
+    + 0.4 * CASE WHEN isodow(last_dt + CAST(step + 1 AS INTEGER)) - 1 <= 3.5 THEN CASE WHEN h[-7] <= 1.2e5 THEN 1.1e5 ELSE 2.6e5 END
+                 WHEN list_avg(h[-6:]) <= 2e5 THEN 1.4e5 ELSE 2.4e5 END), step + 1
+  FROM roll WHERE step < 30)
+SELECT series_id, CAST(last_dt + CAST(step AS INTEGER) AS DATE) AS dt, CAST(step AS INTEGER) AS step, round(h[-1], 4) AS yhat
+FROM roll WHERE step > 0""")
+def roll_forward_fixed_trees(spark, sf_dir):
+    """Recursive 30-step forecast of two stated trees, walked inside the fold over the horizon."""
+    node = "named_struct('feature', {}, 'threshold', {}D, 'left', {}, 'right', {}, 'value', {}D)"
+    trees = ", ".join(f"named_struct('weight', {w}D, 'nodes', array(" + ", ".join(
+        node.format(_FIXED_COLS.index(c) if c else -1, *rest) for c, *rest in nodes) + "))" for w, nodes in _FIXED)
+    one = spark.range(1).select(F.expr(f"array({trees})").cast(tree_roll.TREES).alias("trees"))
+    return round_doubles(tree_roll.roll_forward(orders_panel(spark, sf_dir), one, 2, _FIXED_COLS, H), 4)
+
+
+@query("roll_forward_trees")
+def roll_forward_trees(spark, sf_dir):
+    """Recursive 30-step forecasts of the stored forest and boosting models, each one expression per series."""
+    models = stored_models(spark, sf_dir, ["random_forest", "gradient_boosting"])
+    panel = reliable(orders_panel(spark, sf_dir))
+    rows = [tree_roll.roll_forward(panel, tree_roll.trees_of(m), tree_roll.depth_of(m), _FEATS, H).select(F.lit(n).alias("model"), "*")
+            for n, m in models.items()]
+    return rows[0].unionByName(rows[1])
+
+
+@query("roll_forward_sequence")
+def roll_forward_sequence(spark, sf_dir):
+    """The 30-day forecast of the stored sequence model as one expression per series."""
+    return tree_roll.sequence_roll_forward(stored_sequence(spark, sf_dir), orders_panel(spark, sf_dir), H)
+
+
 @query("forecast_run")
 def forecast_run(spark, sf_dir):
     """Forecast table: three pipelines (direct), the recursive linear forecast and the
