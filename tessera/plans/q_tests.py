@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tessera import schema as S
 from tessera.operators import significance as sg
 from tessera.plans import sql as Q
@@ -25,11 +27,12 @@ centred AS (SELECT *, d - avg(d) OVER (PARTITION BY series_id, model_a, model_b)
 lagged AS (SELECT *, {_LAGGED} FROM centred WINDOW w AS (PARTITION BY series_id, model_a, model_b ORDER BY dt)),
 v AS (SELECT series_id, model_a, model_b, count(*) AS n, avg(d) AS mean_diff, ({_LONG_RUN}) / count(*) AS long_run_var
       FROM lagged GROUP BY ALL)
-SELECT series_id, model_a, model_b, n, {Q.rsig('mean_diff', 8)} AS mean_diff, {Q.rsig('long_run_var', 8)} AS long_run_var,
+SELECT series_id, model_a, model_b, n, {Q.rsig('mean_diff / 1e6', 8)} AS mean_diff, {Q.rsig('long_run_var / 1e12', 8)} AS long_run_var,
        {Q.rsig('mean_diff / sqrt(long_run_var / n)', 8)} AS statistic FROM v""")
 def diebold_mariano(spark, sf_dir):
-    """Squared-loss differences of every pair of naive forecasters per series, over their long-run deviation (7 lags)."""
+    """Squared-loss differences (in millions) of every pair of naive forecasters per series, over their long-run deviation (7 lags)."""
     out = sg.diebold_mariano(sg.loss_differences(naive_wide(spark, sf_dir), _MODELS), _LAGS)
+    out = out.withColumns({"mean_diff": F.col("mean_diff") / 1e6, "long_run_var": F.col("long_run_var") / 1e12})
     return round_sig_cols(out, ["mean_diff", "long_run_var", "statistic"], 8)
 
 
