@@ -200,6 +200,7 @@ def compared_with_next(docs: DataFrame, pieces: int | None = None, most_pieces:
     there = F.struct(F.col("before").alias("piece"), F.lit(1).alias("ahead"))
     d = d.withColumn("to", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("first")), F.array(here, there))
                                      .otherwise(F.array(here))))
-    return (d.select("to.piece", "to.ahead", "doc_id", "text").repartition(max(1, len(firsts)), "piece")
+    d = d.select("to.piece", "to.ahead", "doc_id", "text")
+    return (d.repartitionById(len(bounds) + 2, (F.col("piece") + 1).cast("int"))  # one piece a task
             .sortWithinPartitions("piece", "ahead", F.col("doc_id").asc_nulls_first(), "text")
             .mapInArrow(_compared, RESULT))
