@@ -48,7 +48,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_mix_blocks")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir, "doc_id", "text", "source")
-    laid, of, mix = mixing.mixed_blocks(d, ["doc_id"])
+    d = d.withColumn("sig", F.xxhash64("text"))  # rows of one id are told apart, so reruns lay them out alike
+    laid, of, mix = mixing.mixed_blocks(d, ["doc_id", "sig"])
     return mixing.placed_words(laid, of, mix).select("doc_id", "size", "source_size", "target", "taken", "places")
 
 
