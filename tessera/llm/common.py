@@ -43,13 +43,13 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 _WRITTEN: list[str] = []
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` below the cluster's checkpoint folder and read it again (cuts lineage).
 
     The table is deleted by :func:`dropped` or :func:`cleared`, at the latest when the driver ends."""
     spark = df.sparkSession
     path = shared_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     target, fs = _place(spark, path)
     fs.deleteOnExit(target)
     _WRITTEN.append(path)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tessera.llm.common import (bit_table, byte_codes, cleared, components, dropped, in_slices, lower_ascii, member_filter, mixed,
-                                powers, saved, utf8_buffer, written)
+                                powers, released, saved, utf8_buffer, written)
 
 _CODES = byte_codes(1)
 _BASE = 0xD6E8FEB86659FD93
@@ -220,7 +220,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     """One row per text: doc_id, n_shingles, component_id (least id of its component), n_links
     (verified links of its node that the search needed)."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    members = saved(set_table(d, words, num, den, counters), "sets")
+    members = saved(set_table(d, words, num, den, counters), "sets", compression="zstd")  # holds the texts
     nodes = members.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("ranges").alias("ranges"))
     posts = members.where("n > 0").select("node", "n", F.posexplode("prefix").alias("pos", "token"))
     common = posts.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
@@ -230,6 +230,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     order = ["token", "node", "n", "pos"]
     held = saved(held.join(common, "token").select(*order), "postings")
     dropped(common)
+    released(docs.sparkSession)
     # the holder with the fewest rare shingles before the token stands in the middle of its kind
     leads = held.groupBy("token").agg(F.min(F.struct("pos", "n", "node")).alias("lead")) \
         .select("token", "lead.node", "lead.n", "lead.pos")
