@@ -27,6 +27,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import defaultdict
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,14 +90,56 @@ def _named(token: str, in_article: bool) -> bool:
     return bool(parts & words) and not parts - words - PLACE_WORDS
 
 
+class Open:
+    """The open elements of a page, with the places of every kind, so that no question walks the stack."""
+
+    def __init__(self):
+        self.stack, self.tags = [0], ["#page"]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks = [0]  # places of elements that are not inline
+
+    def push(self, element: int, tag: str) -> None:
+        self.places[tag].append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(element)
+        self.tags.append(tag)
+
+    def cut(self, place: int) -> None:
+        """Closes the elements from ``place`` on."""
+        while len(self.stack) > place:
+            tag = self.tags.pop()
+            self.stack.pop()
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+
+    def nearest(self, tags: set[str]) -> int:
+        """The last place of any of these kinds, 0 without one."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close_up_to(self, tags: set[str], stops: set[str]) -> None:
+        """Closes the nearest element of ``tags`` unless one of ``stops`` stands above it."""
+        place = self.nearest(tags)
+        if place > self.nearest(stops - tags):
+            self.cut(place)
+
+    def end(self, name: str) -> None:
+        """An end tag; those of inline elements close nothing beyond the block they stand in."""
+        place = self.nearest({name})
+        if place and (name not in INLINE or place > self.blocks[-1]):
+            self.cut(place)
+
+
 class Page:
     """The elements of a page in document order, without those that hold no running text."""
 
     def __init__(self, source: str):
         self.tag, self.parent, self.last = ["#page"], [-1], [0]
         self.items: list[tuple[int, str]] = []  # (element, text); text ' ' for a break
-        stack, drop = [0], 0  # drop: size of the stack above which everything is left out
-        at, n, article = 0, len(source), 0
+        opened, drop = Open(), 0  # drop: size of the stack above which everything is left out
+        stack = opened.stack
+        at, n = 0, len(source)
         self.body = 0
         for m in iter(lambda: _TAG.search(source, at), None):
             if m.start() > at and not drop:
@@ -107,19 +150,18 @@ class Page:
                 continue
             name, closing, attributes = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
             if closing:
-                self._close(stack, name)
+                opened.end(name)
                 if drop and len(stack) < drop:
                     drop = 0
             else:
-                self._imply(stack, name)
+                self._imply(opened, name)
                 if drop and len(stack) < drop:
                     drop = 0
                 if name in VOID:
                     if not drop and name not in INLINE:
                         self.items.append((stack[-1], " "))
                     continue
-                inside = any(self.tag[i] in ("article", "main") for i in stack)
-                out = drop or _no_text(name, attributes, inside)
+                out = drop or _no_text(name, attributes, opened.nearest({"article", "main"}) > 0)
                 if name in RAW:
                     end = _RAW_END[name].search(source, at)
                     at = end.end() if end else n
@@ -131,7 +173,7 @@ class Page:
                 self.tag.append(name)
                 self.parent.append(stack[-1])
                 self.last.append(len(self.tag) - 1)
-                stack.append(len(self.tag) - 1)
+                opened.push(len(self.tag) - 1, name)
                 if out and not drop:
                     drop = len(stack)
             if not drop and name not in INLINE:
@@ -145,30 +187,13 @@ class Page:
     def _text(self, element: int, text: str) -> None:
         self.items.append((element, html.unescape(text) if "&" in text else text))
 
-    def _pop_to(self, stack: list[int], names: set[str], stops: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            t = self.tag[stack[k]]
-            if t in names:
-                del stack[k:]
-                return
-            if t in stops:
-                return
-
-    def _close(self, stack: list[int], name: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == name:
-                del stack[k:]
-                return
-            if name in INLINE and self.tag[stack[k]] not in INLINE:
-                return
-
-    def _imply(self, stack: list[int], name: str) -> None:
+    def _imply(self, opened: Open, name: str) -> None:
         if name in CLOSED_BY:
-            self._pop_to(stack, CLOSED_BY[name], KEEPS_IN - {"td"} if name in ("td", "th", "tr") else KEEPS_IN)
+            opened.close_up_to(CLOSED_BY[name], KEEPS_IN - {"td"} if name in ("td", "th", "tr") else KEEPS_IN)
         elif name not in INLINE and name not in VOID:
-            self._pop_to(stack, {"p"}, KEEPS_IN)
-        if name == "body" and self.tag[stack[-1]] == "head":
-            stack.pop()
+            opened.close_up_to({"p"}, KEEPS_IN)
+        if name == "body" and opened.tags[-1] == "head":
+            opened.cut(len(opened.stack) - 1)
 
     def densities(self) -> tuple[list[float], list[int]]:
         """The density of every element, and its characters."""
@@ -226,8 +251,10 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page = Page(source)
-    spans = [(i, page.last[i]) for i in page.main()]
-    text = "".join(t for i, t in page.items if any(lo <= i <= hi for lo, hi in spans))
+    taken = bytearray(len(page.tag))
+    for i in page.main():  # subtrees do not overlap
+        taken[i: page.last[i] + 1] = b"\x01" * (page.last[i] + 1 - i)
+    text = "".join(t for i, t in page.items if taken[i])
     return " ".join(text.split())
 
 

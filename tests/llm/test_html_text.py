@@ -45,6 +45,24 @@ def test_damage_and_size_take_linear_time():
         main_text(page)
 
 
+@pytest.mark.parametrize("page", [
+    lambda n: "<div>" * n + "x", lambda n: "<b>" * n + "<p>x" + "</i>" * n, lambda n: "<div>" * n + "</b>" * n + "x",
+    lambda n: "<i><b>" * n + "<center>y" * n, lambda n: "<ul>" + "<li><span>a" * n, lambda n: "<article>" + "<p>word</p>" * n + "</article>",
+    lambda n: "<i><div>" + "<b>" * n + "</i>x" * n])
+def test_time_grows_with_the_page(page):
+    """Eight times the page takes well under the 64 times that a walk of the stack at every tag takes."""
+    import time
+
+    def seconds(n):
+        text, best = page(n), 9e9
+        for _ in range(3):
+            begin = time.perf_counter()
+            main_text(text)
+            best = min(best, time.perf_counter() - begin)
+        return best
+    assert seconds(16_000) < 24 * max(seconds(2_000), 1e-3)
+
+
 def test_column_keeps_rows_and_other_columns(spark):
     rows = [(1, None, "u"), (2, "<p>a</p>", "u"), (2, "<p>a</p>", "u"), (None, "<p>b", None)]
     df = spark.createDataFrame(rows, "page_id long, html string, n_chars string")
