@@ -14,7 +14,12 @@ most ``false_accepts`` of the unknown and plain ones would pass as a family.  Wh
 it is unknown.
 
 A family is confirmed if one of its templates has at least ``confirm`` of its word pairs in the
-paragraph.
+paragraph.  Besides, every text is compared with the templates wherever their word pairs occur, whatever
+its lines: a stretch of about a template's length without an empty line in it that holds ``confirm`` of the pairs is a
+confirmed notice, though it is wrapped over lines or stands within a long one.  Of stretches that
+overlap the most alike one stays (ties: the longer template, then the first family); lines judged on their own within it
+are part of it.  It also has to hold as many of the pairs that no other family has, and the classifier has to put it nearer to
+its family than to any other.
 
 Nulls and texts without words have no paragraphs.  Very long texts are scanned in pieces at line
 ends, long lines whole.  Repeated rows are scanned each; an empty table gives no rows.  With
@@ -24,6 +29,7 @@ fewer plain paragraphs than asked for, all are used.  Extra columns are not read
 from __future__ import annotations
 
 import random
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -73,6 +79,8 @@ FAMILIES = sorted(TEMPLATES)
 CLASSES = [*FAMILIES, "none", "unknown"]
 
 FEATURES = 1 << 15
+_SPACES = " \t\n\x0b\f\r"
+_WORD, _LINE = re.compile(f"[^{_SPACES}]+"), re.compile("[^\n]*\n?")
 _PAIR = mixed(np.array([11, 13], dtype=np.uint64)) | np.uint64(1)
 
 
@@ -116,6 +124,66 @@ def word_pairs(text: str) -> set[tuple[str, str]]:
     return set(zip(["", *words], words)) if len(words) < 2 else set(zip(words, words[1:]))
 
 
+_PUNCTUATION = ".,;:()\"'"
+_TEMPLATES: list[tuple] = []
+
+
+def templates() -> list[tuple]:
+    """(family, words, word pairs, those that no other family has, sorted hashes of the pairs as they stand) of every
+    template of three pairs or more."""
+    if not _TEMPLATES:
+        for family in FAMILIES:
+            for t in TEMPLATES[family]:
+                if len(word_pairs(t)) >= 3:
+                    h, _ = word_hashes(*utf8_buffer(pa.array([t])))
+                    others = set().union(*[word_pairs(x) for f, own in TEMPLATES.items() if f != family for x in own])
+                    _TEMPLATES.append((family, len(t.split()), word_pairs(t), word_pairs(t) - others, np.unique(_pair_hashes(h))))
+    return _TEMPLATES
+
+
+def _pair_hashes(h: np.ndarray) -> np.ndarray:
+    return mixed(h[:-1] * _PAIR[0] + h[1:] * _PAIR[1])
+
+
+def stretches(text: str, confirm: float) -> list[tuple[int, int, str, float]]:
+    """(first byte, end, family, similarity) of the stretches of a text that hold a template."""
+    words, at, block = [], [], []
+    gap = 0
+    for k, line in enumerate(_LINE.finditer(text)):
+        if not line[0].strip(_SPACES):
+            gap += 1
+        for m in _WORD.finditer(line[0]):
+            w = m[0].lower().strip(_PUNCTUATION)
+            if w:
+                words.append(w)
+                at.append((line.start() + m.start(), line.start() + m.end()))
+                block.append(gap)
+    pairs = list(zip(words, words[1:]))
+    found = []
+    for family, size, wanted, distinct, _ in templates():
+        hits = [i for i, x in enumerate(pairs) if x in wanted and block[i] == block[i + 1]]
+        most, best, lo = size + size // 4, [], 0
+        held: dict = {}
+        for k, i in enumerate(hits):  # the hits within `most` words that end here, all in one block
+            held[pairs[i]] = held.get(pairs[i], 0) + 1
+            # too far back, in another block, or said again further on
+            while i - hits[lo] > most or block[hits[lo]] != block[i] or held[pairs[hits[lo]]] > 1:
+                held[pairs[hits[lo]]] -= 1
+                if not held[pairs[hits[lo]]]:
+                    del held[pairs[hits[lo]]]
+                lo += 1
+            if len(held) >= confirm * len(wanted) and sum(x in held for x in distinct) >= confirm * len(distinct):
+                best.append((len(held) / len(wanted), hits[lo], i + 1))
+        found += [(-alike, -size, family, a, b) for alike, a, b in best]
+    taken: list[tuple[int, int]] = []
+    out = []
+    for less, _, family, a, b in sorted(found, key=lambda x: (x[0], x[1], x[2], x[4] - x[3], x[3])):
+        if all(b < lo or a > hi for lo, hi in taken):
+            taken.append((a, b))
+            out.append((at[a][0], at[b][1], family, -less))
+    return sorted(out)
+
+
 @dataclass
 class Scanner:
     weights: np.ndarray  # FEATURES x classes
@@ -174,9 +242,46 @@ class Scanner:
                 prob = float(p[j, k])
                 family = CLASSES[k] if prob >= self.least or k == unknown else "unknown"
                 alike = self.similarity(family, paragraph) if family != "unknown" else 0.0
-                found.append((int(text[j]), paragraph, family, prob, alike))
+                start = int(line[first] + at[a] - off[int(text[j])])
+                found.append((int(text[j]), paragraph, family, prob, alike, start, start + len(paragraph.encode())))
+            first = last
+        return counts, self.with_stretches(column, data, off, found, most)
+
+    def with_stretches(self, column, data: np.ndarray, off: np.ndarray, found: list[tuple], most: int) -> list[tuple]:
+        """``found`` (with places in bytes) and the stretches of texts that hold a template; without places."""
+        lines: dict[int, list[tuple]] = {}
+        for x in found:
+            lines.setdefault(x[0], []).append(x)
+        n, first = len(off) - 1, 0
+        while first < n:
+            last = min(n, max(first + 1, int(np.searchsorted(off, off[first] + most, side="right")) - 1))
+            h, wo = word_hashes(data[off[first]: off[last]], off[first: last + 1] - off[first])
+            pairs = _pair_hashes(h)
+            likely = set()
+            for *_, known in templates():
+                place = np.searchsorted(known, pairs)
+                hit = np.flatnonzero(known[np.minimum(place, len(known) - 1)] == pairs)
+                of = np.searchsorted(wo, hit, side="right") - 1
+                different = np.unique(of * len(known) + place[hit])
+                enough = np.bincount(different // len(known), minlength=last - first) * 2 >= len(known)
+                likely.update((np.flatnonzero(enough) + first).tolist())
+            for i in sorted(likely):
+                text = column[i].as_py()
+                for a, b, family, alike in stretches(text, self.confirm):
+                    own = text[a:b]
+                    a, b = len(text[:a].encode("utf-8", "surrogatepass")), len(text[:b].encode("utf-8", "surrogatepass"))
+                    held = lines.setdefault(i, [])
+                    if any(x[4] >= self.confirm and x[5] < b and a < x[6] for x in held):
+                        continue  # a line that is confirmed on its own
+                    flat = own.replace("\n", " ")
+                    _, margins = self.margins(*utf8_buffer(pa.array([flat])))
+                    p = self.probabilities(margins)[0]
+                    if FAMILIES[int(p[:len(FAMILIES)].argmax())] != family:
+                        continue  # half a notice may be near another family's template
+                    p = float(p[CLASSES.index(family)])
+                    lines[i] = [x for x in held if not (a <= x[5] and x[6] <= b)] + [(i, own, family, p, alike, a, b)]
             first = last
-        return counts, found
+        return [x[:5] for i in sorted(lines) for x in sorted(lines[i], key=lambda x: x[5])]
 
 
 # ---- training --------------------------------------------------------------------------------

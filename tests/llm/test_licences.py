@@ -43,6 +43,36 @@ def test_held_out_accuracy(scanner):
     assert n == 300 and len(found) <= 3 and not any(sure for _, _, sure in found)
 
 
+LONG = [("bsd", "Redistribution and use"), ("mit", "Permission is hereby"), ("gpl", "This program is free"), ("isc", "Permission to use"),
+        ("cc-by-sa", "This work is licensed"), ("mpl", "This Source Code")]
+
+
+@pytest.mark.parametrize("family,begin", LONG)
+def test_notices_wrapped_over_lines_or_within_a_long_one(scanner, family, begin):
+    import textwrap
+    rng = random.Random(8)
+    notice = next(t for t in lc.TEMPLATES[family] if t.startswith(begin))
+    around = [sentence(rng, 30) for _ in range(4)]
+    wrapped = textwrap.wrap(notice, 40)
+    assert len(wrapped) > 1
+    n, found = scan(scanner, [*around[:2], *wrapped, *around[2:]])
+    assert n == 4 + len(wrapped) and [(f, sure) for _, f, sure in found if sure] == [(family, True)]
+    assert "".join(found[0][0].split()).startswith("".join(notice.split())[:20]) and len(found) == 1
+    assert [f for _, f, sure in scan(scanner, [" ".join([sentence(rng, 60), notice, sentence(rng, 60)])])[1] if sure] == [family]
+    twice = scan(scanner, [*wrapped, "", *wrapped])[1]
+    assert [f for _, f, sure in twice if sure] == [family] * 2
+    half = len(wrapped) // 2
+    assert not any(sure for _, _, sure in scan(scanner, [*wrapped[:half], "", sentence(rng, 30), "", *wrapped[half:]])[1])
+
+
+def test_stretches_by_hand():
+    t = lc.TEMPLATES["isc"][0]
+    assert lc.stretches("xx " + t + " yy", 0.8) == [(3, 3 + len(t), "isc", 1.0)]
+    assert lc.stretches(t.replace(" ", "\n\n"), 0.8) == [] and lc.stretches("", 0.8) == []
+    assert [(f, s) for _, _, f, s in lc.stretches("é " + lc.TEMPLATES["cc-by"][0] + " " + lc.TEMPLATES["cc-by-nc"][0], 0.8)] == \
+        [("cc-by", 1.0), ("cc-by-nc", 1.0)]
+
+
 def test_unknown_notices_are_not_confirmed(scanner):
     for p in ("Licensed under the Bara Fetor License.", "This work is licensed under the Colix Public Terms, version 9."):
         assert not any(sure for _, _, sure in scan(scanner, [p])[1])
