@@ -5,12 +5,15 @@
 2. Each source's target is its weight's share of all words, at most ``max_epochs`` times what the
    source holds; what is above that is shared again by weight until no source is above
    (:func:`targets`).  A target becomes a number of block draws.
-3. Every draw of every source takes one slot of the output.  Slots are dealt by a pseudorandom
-   permutation of all draws, and a shard is ``shard_slots`` slots in a row: the source counts of
-   a shard are a multinomial draw given that all shards together meet the targets.
-4. The k-th draw of a source reads block ``perm(k mod n_blocks)`` of its epoch ``k div
-   n_blocks``, by a permutation keyed by source and epoch.  So no block is read twice in an
-   epoch, and none more than ``max_epochs`` times.
+3. A shard is ``shard_slots`` slots of the output, and its source counts are a multinomial draw:
+   every slot draws its source with a probability in proportion to the sources' block draws
+   (:func:`shard_draws`).  The draws of a source are numbered over all shards.
+4. A pseudorandom permutation keyed by source maps these numbers to the source's draw indices;
+   index k reads block ``k mod n_blocks``, from a place of its own in every epoch
+   ``k div n_blocks``.  So no block is read twice in an epoch, and none more than ``max_epochs``
+   times.  Where a source was drawn oftener than its target allows, the slots whose index lies
+   beyond it (pseudorandom ones, some square root of the draws in number) go to the sources that
+   were drawn too seldom, so every target is met to a block.
 5. Blocks are joined by (source, index) with the words of the texts: the mix, one row per slot
    (:func:`mixed_blocks`).  What each text gives to it (:func:`placed_words`) and the texts as the
    mix takes them (:func:`mixed_texts`) are read off these rows.
@@ -34,7 +37,8 @@ from pyspark.sql.window import Window as W
 from tessera.llm.common import WORD, n_buckets, released, running_offsets, saved, scattered
 
 WEIGHTS = (5, 2, 1)
-RUN = 8192
+#: shards numbered together, and the least number of cells that the number line is cut into
+RUN, CELLS = 256, 4096
 
 
 def n_words(text: Column) -> Column:
@@ -73,21 +77,62 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
                     draws.cast("long").alias("n_draws"))
 
 
+def _sources(of: DataFrame, length: Column, start: str, total: int, names: int) -> tuple[DataFrame, int]:
+    """``of`` laid end to end by name, ``length`` each, as one row per source and cell; a cell's width."""
+    named = W.orderBy("skey").rowsBetween(W.unboundedPreceding, 0)
+    width = max(1, -(-total // max(CELLS, 8 * names)))
+    s = of.withColumn("_n", length).withColumn(start, F.sum("_n").over(named) - F.col("_n")).where("_n > 0")
+    cells = F.sequence(F.floor(F.col(start) / width), F.floor((F.col(start) + F.col("_n") - 1) / width))
+    return s.withColumn("_end", F.col(start) + F.col("_n")).withColumn("_cell", F.explode(cells)).drop("_n"), width
+
+
+def shard_draws(of: DataFrame, shard_slots: int = 4096, seed: int = 0) -> DataFrame:
+    """The multinomial draw of every shard: shard, skey and the slots that drew this source, in order."""
+    spark = of.sparkSession
+    total, names = of.agg(F.coalesce(F.sum("n_draws"), F.lit(0)), F.count("skey")).first()
+    spans, width = _sources(of.select("skey", "n_draws"), F.col("n_draws"), "_from", total, names)
+    tasks = max(4 * spark.sparkContext.defaultParallelism, total >> 21)
+    at = F.pmod(F.xxhash64("id", F.lit("source"), F.lit(seed)), F.lit(max(1, total)))
+    slots = spark.range(0, total, 1, tasks).select(
+        F.floor(F.col("id") / shard_slots).alias("shard"), F.pmod("id", F.lit(shard_slots)).cast("int").alias("slot"),
+        at.alias("_at")).withColumn("_cell", F.floor(F.col("_at") / width))
+    return slots.join(spans, "_cell").where("_at >= _from and _at < _end") \
+        .groupBy("skey", "shard").agg(F.array_sort(F.collect_list("slot")).alias("slots"))
+
+
 def draws(of: DataFrame, shard_slots: int = 4096, seed: int = 0) -> DataFrame:
     """Every block draw: skey, block, epoch, shard, slot (place within the shard)."""
-    w = W.orderBy("skey").rowsBetween(W.unboundedPreceding, 0)
-    s = of.withColumn("_from", F.sum("n_draws").over(w) - F.col("n_draws")) \
-        .withColumn("_all", F.sum("n_draws").over(W.partitionBy(F.lit(1)))).where("n_draws > 0")
-    runs = s.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_draws") - 1) / RUN))))
-    n = max(1, of.sparkSession.sparkContext.defaultParallelism)
-    runs = runs.repartition(int(n) * 4, "skey", "_run")
-    k = runs.withColumn("_k", F.explode(F.sequence(F.col("_run") * RUN, F.least((F.col("_run") + 1) * RUN, F.col("n_draws")) - 1)))
-    k = k.withColumn("epoch", F.floor(F.col("_k") / F.col("n_blocks"))) \
-        .withColumn("block", scattered(F.pmod(F.col("_k"), F.col("n_blocks")), F.col("n_blocks"),
-                                       F.col("skey"), F.col("epoch"), F.lit(seed))) \
-        .withColumn("_slot", scattered(F.col("_from") + F.col("_k"), F.col("_all"), F.lit("slots"), F.lit(seed)))
-    return k.select("skey", "block", "epoch", F.floor(F.col("_slot") / shard_slots).alias("shard"),
-                    F.pmod(F.col("_slot"), F.lit(shard_slots)).alias("slot"))
+    drawn = saved(shard_draws(of, shard_slots, seed), "shard-draws").withColumn("_run", F.floor(F.col("shard") / RUN))
+    n = F.size("slots").cast("long")
+    runs = drawn.groupBy("skey", "_run").agg(F.sum(n).alias("_sum"))
+    got = runs.groupBy("skey").agg(F.sum("_sum").alias("_got"))
+    sources = of.where("n_draws > 0").select("skey", "n_blocks", "n_draws").join(got, "skey", "left") \
+        .withColumn("_got", F.coalesce("_got", F.lit(0).cast("long"))).withColumn("_over", F.greatest(F.col("_got") - F.col("n_draws"), F.lit(0)))
+    sources = saved(sources.withColumn("_over_from", F.sum("_over").over(
+        W.orderBy("skey").rowsBetween(W.unboundedPreceding, 0)) - F.col("_over")), "sources")
+    over, names = sources.agg(F.coalesce(F.sum("_over"), F.lit(0)), F.count("skey")).first()
+
+    base = runs.withColumn("_base", F.sum("_sum").over(W.partitionBy("skey").orderBy("_run")) - F.col("_sum")).drop("_sum")
+    w = W.partitionBy("skey", "_run").orderBy("shard").rowsBetween(W.unboundedPreceding, 0)
+    k = drawn.join(base, ["skey", "_run"]).withColumn("_first", F.col("_base") + F.sum(n).over(w) - n) \
+        .join(sources, "skey").select("skey", "shard", "_first", "_got", "n_draws", "n_blocks", "_over_from",
+                                      F.posexplode("slots").alias("_i", "slot"))
+    k = k.withColumn("_k", scattered(F.col("_first") + F.col("_i"), F.col("_got"), F.col("skey"), F.lit(seed)))
+
+    # an index beyond the target takes a draw of a source that was drawn too seldom; the others meet no cell
+    short, width = _sources(sources.select("skey", "n_blocks", "_got", "n_draws"),
+                            F.greatest(F.col("n_draws") - F.col("_got"), F.lit(0)), "_from", over, names)
+    short = short.select("_cell", "_from", "_end", F.col("skey").alias("_skey"), F.col("n_blocks").alias("_blocks"),
+                         F.col("_got").alias("_has"))
+    k = k.withColumn("_at", F.when(F.col("_k") >= F.col("n_draws"), F.col("_over_from") + F.col("_k") - F.col("n_draws"))) \
+        .withColumn("_cell", F.coalesce(F.floor(F.col("_at") / width), -1 - F.col("_k")))
+    k = k.join(short, (k["_cell"] == short["_cell"]) & (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_end")), "left") \
+        .select(F.coalesce("_skey", "skey").alias("skey"), F.coalesce("_blocks", "n_blocks").alias("n_blocks"), "shard", "slot",
+                F.coalesce(F.col("_has") + F.col("_at") - F.col("_from"), F.col("_k")).alias("_k"))
+    epoch = F.floor(F.col("_k") / F.col("n_blocks"))
+    start = F.pmod(F.xxhash64("skey", epoch, F.lit(seed)), F.col("n_blocks"))
+    return k.select("skey", F.pmod(F.col("_k") + start, F.col("n_blocks")).alias("block"), epoch.alias("epoch"), "shard",
+                    F.col("slot").cast("long").alias("slot"))
 
 
 def laid_out(docs: DataFrame, order: list[str], source: str = "source", text: str = "text") -> DataFrame:

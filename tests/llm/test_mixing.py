@@ -158,3 +158,43 @@ def test_places_and_documents_are_read_off_the_mix(table):
         s for s, ds in by_slot.items() for _ in ds)
     assert len(seen) == len(at)
     assert not re.search("Python|Pandas|Arrow", got._jdf.queryExecution().executedPlan().toString())
+
+
+def test_source_counts_of_shards_are_multinomial_draws(spark):
+    """Counts spread like free draws, targets are met all the same, and each source's indices come once."""
+    of = spark.createDataFrame([("0a", 700, 7000), ("0b", 1000, 2500), ("0c", 170, 500), ("0d", 1, 3), ("0e", 9, 0)],
+                               "skey string, n_blocks long, n_draws long")
+    free = mixing.shard_draws(of, 50).collect()
+    assert sorted(r.shard * 50 + i for r in free for i in r.slots) == list(range(10003))
+    share, n = {"0a": .7, "0b": .25, "0c": .05}, 200
+    counts = {(r.shard, r.skey): len(r.slots) for r in free}
+    for s, p in share.items():
+        c = [counts.get((i, s), 0) for i in range(n)]
+        mean = sum(c) / n
+        variance = sum((x - mean) ** 2 for x in c) / (n - 1)
+        assert abs(mean - 50 * p) < 5 * (50 * p * (1 - p) / n) ** 0.5
+        assert 0.6 < variance / (50 * p * (1 - p)) < 1.5
+    d = mixing.draws(of, 50).collect()
+    assert sorted(r.shard * 50 + r.slot for r in d) == list(range(10003))
+    uses = defaultdict(lambda: defaultdict(int))
+    for r in d:
+        uses[r.skey][r.epoch, r.block] += 1
+        assert 0 <= r.block < {"0a": 700, "0b": 1000, "0c": 170, "0d": 1}[r.skey]
+    assert {s: sum(u.values()) for s, u in uses.items()} == {"0a": 7000, "0b": 2500, "0c": 500, "0d": 3}
+    assert all(set(u.values()) == {1} for u in uses.values())
+    of_slot = {(r.shard, r.slot): r.skey for r in d}
+    moved = sum(of_slot[r.shard, i] != r.skey for r in free for i in r.slots)
+    assert moved <= 5 * (10003 * 0.25) ** 0.5 and len({r.shard for r in free for i in r.slots if of_slot[r.shard, i] != r.skey}) >= min(moved, 20) // 2
+    assert d != mixing.draws(of, 50, seed=1).collect()
+    assert sorted(map(tuple, d)) == sorted(map(tuple, mixing.draws(of.repartition(7), 50).collect()))
+
+
+def test_reruns_agree_on_rows_of_one_id(spark, table):
+    rows = [(7, "first of many words here", "a"), (7, "second text", "a"), (7, None, "b"), (8, "x " * 500, "b"), (7, "", "a")]
+    def run(parts, seed):
+        order = rows[:]
+        random.Random(seed).shuffle(order)
+        d = table(order, parts).withColumn("sig", F.xxhash64("text"))
+        laid, of, mix = mixing.mixed_blocks(d, ["doc_id", "sig"], block_words=4, shard_slots=16)
+        return sorted(map(str, mixing.placed_words(laid, of, mix).select("doc_id", "size", "taken", "places").collect()))
+    assert run(1, 0) == run(4, 1) == run(7, 2)
