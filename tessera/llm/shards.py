@@ -16,7 +16,8 @@ per (shard, hash bucket) first, so neither a large shard nor a hot key is ordere
 
 Nulls: a null id is a key of its own; a null text has size 8 and the checksum of no bytes.
 Empty and very long texts only differ in size.  Repeated rows get the same shard and different
-slots.  An empty table gives no rows.  Other columns are carried along by :func:`placed`.
+slots; rows alike in all that orders them tie, and any of them may have either slot.  Children whose
+draws tie go by their place in the tree, the later first.  An empty table gives no rows.  Other columns are carried along by :func:`placed`.
 """
 
 from __future__ import annotations

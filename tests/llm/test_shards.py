@@ -1,6 +1,12 @@
+import math
+import struct
+import zlib
 from collections import Counter, defaultdict
 
-from tessera.llm import shards
+import pytest
+import xxhash
+
+from tessera.llm import queries, shards
 
 
 def rows():
@@ -50,3 +56,46 @@ def test_slots_have_no_gaps(table):
 def test_empty_table(table):
     e = shards.placed(table([]), shards.tree(), "doc_id")
     assert shards.with_slots(e, "shard", ["doc_id"]).count() == 0
+
+
+MASK = (1 << 64) - 1
+
+
+def drawn(name, key, seed=0):
+    """ln of the keyed uniform of (node, key); a null key leaves the hash as it is."""
+    h = xxhash.xxh64_intdigest(f"{seed}/{name}".encode(), seed=42)
+    if key is not None:
+        h = xxhash.xxh64_intdigest(struct.pack("<q", key), seed=h)
+    return math.log(((h >> 11) + 0.5) / 2.0 ** 53)
+
+
+def descended(node, key):
+    while node.children:
+        node = max((c for c in node.children if c.weight > 0), key=lambda c: drawn(c.name, key) / c.weight)
+    return node.shard
+
+
+@pytest.mark.parametrize("weights", [None, {0: 3.0, 5: 0.0, 17: 0.25}])
+def test_descent_by_hand(table, weights):
+    root = shards.tree(weights=weights)
+    d = shards.placed(shards.placed(table(rows()), root, "doc_id"), shards.grown(root), "doc_id", "g").collect()
+    for r in d:
+        assert (r.shard, r.g) == (descended(root, r.doc_id), descended(shards.grown(root), r.doc_id))
+    assert len(d) == len(rows())
+
+
+def test_query_by_hand(table, tmp_path):
+    """The registered query: sizes, checksums, shards and slots, with null, empty, wide and very long texts."""
+    given = [*rows()[::10], (None, None), (None, "no id"), (5, "é€😀"), (5, "é€😀"), (7, "long text " * 300_000), (8, "")]
+    table(given).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op6_hash_tree_shards"](table([]).sparkSession, str(tmp_path)).collect()
+    root, bigger = shards.tree(), shards.grown(shards.tree())
+    want = Counter()
+    for i, text in given:
+        raw = (text or "").encode()
+        want[i, len(raw) + 8, zlib.crc32(raw), "key", descended(root, i), descended(bigger, i)] += 1
+    assert Counter((r.doc_id, r["size"], r.text_crc32, r.law, r.shard, r.grown_shard) for r in got) == want
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
