@@ -30,7 +30,7 @@ columns are not read here; :func:`mixed_texts` carries them along.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -86,14 +86,17 @@ def _sources(of: DataFrame, length: Column, start: str, total: int, names: int)
     return s.withColumn("_end", F.col(start) + F.col("_n")).withColumn("_cell", F.explode(cells)).drop("_n"), width
 
 
+def _tasks(spark: SparkSession, draws: int) -> int:
+    return max(4 * spark.sparkContext.defaultParallelism, draws >> 20)
+
+
 def shard_draws(of: DataFrame, shard_slots: int = 4096, seed: int = 0) -> DataFrame:
     """The multinomial draw of every shard: shard, skey and the slots that drew this source, in order."""
     spark = of.sparkSession
     total, names = of.agg(F.coalesce(F.sum("n_draws"), F.lit(0)), F.count("skey")).first()
     spans, width = _sources(of.select("skey", "n_draws"), F.col("n_draws"), "_from", total, names)
-    tasks = max(4 * spark.sparkContext.defaultParallelism, total >> 21)
     at = F.pmod(F.xxhash64("id", F.lit("source"), F.lit(seed)), F.lit(max(1, total)))
-    slots = spark.range(0, total, 1, tasks).select(
+    slots = spark.range(0, total, 1, _tasks(spark, total)).select(
         F.floor(F.col("id") / shard_slots).alias("shard"), F.pmod("id", F.lit(shard_slots)).cast("int").alias("slot"),
         at.alias("_at")).withColumn("_cell", F.floor(F.col("_at") / width))
     return slots.join(spans, "_cell").where("_at >= _from and _at < _end") \
@@ -110,13 +113,15 @@ def draws(of: DataFrame, shard_slots: int = 4096, seed: int = 0) -> DataFrame:
         .withColumn("_got", F.coalesce("_got", F.lit(0).cast("long"))).withColumn("_over", F.greatest(F.col("_got") - F.col("n_draws"), F.lit(0)))
     sources = saved(sources.withColumn("_over_from", F.sum("_over").over(
         W.orderBy("skey").rowsBetween(W.unboundedPreceding, 0)) - F.col("_over")), "sources")
-    over, names = sources.agg(F.coalesce(F.sum("_over"), F.lit(0)), F.count("skey")).first()
+    over, names, total = sources.agg(F.coalesce(F.sum("_over"), F.lit(0)), F.count("skey"),
+                                     F.coalesce(F.sum("n_draws"), F.lit(0))).first()
 
     base = runs.withColumn("_base", F.sum("_sum").over(W.partitionBy("skey").orderBy("_run")) - F.col("_sum")).drop("_sum")
     w = W.partitionBy("skey", "_run").orderBy("shard").rowsBetween(W.unboundedPreceding, 0)
-    k = drawn.join(base, ["skey", "_run"]).withColumn("_first", F.col("_base") + F.sum(n).over(w) - n) \
-        .join(sources, "skey").select("skey", "shard", "_first", "_got", "n_draws", "n_blocks", "_over_from",
-                                      F.posexplode("slots").alias("_i", "slot"))
+    numbered = drawn.join(base, ["skey", "_run"]).withColumn("_first", F.col("_base") + F.sum(n).over(w) - n)
+    # few bytes make many draws, so shards are dealt to tasks by the number of draws
+    k = numbered.repartition(_tasks(of.sparkSession, total), "skey", "shard").join(sources, "skey").select(
+        "skey", "shard", "_first", "_got", "n_draws", "n_blocks", "_over_from", F.posexplode("slots").alias("_i", "slot"))
     k = k.withColumn("_k", scattered(F.col("_first") + F.col("_i"), F.col("_got"), F.col("skey"), F.lit(seed)))
 
     # an index beyond the target takes a draw of a source that was drawn too seldom; the others meet no cell
