@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 import pytest
 
@@ -103,3 +105,62 @@ def test_the_model_is_not_made_smaller():
     assert (given["variants"].default, given["most_plain"].default) == (40, 3000)
     line = " ".join(f"w{i}" for i in range(400))
     assert len(lc.counts_of([line])[0]) >= 0.98 * 799  # words and pairs of a long line seldom collide
+
+
+def scored_by_hand(scanner, paragraph):
+    """Class probabilities from the fitted weights, word by word in plain Python."""
+    import math
+
+    import numpy as np
+    from tessera.llm.common import mixed
+    from tessera.llm.ngram_join import word_hashes
+
+    def number(x):
+        return int(mixed(np.array([x % 2**64], np.uint64))[0])
+    words = [w for w in re.split("[ \t\n\x0b\f\r]+", paragraph) if w]
+    h = [int(word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]))[0][0]) for w in words]
+    a, b = number(11) | 1, number(13) | 1
+    count = Counter(x % lc.FEATURES for x in h + [number(x * a + y * b) for x, y in zip(h, h[1:])])
+    size = math.sqrt(sum(k * k for k in count.values()))
+    margin = [sum(k * float(scanner.weights[f, c]) for f, k in count.items()) / size + float(scanner.intercepts[c])
+              for c in range(len(lc.CLASSES))]
+    z = [math.exp((m - max(margin)) / scanner.temperature) for m in margin]
+    return {c: x / sum(z) for c, x in zip(lc.CLASSES, z)}
+
+
+def pairs_by_hand(text):
+    words = [w for w in (x.strip(".,;:()\"'") for x in text.lower().split()) if w]
+    return {(a, b) for a, b in zip(words, words[1:])} or {("", w) for w in words}
+
+
+def test_scores_and_decisions_by_hand(scanner):
+    """Every line of mixed texts: class, probability and template similarity of the scan against plain loops."""
+    import pyarrow as pa
+    rng = random.Random(77)
+    lines = [sentence(rng, rng.randrange(1, 30)) for _ in range(40)]
+    for family in lc.FAMILIES:
+        for t in lc.TEMPLATES[family]:
+            own = t.split()
+            lines += [t, " ".join(w for w in own if rng.random() > 0.3) or t, sentence(rng, 3) + " " + t]
+    lines += ["Licensed under the Bara Fetor License.", "É " * 500, lines[3], lines[3]]
+    for line in lines:
+        counts, found = scanner.scan(pa.array([line]))
+        p = scored_by_hand(scanner, line)
+        best = max(p, key=p.get)
+        assert counts[0] == 1
+        if best == "none":
+            assert not found or found[0][4] >= scanner.confirm  # only a stretch that holds a template
+            continue
+        want = best if best == "unknown" or p[best] >= scanner.least else "unknown"
+        got = [x for x in found if x[1] == line]
+        if not got:  # the line gave way to a confirmed stretch of it
+            assert found and all(x[4] >= scanner.confirm and x[1] in line for x in found)
+            continue
+        (_, _, family, prob, alike), = got
+        if family != want:  # the whole line is a stretch that is confirmed
+            assert alike >= scanner.confirm and want == "unknown"
+            continue
+        assert prob == pytest.approx(p[best], abs=1e-4)
+        if family != "unknown":
+            near = max(len(pairs_by_hand(t) & pairs_by_hand(line)) / len(pairs_by_hand(t)) for t in lc.TEMPLATES[family])
+            assert alike == pytest.approx(near)
