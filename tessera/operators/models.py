@@ -8,7 +8,7 @@ checkpoint, not from the raw tables.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -22,6 +22,11 @@ from tessera.tables import reliable
 
 NON_FEATURES = [S.Y, S.DT, S.SERIES, S.SERIES_NAME]
 MODEL_NAMES = ["linear_regression", "random_forest", "gradient_boosting"]
+#: engine settings (not model parameters): a forest keeps per-row node ids cached between tree levels and checkpoints
+#: them every 10 iterations into spark.checkpoint.dir; boosting grows one small tree at a time, which a task walks
+#: in less time than a written table of node ids costs at each level. The fitted trees are the same.
+FOREST_ENGINE = dict(cacheNodeIds=True, checkpointInterval=10)
+BOOSTING_ENGINE = dict(cacheNodeIds=False, checkpointInterval=10)
 
 
 def feature_columns(df: DataFrame, exclude=NON_FEATURES) -> list[str]:
@@ -77,15 +82,12 @@ def make_pipeline(name: str, cols: list[str], params: dict | None = None) -> Pip
             LinearRegression(featuresCol="features", labelCol="label", solver="normal",
                              regParam=0.0, **params)])
     assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error")
-    # engine settings (not model parameters): keep per-row node ids cached between
-    # tree levels and checkpoint them every 10 iterations into spark.checkpoint.dir
-    engine = dict(cacheNodeIds=True, checkpointInterval=10)
     if name == "random_forest":
-        p = dict(S.RF_PARAMS, featureSubsetStrategy="all", **engine)
+        p = dict(S.RF_PARAMS, featureSubsetStrategy="all", **FOREST_ENGINE)
         p.update(params)
         return Pipeline(stages=[assembler, RandomForestRegressor(labelCol="label", **p)])
     if name == "gradient_boosting":
-        p = dict(S.GBT_PARAMS, **engine)
+        p = dict(S.GBT_PARAMS, **BOOSTING_ENGINE)
         p.update(params)
         return Pipeline(stages=[assembler, GBTRegressor(labelCol="label", **p)])
     raise ValueError(f"unknown model {name}")
@@ -101,6 +103,16 @@ def fit(name: str, df: DataFrame, cols: list[str], params: dict | None = None) -
     return make_pipeline(name, pipeline_columns(name, df, cols), params).fit(df)
 
 
+def fit_all(names, df: DataFrame, cols: list[str], params: dict | None = None) -> dict[str, PipelineModel]:
+    """The fitted pipelines by name, the slowest begun first. A fit is a row of short jobs of which each
+    waits for the one before; the pipelines do not depend on each other and are fitted at once."""
+    from tessera.session import at_once
+    later = list(reversed(list(names)))
+    fitted = at_once(df.sparkSession, [partial(fit, n, df, cols, (params or {}).get(n)) for n in later])
+    models = dict(zip(later, fitted))
+    return {n: models[n] for n in names}
+
+
 # --- time-ordered folds --------------------------------------------------------
 def ts_folds(df: DataFrame, n_splits: int = S.CV_FOLDS, by: str = "row") -> DataFrame:
     """Expanding-window folds: fold f tests rows [N-(k-f)t, N-(k-f)t+t), t = N//(k+1),
@@ -147,12 +159,14 @@ def cv_summary(scores: DataFrame) -> DataFrame:
 
 def train_models(df: DataFrame, cols: list[str], names=MODEL_NAMES, cv: bool = True,
                  params: dict | None = None):
-    """CV, fit on all rows, in-sample metrics. Returns (models, metrics DataFrame, cv DataFrame)."""
+    """CV and, beside it, fit on all rows; in-sample metrics. Returns (models, metrics DataFrame, cv DataFrame)."""
     from tessera.operators import evaluate as ev
     from tessera.operators import tuning
+    from tessera.session import at_once
     data = reliable(df)
-    cv_df = tuning.cross_validate(names, tuning.fold_table(data, cols), params) if cv else None
-    models = {name: fit(name, data, cols, (params or {}).get(name)) for name in names}
+    models, cv_df = at_once(df.sparkSession, [
+        lambda: fit_all(names, data, cols, params),
+        lambda: tuning.cross_validate(names, tuning.fold_table(data, cols), params) if cv else None])
     return models, ev.metrics(fitted_values(models, data)), cv_df
 
 

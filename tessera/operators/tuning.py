@@ -3,8 +3,8 @@
 One fold table serves every model: rows get their position and fold once, the features are assembled
 once, and the result is written to the shared folder (:func:`fold_table`).  A fit reads its training rows by
 position from there.  Fits of different candidates and folds do not depend on each other, so they are submitted from
-a few driver threads and Spark fills its cores with their tasks; nothing but one number per fit
-comes back.
+driver threads, as many as the cluster has cores, and Spark fills its cores with their tasks; nothing but one number
+per fit comes back.
 
 :func:`race` tunes by successive halving on the number of folds: all candidates are scored on the first folds
 (which have the fewest training rows), the better part goes on to the next ones, and only the last are scored on all.
@@ -17,10 +17,9 @@ import itertools
 import json
 import math
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tessera import schema as S
 from tessera.operators import models as mdl
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import at_once, ensure_checkpoint_dir
 from tessera.tables import reliable
 
 SCORES = "model string, fold int, train_rows long, test_rows long, rmse double"
@@ -76,11 +75,11 @@ def estimator(name: str, folds: Folds, train: DataFrame, params: dict | None = N
             VectorSlicer(inputCol="assembled", outputCol="chosen", indices=[folds.columns.index(c) for c in chosen]),
             StandardScaler(inputCol="chosen", outputCol="features", withMean=True, withStd=True),
             LinearRegression(**dict(dict(featuresCol="features", labelCol="label", solver="normal", regParam=0.0), **params))])
-    engine = dict(featuresCol="assembled", labelCol="label", cacheNodeIds=True, checkpointInterval=10)
+    columns = dict(featuresCol="assembled", labelCol="label")
     if name == "random_forest":
-        return Pipeline(stages=[RandomForestRegressor(**dict(S.RF_PARAMS, featureSubsetStrategy="all", **engine) | params)])
+        return Pipeline(stages=[RandomForestRegressor(**dict(S.RF_PARAMS, featureSubsetStrategy="all", **columns, **mdl.FOREST_ENGINE) | params)])
     if name == "gradient_boosting":
-        return Pipeline(stages=[GBTRegressor(**dict(S.GBT_PARAMS, **engine) | params)])
+        return Pipeline(stages=[GBTRegressor(**dict(S.GBT_PARAMS, **columns, **mdl.BOOSTING_ENGINE) | params)])
     raise ValueError(f"unknown model {name}")
 
 
@@ -91,20 +90,15 @@ def fold_rmse(name: str, folds: Folds, fold: int, params: dict | None = None) ->
     return math.sqrt(mse)
 
 
-def _scored(folds: Folds, jobs: list[tuple[str, dict | None, int]], threads: int) -> list[float]:
-    ensure_checkpoint_dir(folds.rows.sparkSession)
+def _scored(folds: Folds, jobs: list[tuple[str, dict | None, int]], threads: int | None) -> list[float]:
     spark = folds.rows.sparkSession
+    ensure_checkpoint_dir(spark)
+    return at_once(spark, [partial(fold_rmse, name, folds, fold, params) for name, params, fold in jobs], threads)
 
-    def one(job):
-        name, params, fold = job
-        return fold_rmse(name, folds, fold, params)
-    with ThreadPoolExecutor(threads) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(one), jobs))
 
-
-def cross_validate(names: Iterable[str], folds: Folds, params: dict[str, dict] | None = None, threads: int = 4) -> DataFrame:
-    """RMSE of every pipeline on every fold: one row per (model, fold)."""
-    jobs = [(name, (params or {}).get(name), fold) for name in names for fold in reversed(range(folds.n))]
+def cross_validate(names: Iterable[str], folds: Folds, params: dict[str, dict] | None = None, threads: int | None = None) -> DataFrame:
+    """RMSE of every pipeline on every fold: one row per (model, fold). The longest fits begin first."""
+    jobs = [(name, (params or {}).get(name), fold) for name in reversed(list(names)) for fold in reversed(range(folds.n))]
     rows = [(name, fold, folds.start(fold), folds.size, rmse)
             for (name, _, fold), rmse in zip(jobs, _scored(folds, jobs, threads))]
     return folds.rows.sparkSession.createDataFrame(sorted(rows), SCORES)
@@ -130,7 +124,7 @@ def mean_and_deviation(values: list[float]) -> tuple[float, float]:
     return mean, math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
 
 
-def race(candidates: dict[str, list[dict]], folds: Folds, keep: float = 0.5, threads: int = 4) -> DataFrame:
+def race(candidates: dict[str, list[dict]], folds: Folds, keep: float = 0.5, threads: int | None = None) -> DataFrame:
     """Successive halving of each model's ``candidates``: one row per candidate and rung that it took part in.
 
     After a rung the ``keep`` best share (rounded up) of a model's candidates by their mean RMSE over the folds so

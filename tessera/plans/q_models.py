@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera import schema as S
-from tessera.operators import clean, evaluate as ev, forecast as fc, models as mdl
+from tessera.operators import clean, evaluate as ev, features as feat, forecast as fc, models as mdl
 from tessera.operators import model_store, tuning
 from tessera.plans import sql as Q
-from tessera.plans.common import orders_processed
+from tessera.plans.common import orders_processed, written_panel
 from tessera.plans.registry import query, round_doubles, round_sig_cols
+from tessera.session import at_once
 from tessera.tables import reliable
 
 _FEATS = S.FEATURE_NAMES
@@ -23,8 +24,14 @@ def training_frame(spark, sf_dir):
     return mdl.feature_frame(orders_processed(spark, sf_dir))
 
 
-def stored_models(spark, sf_dir, names=mdl.MODEL_NAMES):
-    return model_store.get_models(spark, sf_dir, names, lambda: training_frame(spark, sf_dir), _FEATS)
+def written_frame(panel):
+    """The training frame of a panel as a written table."""
+    return reliable(mdl.feature_frame(feat.processed_panel(panel)))
+
+
+def stored_models(spark, sf_dir, names=mdl.MODEL_NAMES, frame=None):
+    """The stored pipelines; ``frame()`` gives the training frame if the caller has it."""
+    return model_store.get_models(spark, sf_dir, names, frame or (lambda: training_frame(spark, sf_dir)), _FEATS)
 
 
 _SC = ["y_lag_1", "y_rolling_mean_30", "y_rolling_std_30", "month_sin", "is_holiday"]
@@ -127,8 +134,8 @@ def gradient_boosting(spark, sf_dir):
     return _fit_predict(spark, sf_dir, "gradient_boosting")
 
 
-def stored_scores(spark, sf_dir):
-    return model_store.get_scores(spark, sf_dir, mdl.MODEL_NAMES, lambda: training_frame(spark, sf_dir), _FEATS)
+def stored_scores(spark, sf_dir, frame=None):
+    return model_store.get_scores(spark, sf_dir, mdl.MODEL_NAMES, frame or (lambda: training_frame(spark, sf_dir)), _FEATS)
 
 
 @query("cv_scores")
@@ -168,8 +175,10 @@ def tune_models(spark, sf_dir):
 @query("train_metrics")
 def train_metrics(spark, sf_dir):
     """Fit the three pipelines on all rows, score them in-sample (comparison table) and by cross-validation."""
-    _, metrics, _ = mdl.train_models(training_frame(spark, sf_dir), _FEATS, cv=False)
-    return ev.ranking(metrics.join(mdl.cv_summary(stored_scores(spark, sf_dir)), "model"))
+    df = written_frame(written_panel(spark, sf_dir))
+    scores, (_, metrics, _) = at_once(spark, [lambda: stored_scores(spark, sf_dir, lambda: df),
+                                              lambda: mdl.train_models(df, _FEATS, cv=False)])
+    return ev.ranking(metrics.join(mdl.cv_summary(scores), "model"))
 
 
 @query("feature_importance")

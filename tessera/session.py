@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -57,6 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def at_once(spark: SparkSession, calls: Iterable[Callable], threads: int | None = None) -> list:
+    """Results of independent driver calls, submitted together so that Spark fills its cores with their tasks: as many
+    at a time as the cluster has cores (4 to 16), or ``threads``."""
+    threads = threads or min(16, max(4, spark.sparkContext.defaultParallelism))
+    with ThreadPoolExecutor(threads) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]]
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
