@@ -30,28 +30,19 @@ def _key(sf_dir: str, data: str, name: str, tag: str, cols) -> str:
     return f"models/{h}/{name}"
 
 
-def get_model(spark: SparkSession, sf_dir: str, name: str, train_fn, cols, tag: str = "panel") -> PipelineModel:
-    """``train_fn()`` returns the training frame; fitted only when no saved model exists."""
-    path = shared_path(spark, _key(sf_dir, fingerprint(spark, sf_dir), name, tag, cols))
-    if path in _MEMO:
-        return _MEMO[path]
-    if path_exists(spark, path):
-        model = PipelineModel.load(path)
-    else:
-        model = mdl.fit(name, reliable(train_fn()), cols)
-        model.write().overwrite().save(path)
-    _MEMO[path] = model
-    return model
-
-
-def get_models(spark, sf_dir, names, train_fn, cols, tag: str = "panel") -> dict[str, PipelineModel]:
-    frame = {}
-
-    def once():
-        if "df" not in frame:
-            frame["df"] = reliable(train_fn())
-        return frame["df"]
-    return {n: get_model(spark, sf_dir, n, once, cols, tag) for n in names}
+def get_models(spark: SparkSession, sf_dir: str, names, train_fn, cols, tag: str = "panel") -> dict[str, PipelineModel]:
+    """``train_fn()`` returns the training frame; pipelines of which no saved one exists are fitted on it, at once."""
+    data = fingerprint(spark, sf_dir)
+    paths = {n: shared_path(spark, _key(sf_dir, data, n, tag, cols)) for n in names}
+    for path in paths.values():
+        if path not in _MEMO and path_exists(spark, path):
+            _MEMO[path] = PipelineModel.load(path)
+    missing = [n for n, path in paths.items() if path not in _MEMO]
+    if missing:
+        for n, model in mdl.fit_all(missing, reliable(train_fn()), cols).items():
+            model.write().overwrite().save(paths[n])
+            _MEMO[paths[n]] = model
+    return {n: _MEMO[path] for n, path in paths.items()}
 
 
 def get_sequence(spark: SparkSession, sf_dir: str, train_fn, cols, tag: str = "sequence"):

@@ -192,9 +192,10 @@ def feature_importance(spark, sf_dir):
 def model_summary(spark, sf_dir):
     """One row per stored pipeline: estimator, inputs, trees, nodes, in-sample error measures, mean and deviation
     of the cross-validation."""
-    models = stored_models(spark, sf_dir)
-    metrics = ev.metrics(mdl.fitted_values(models, reliable(training_frame(spark, sf_dir))))
-    return mdl.model_summary(models, metrics, stored_scores(spark, sf_dir))
+    df = written_frame(written_panel(spark, sf_dir))
+    scores, models = at_once(spark, [lambda: stored_scores(spark, sf_dir, lambda: df),
+                                     lambda: stored_models(spark, sf_dir, frame=lambda: df)])
+    return mdl.model_summary(models, ev.metrics(mdl.fitted_values(models, df)), scores)
 
 
 @query("sequence_regression")

@@ -84,3 +84,30 @@ def test_train_metrics_scores_and_fits_together_on_one_table(spark, monkeypatch)
 
 def test_written_panel_equals_the_panel(spark):
     assert sorted(common.written_panel(spark, SF001).collect()) == sorted(common.orders_panel(spark, SF001).collect())
+
+
+def test_model_summary_scores_and_fits_together_on_one_table(spark, train, monkeypatch):
+    seen, gate = [], threading.Barrier(2)
+    model = mdl.fit("linear_regression", train, S.FEATURE_NAMES)
+
+    def given(value):
+        def call(spark, sf_dir, frame):
+            gate.wait(60)
+            seen.append(frame())
+            return value
+        return call
+    monkeypatch.setattr(q_models, "stored_scores", given(spark.createDataFrame([("linear_regression", 0, 1, 1, 2.0)], tuning.SCORES)))
+    monkeypatch.setattr(q_models, "stored_models", given({"linear_regression": model}))
+    row = q_models.model_summary(spark, SF001).first()
+    assert row.cv_rmse_mean == 2.0 and row.n == train.count()
+    assert seen[0] is seen[1] and not any("orders" in f for f in seen[0].inputFiles())
+
+
+def test_missing_models_are_fitted_together(spark, train, monkeypatch):
+    from tessera.operators import model_store
+    asked = []
+    small = {n: mdl.fit("linear_regression", train, S.FEATURE_NAMES) for n in ("linear_regression", "random_forest")}
+    monkeypatch.setattr(mdl, "fit_all", lambda names, df, cols: asked.append(list(names)) or {n: small[n] for n in names})
+    got = model_store.get_models(spark, SF001, list(small), lambda: train, S.FEATURE_NAMES, tag="together")
+    again = model_store.get_models(spark, SF001, list(small), lambda: train, S.FEATURE_NAMES, tag="together")
+    assert asked == [list(small)] and got == small == again
