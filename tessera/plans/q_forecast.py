@@ -10,11 +10,10 @@ from tessera.operators import evaluate as ev, features as feat, forecast as fc
 from tessera.operators import model_store
 from tessera.operators import panel as pnl, tree_roll
 from tessera.plans import sql as Q
-from tessera.plans.common import orders_panel, orders_processed
-from tessera.plans.q_models import _FEATS, stored_models, training_frame
+from tessera.plans.common import orders_panel, orders_processed, written_panel
+from tessera.plans.q_models import _FEATS, stored_models, training_frame, written_frame
 from tessera.plans.registry import query, round_doubles
 from tessera.session import shared_path
-from tessera.tables import reliable
 
 H = S.FORECAST_DAYS
 
@@ -196,8 +195,8 @@ def roll_forward_fixed_trees(spark, sf_dir):
 @query("roll_forward_trees")
 def roll_forward_trees(spark, sf_dir):
     """Recursive 30-step forecasts of the stored forest and boosting models, each one expression per series."""
-    models = stored_models(spark, sf_dir, ["random_forest", "gradient_boosting"])
-    panel = reliable(orders_panel(spark, sf_dir))
+    panel = written_panel(spark, sf_dir)
+    models = stored_models(spark, sf_dir, ["random_forest", "gradient_boosting"], lambda: written_frame(panel))
     rows = [tree_roll.roll_forward(panel, tree_roll.trees_of(m), tree_roll.depth_of(m), _FEATS, H).select(F.lit(n).alias("model"), "*")
             for n, m in models.items()]
     return rows[0].unionByName(rows[1])

@@ -6,7 +6,7 @@ import pytest
 
 from tessera import schema as S
 from tessera.operators import features as feat, models as mdl, panel as pnl, tuning
-from tessera.plans import common, q_models
+from tessera.plans import common, q_forecast, q_models
 from tessera.sources import tables
 from tests.conftest import SF001
 
@@ -111,3 +111,22 @@ def test_missing_models_are_fitted_together(spark, train, monkeypatch):
     got = model_store.get_models(spark, SF001, list(small), lambda: train, S.FEATURE_NAMES, tag="together")
     again = model_store.get_models(spark, SF001, list(small), lambda: train, S.FEATURE_NAMES, tag="together")
     assert asked == [list(small)] and got == small == again
+
+
+class _Stop(Exception):
+    pass
+
+
+def _frame_of(query, spark, monkeypatch):
+    """The files that the training frame of a forecast query is read from."""
+    def models(spark, sf_dir, names=None, frame=None):
+        raise _Stop(frame().inputFiles())
+    monkeypatch.setattr(q_forecast, "stored_models", models)
+    with pytest.raises(_Stop) as stop:
+        query(spark, SF001)
+    return stop.value.args[0]
+
+
+def test_roll_forward_trees_reads_orders_once(spark, monkeypatch):
+    files = _frame_of(q_forecast.roll_forward_trees, spark, monkeypatch)
+    assert files and not any("orders" in f for f in files)
