@@ -118,8 +118,9 @@ def forecast_overlay(spark, sf_dir):
 @query("predict_future")
 def predict_future(spark, sf_dir):
     """30-day forecast of the three stored pipelines on the recomputed future features."""
-    models = stored_models(spark, sf_dir)
-    return fc.predict_future(models, orders_panel(spark, sf_dir), H)
+    panel = written_panel(spark, sf_dir)
+    models = stored_models(spark, sf_dir, frame=lambda: written_frame(panel))
+    return fc.predict_future(models, panel, H)
 
 
 def _roll(spark, sf_dir):

@@ -130,3 +130,8 @@ def _frame_of(query, spark, monkeypatch):
 def test_roll_forward_trees_reads_orders_once(spark, monkeypatch):
     files = _frame_of(q_forecast.roll_forward_trees, spark, monkeypatch)
     assert files and not any("orders" in f for f in files)
+
+
+def test_predict_future_reads_orders_once(spark, monkeypatch):
+    files = _frame_of(q_forecast.predict_future, spark, monkeypatch)
+    assert files and not any("orders" in f for f in files)
