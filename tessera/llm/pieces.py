@@ -8,9 +8,9 @@ written as its bytes.  Decoding joins the pieces, turns markers into spaces, rea
 pieces as UTF-8 (bad bytes become U+FFFD) and takes the dummy prefix off.
 
 No piece has a marker or a line break after another character, so the best path of a text is the
-best paths of its words one after the other; the paths of frequent words are kept in a bounded
-cache per worker, which changes nothing but the speed.  Were a vocabulary to hold such pieces,
-texts would be searched whole.
+best paths of its words one after the other.  Words that a worker has not met are searched together,
+one byte at a time for thousands of them; their paths are kept in a bounded cache per worker, which
+changes nothing but the speed.  Were a vocabulary to hold such pieces, texts would be searched whole.
 
 Nulls and empty texts have no pieces and decode to ''.  Very long texts and words are searched
 in time linear in their length.  Repeated rows are encoded one by one; an empty table gives no
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ from tessera.llm.common import field_list
 MARKER = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
+#: words that a worker remembers; words searched together, and the longest of these in bytes; characters read at once
+KEPT, TOGETHER, LONG, GROUP = 1 << 18, 1 << 13, 96, 1 << 20
 
 
 def double_array(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,15 +117,16 @@ class Pieces:
         return cls([m.id_to_piece(i) for i in ids], [m.get_score(i) for i in ids], byte_ids, silent)
 
     def ready(self) -> Pieces:
-        """Plain lists and the word cache, made once per process."""
-        if not hasattr(self, "word"):
+        """Plain lists and the paths by word, made once per process."""
+        if not hasattr(self, "paths"):
             self.lists = self.base.tolist(), self.check.tolist(), self.value.tolist()
             self.words = re.compile(self.pattern)
-            self.word = lru_cache(1 << 18)(lambda word: array("i", self.best_path(word)).tobytes())
+            self.score = np.array(self.scores, np.float64)
+            self.paths = {}
         return self
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("lists", "word", "words")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("lists", "paths", "words", "score")}
 
     def best_path(self, word: str) -> list[int]:
         """The ids of the best path through a piece of text (spaces stand for markers)."""
@@ -168,11 +171,97 @@ class Pieces:
             k = i
         return out[::-1]
 
-    def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
+    def best_paths(self, texts: list[bytes]) -> list[bytes]:
+        """The paths of :meth:`best_path` as int32 bytes, for words given as UTF-8 with markers, the longest first.
+
+        All words take a step together: position by position, and from each along the trie until no word goes on."""
+        lens = np.array([len(t) for t in texts], np.int32)
+        n, most = len(texts), int(lens[0])
+        s = np.ascontiguousarray(np.frombuffer(b"".join(t.ljust(most, b"\0") for t in texts), np.uint8).reshape(n, most).T)
+        best = np.full((most + 1, n), -np.inf)
+        back, by = np.zeros((most + 1, n), np.int32), np.full((most + 1, n), -1, np.int32)
+        best[0] = 0.0
+        step = 1 + (s >= 0xC0) + (s >= 0xE0) + (s >= 0xF0)
+        longer = [int(np.searchsorted(-lens, -i)) for i in range(most + 1)]  # how many words have more than i bytes
+        for i in range(most):
+            live = np.flatnonzero(best[i, :longer[i]] > -np.inf)
+            one = np.minimum(i + step[i, live], lens[live])
+            here, covered = best[i], np.zeros(n, bool)
+            w, state = live, np.zeros(len(live), np.int32)
+            for k in range(i, most):
+                end = int(np.searchsorted(w, longer[k]))
+                w, state = w[:end], state[:end]
+                to = self.base[state] + s[k, w]
+                on = self.check[to] == state
+                w, state = w[on], to[on]
+                if not len(w):
+                    break
+                v = self.value[state]
+                hit = v >= 0
+                at, v = w[hit], v[hit]
+                covered[at[i + step[i, at] == k + 1]] = True
+                score = here[at] + self.score[v]
+                up = score > best[k + 1, at]
+                at = at[up]
+                best[k + 1, at], back[k + 1, at], by[k + 1, at] = score[up], i, v[up]
+            bare = ~covered[live]
+            w, one = live[bare], one[bare]
+            score = here[w] + self.unknown
+            up = score > best[one, w]
+            w, one = w[up], one[up]
+            best[one, w], back[one, w], by[one, w] = score[up], i, -1
+        # backwards, a piece a turn, or a byte of a character that no piece covers (down to position ``low``)
+        ids, k, low, w = [], lens.copy(), lens.copy(), np.arange(n)
+        byte_ids = np.array(self.byte_ids, np.int32)
+        while len(w):
+            at = k[w]
+            new = at == low[w]
+            low[w[new]] = back[at[new], w[new]]
+            piece = np.where(new, by[at, w], -1)
+            known = piece >= 0
+            row = np.full(n, -1, np.int32)
+            row[w] = np.where(known, piece, byte_ids[s[at - 1, w]])
+            ids.append(row)
+            k[w] = np.where(known, low[w], at - 1)
+            w = w[k[w] > 0]
+        table = np.array(ids[::-1]).T
+        used = table >= 0
+        flat = table[used].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(used.sum(axis=1))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def learn(self, new: list[str]) -> None:
+        """Put the paths of words into the cache."""
+        texts = [w.replace(" ", MARKER).encode("utf-8", "surrogatepass") for w in new]
+        lens = np.array([len(t) for t in texts], np.int64)
+        order = np.argsort(-lens, kind="stable")
+        n_long = int((lens > LONG).sum())
+        for i in order[:n_long]:
+            self.paths[new[i]] = array("i", self.best_path(new[i])).tobytes()
+        for first in range(n_long, len(new), TOGETHER):
+            some = order[first:first + TOGETHER].tolist()
+            self.paths.update(zip(map(new.__getitem__, some), self.best_paths([texts[i] for i in some])))
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; about ``GROUP`` characters are split into words at a time."""
         self.ready()
-        return np.frombuffer(b"".join(map(self.word, self.words.findall(" " + text.replace(MARKER, " ")))), np.int32)
+        out, group, size = [], [], 0
+        for place, text in enumerate(texts, 1):
+            group.append(self.words.findall(" " + text.replace(MARKER, " ")) if text else [])
+            size += len(text or "")
+            if size < GROUP and place < len(texts):
+                continue
+            met = set(chain.from_iterable(group))
+            new = met.difference(self.paths)
+            if len(self.paths) + len(new) > KEPT:  # words of these texts stay, frequent ones among them
+                self.paths = {w: self.paths[w] for w in met.difference(new)}
+            self.learn(list(new))
+            out += [np.frombuffer(b"".join(map(self.paths.__getitem__, words)), np.int32) for words in group]
+            group, size = [], 0
+        return out
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.out.__getitem__, ids)).decode("utf-8", "replace")
@@ -194,7 +283,7 @@ def with_pieces(docs: DataFrame, model: Pieces, text: str = "text", out: str = "
         for whole in batches:
             for first in range(0, len(whole), rows):
                 batch = whole.slice(first, rows)
-                ids = [m.encode(t) for t in batch.column(text).to_pylist()]
+                ids = m.encode_all(batch.column(text).to_pylist())
                 ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
                 result = pa.StructArray.from_arrays(

@@ -97,3 +97,24 @@ def test_round_trip_and_cases(table):
     assert back.first().text == rows[3][1]
     assert pc.with_pieces(table([]), MODEL).count() == 0
     assert isinstance(MODEL.encode("x"), np.ndarray)
+
+
+def test_words_searched_together_equal_single_searches(monkeypatch):
+    """Paths found for thousands of words at once are those of one word, ties, unknown characters and long words included."""
+    texts = ["a", "b", "ab", "ba", "aab", "abb", "▁a", "▁", "é", "aé", "bbb", "▁ab"]
+    model = pc.Pieces(texts, [-1.0, -1.0, -2.0, -2.0, -3.0, -2.5, -1.5, -4.0, -2.0, -3.0, -3.0, -2.5], {}).ready()
+    r = random.Random(5)
+    words = {"".join(r.choice("aabbé \x00漢😀\ud800") for _ in range(r.choice([1, 3, 9, 30, 200]))) for _ in range(3000)}
+    monkeypatch.setattr(pc, "TOGETHER", 500)
+    model.learn(list(words))
+    assert {w: np.frombuffer(model.paths[w], np.int32).tolist() for w in words} == {w: model.best_path(w) for w in words}
+    assert any(len(w.encode("utf-8", "surrogatepass")) > pc.LONG for w in words)
+
+
+def test_a_full_cache_changes_no_path(monkeypatch):
+    texts = [" ".join(f"a{i}b{i * i}" for i in range(k, k + 40)) for k in range(0, 400, 20)] + [None, "", "a b"]
+    large = [i.tolist() for i in pc.Pieces.load().encode_all(texts)]
+    monkeypatch.setattr(pc, "KEPT", 50)
+    monkeypatch.setattr(pc, "GROUP", 300)
+    model = pc.Pieces.load()
+    assert [i.tolist() for i in model.encode_all(texts)] == large and len(model.paths) <= 100
