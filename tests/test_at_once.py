@@ -104,12 +104,14 @@ def test_model_summary_scores_and_fits_together_on_one_table(spark, train, monke
 
 
 def test_missing_models_are_fitted_together(spark, train, monkeypatch):
+    import uuid
+
     from tessera.operators import model_store
-    asked = []
+    asked, tag = [], uuid.uuid4().hex  # the store may outlive the session
     small = {n: mdl.fit("linear_regression", train, S.FEATURE_NAMES) for n in ("linear_regression", "random_forest")}
     monkeypatch.setattr(mdl, "fit_all", lambda names, df, cols: asked.append(list(names)) or {n: small[n] for n in names})
-    got = model_store.get_models(spark, SF001, list(small), lambda: train, S.FEATURE_NAMES, tag="together")
-    again = model_store.get_models(spark, SF001, list(small), lambda: train, S.FEATURE_NAMES, tag="together")
+    got = model_store.get_models(spark, SF001, list(small), lambda: train, S.FEATURE_NAMES, tag=tag)
+    again = model_store.get_models(spark, SF001, list(small), lambda: train, S.FEATURE_NAMES, tag=tag)
     assert asked == [list(small)] and got == small == again
 
 
