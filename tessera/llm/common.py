@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -97,6 +99,24 @@ def released(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(fn: Callable) -> Callable:
+    """Arrow batches of at most 8 MB in the jobs that ``fn(frame, ...)`` runs, unless the session sets their size."""
+    @functools.wraps(fn)
+    def run(df: DataFrame, *args, **kw):
+        conf = df.sparkSession.conf
+        if conf.get(BATCH_BYTES, None) is not None:
+            return fn(df, *args, **kw)
+        conf.set(BATCH_BYTES, "8m")
+        try:
+            return fn(df, *args, **kw)
+        finally:
+            conf.unset(BATCH_BYTES)
+    return run
+
+
 def n_buckets(df: DataFrame, per_bucket: int = 20_000, least: int = 64) -> int:
     """Buckets that hold about ``per_bucket`` rows each, so their number grows with the table."""
     return max(least, -(-df.count() // per_bucket))

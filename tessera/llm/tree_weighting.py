@@ -35,59 +35,89 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import in_slices, joined_safely, lower_ascii, saved, utf8_buffer
+from tessera.llm.common import in_slices, joined_safely, lower_ascii, saved, small_batches, utf8_buffer
 
 END = 255
 LN2 = float(np.log(2.0))
+#: bytes that a task turns into words at a time
+SLICE = 1 << 22
 
 
 # ---- grams in tasks -------------------------------------------------------------------------
 
-def gram_pieces(column, depth: int, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(gram of every byte and end mark, number of its text), for pieces of about ``most`` bytes.
-
-    A gram holds the byte in its lowest eight bits and the bytes before it above, nearest first.
-    """
+def _grams(stream: np.ndarray, depth: int) -> np.ndarray:
+    """The gram of every byte: itself in the lowest eight bits, the bytes before it above, nearest first."""
+    g = stream.astype(np.int64)
+    for j in range(1, depth + 1):
+        g[j:] |= stream[:-j].astype(np.int64) << (8 * j)
+    return g
+
+
+def _long_text(text: np.ndarray, depth: int, most: int) -> Iterator[np.ndarray]:
+    """The grams of one text, ``most`` at a time."""
+    for lo in range(0, len(text) + 1, most):
+        hi = min(lo + most, len(text) + 1)
+        before = min(lo, depth)
+        stream = np.zeros(depth + hi - lo, np.uint8)
+        part = lower_ascii(text[lo - before: hi])
+        stream[depth - before: depth - before + len(part)] = part
+        if hi > len(text):
+            stream[-1] = END
+        yield _grams(stream, depth)[depth:]
+
+
+def gram_pieces(column, depth: int, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(gram of every byte and end mark, number of its text), for pieces of about ``most`` bytes."""
     data, off = utf8_buffer(column)
     n = len(off) - 1
     first = 0
     while first < n:
-        last = max(first + 1, int(np.searchsorted(off, off[first] + most, side="right")) - 1)
-        last = min(last, n)
-        part = lower_ascii(data[off[first]: off[last]])
+        if off[first + 1] - off[first] > most:
+            for g in _long_text(data[off[first]: off[first + 1]], depth, most):
+                yield g, np.full(len(g), first)
+            first += 1
+            continue
+        last = min(n, int(np.searchsorted(off, off[first] + most, side="right")) - 1)
         sizes = np.diff(off[first: last + 1])
-        text = np.repeat(np.arange(last - first), sizes + 1)
-        at = np.arange(len(part)) + np.repeat(np.arange(1, last - first + 1), sizes) * depth \
-            + np.repeat(np.arange(last - first), sizes)
-        stream = np.zeros(len(part) + (last - first) * (depth + 1), np.uint8)
-        stream[at] = part
         ends = np.cumsum(sizes + depth + 1) - 1
-        stream[ends] = END
-        is_text = np.ones(len(stream), bool)
+        is_text = np.ones(int(ends[-1]) + 1, bool)
         for j in range(depth):
             is_text[ends - sizes - 1 - j] = False
-        for lo in range(0, len(stream), most):
-            here = stream[max(0, lo - depth): lo + most].astype(np.int64)
-            skip = lo - max(0, lo - depth)
-            g = here.copy()
-            for j in range(1, depth + 1):
-                g[j:] |= here[:len(here) - j] << (8 * j)
-            ok = is_text[lo: lo + most]
-            before = int(np.count_nonzero(is_text[:lo])) if lo else 0
-            yield g[skip:][ok], text[before: before + int(np.count_nonzero(ok))] + first
+        is_text[ends] = False
+        stream = np.zeros(len(is_text), np.uint8)
+        stream[is_text] = lower_ascii(data[off[first]: off[last]])
+        stream[ends], is_text[ends] = END, True
+        yield _grams(stream, depth)[is_text], np.repeat(np.arange(first, last), sizes + 1)
         first = last
 
 
-def _counted(depth: int):
+def _added_up(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    grams, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(grams, kind="stable")
+    grams = grams[order]
+    new = np.flatnonzero(np.diff(grams, prepend=-1))
+    return grams[new], np.add.reduceat(n[order], new) if len(new) else n
+
+
+def _counted(depth: int, most: int = 1 << 19):
     def count(batches):
+        parts: list[tuple] = []
+        held = 0
         for batch in batches:
             train = batch.column("train").to_numpy(zero_copy_only=False)
             for grams, text in gram_pieces(batch.column("text"), depth):
                 own = train[text]
-                seen, n = np.unique(grams[own], return_counts=True)
-                other = np.setdiff1d(grams[~own], seen)
-                yield pa.record_batch([pa.array(np.concatenate([seen, other])),
-                                       pa.array(np.concatenate([n, np.zeros(len(other), n.dtype)]))], ["gram", "n"])
+                other = np.unique(grams[~own])
+                parts += [np.unique(grams[own], return_counts=True), (other, np.zeros(len(other), np.int64))]
+                held += len(parts[-2][0]) + len(other)
+                if held > most:  # what was counted piece by piece is added up before it leaves the task
+                    parts = [_added_up(parts)]
+                    held = len(parts[0][0])
+                    if held > most // 2:
+                        yield pa.record_batch(list(map(pa.array, parts.pop())), ["gram", "n"])
+                        held = 0
+        if parts:
+            yield pa.record_batch(list(map(pa.array, _added_up(parts))), ["gram", "n"])
     return count
 
 
@@ -154,32 +184,27 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
 
 
 class GramTable:
-    """Code lengths by gram in an open-addressing table of numpy arrays."""
+    """Code lengths by gram: rows in order of a hash, and the first row of each of its values (20 to 24 bytes a gram)."""
 
     def __init__(self, grams: np.ndarray, bits: np.ndarray):
-        self.order = max(4, int(2 * len(grams) - 1).bit_length())
-        self.key = np.full(1 << self.order, -1, np.int64)
-        self.bits = np.zeros(1 << self.order)
-        at, left = self._slot(grams), np.arange(len(grams))
-        while len(left):
-            slot = at[left]
-            free = self.key[slot] < 0
-            self.key[slot[free]] = grams[left[free]]  # of several for one slot, the last stays
-            placed = self.key[slot] == grams[left]
-            self.bits[slot[placed]] = bits[left[placed]]
-            left = left[~placed]
-            at[left] = (at[left] + 1) & ((1 << self.order) - 1)
+        self.order = max(4, len(grams).bit_length())
+        slot = self._slot(grams)
+        rows = np.argsort(slot, kind="stable")
+        self.key, self.bits = grams[rows], bits[rows]
+        n = np.bincount(slot, minlength=1 << self.order)
+        self.first = (np.cumsum(n) - n).astype(np.int32)
 
     def _slot(self, grams: np.ndarray) -> np.ndarray:
         return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.order)).astype(np.int64)
 
     def __call__(self, grams: np.ndarray) -> np.ndarray:
-        slot = self._slot(grams)
-        missed = np.flatnonzero(self.key[slot] != grams)
+        """The code lengths of ``grams``, all of which the table has."""
+        row = self.first[self._slot(grams)]
+        missed = np.flatnonzero(self.key[row] != grams)
         while len(missed):
-            slot[missed] = (slot[missed] + 1) & ((1 << self.order) - 1)
-            missed = missed[self.key[slot[missed]] != grams[missed]]
-        return self.bits[slot]
+            row[missed] += 1
+            missed = missed[self.key[row[missed]] != grams[missed]]
+        return self.bits[row]
 
 
 # ---- words ----------------------------------------------------------------------------------
@@ -190,10 +215,10 @@ def _word_counts(batches):
     def out():
         return pa.record_batch([pa.array(n.keys(), pa.binary()), pa.array(n.values(), pa.int64())], ["word", "n"])
 
-    for batch in in_slices(batches):
-        for text in batch.column("text").to_pylist():
-            n.update((text or "").encode("utf-8", "surrogatepass").lower().split())
-        if len(n) > 300_000:
+    for batch in in_slices(batches, most_bytes=SLICE):
+        for text in batch.column("text").cast(pa.binary()).to_pylist():
+            n.update((text or b"").lower().split())
+        if len(n) > 150_000:
             yield out()
             n.clear()
     if n:
@@ -221,6 +246,7 @@ def frequent_from(counts: DataFrame, most: int) -> int:
 
 # ---- scoring --------------------------------------------------------------------------------
 
+@small_batches
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 4, fold: int = 2, folds: int = 7,
           most_shared: int = 8_000_000, most_frequent: int = 200_000) -> DataFrame:
     """One row per text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
@@ -238,19 +264,19 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     train_tokens, types = n_words + ends, n_types + (ends > 0)
     least = frequent_from(counts, most_frequent)
     often = counts.where(F.col("n") >= least).toArrow()
-    frequent = dict(zip(often.column("word").to_pylist(), often.column("n").to_pylist()))
+    divisor = float(train_tokens + types + 1)
+    known = spark.sparkContext.broadcast(dict(zip(often.column("word").to_pylist(),
+                                                  np.log10((often.column("n").to_numpy() + 1) / divisor).tolist())))
     shared = scores.count() <= most_shared
     table = None
     if shared:
         t = scores.toArrow()
         table = spark.sparkContext.broadcast(GramTable(t.column("gram").to_numpy(), t.column("bits").to_numpy()))
-    known = spark.sparkContext.broadcast(frequent)
-    divisor = float(train_tokens + types + 1)
 
     def read(batches):
-        logs = {w: np.log10((c + 1) / divisor) for w, c in known.value.items()}
+        logs = known.value
         end = np.log10((ends + 1) / divisor)
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, most_bytes=SLICE):
             column = batch.column("text")
             n = len(column)
             bits, sizes = np.zeros(n), np.zeros(n, np.int64)
@@ -265,8 +291,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
                     pieces.append((text[new], g[new], np.diff(np.append(new, len(g)))))
                 sizes += np.bincount(text, minlength=n)
             tokens, seen, base, rare = [], [], [], []
-            for t in column.to_pylist():
-                words = (t or "").encode("utf-8", "surrogatepass").lower().split()
+            for t in column.cast(pa.binary()).to_pylist():
+                words = (t or b"").lower().split()
                 of = list(map(logs.get, words))
                 unseen = [w for w, x in zip(words, of) if x is None]
                 tokens.append(len(words) + 1)
@@ -276,13 +302,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
             out = [batch.column("doc_id"), batch.column("sig"), batch.column("train"), pa.array(tokens, pa.int64()),
                    pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(bits), pa.array(sizes),
                    pa.array(rare, pa.list_(pa.binary()))]
-            of_text: list[list] = [[] for _ in range(n)]
-            for text, g, k in pieces:
-                cut = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1]))) if len(text) else []
-                for a, b in zip(cut, [*cut[1:], len(text)]):
-                    of_text[text[a]].extend(zip(g[a:b].tolist(), k[a:b].tolist()))
-            kind = pa.list_(pa.struct([("gram", pa.int64()), ("k", pa.int64())]))
-            out.append(pa.array([[{"gram": a, "k": b} for a, b in x] for x in of_text], kind))
+            text, g, k = map(np.concatenate, zip(*pieces)) if pieces else [np.zeros(0, np.int64)] * 3
+            first = pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32())
+            out.append(pa.ListArray.from_arrays(first, pa.StructArray.from_arrays([pa.array(g), pa.array(k)], ["gram", "k"])))
             yield pa.record_batch(out, ["doc_id", "sig", "train", "n_tokens", "n_known", "base", "bits", "n_bytes",
                                         "rare", "grams"])
 

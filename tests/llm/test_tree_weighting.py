@@ -105,5 +105,58 @@ def test_long_texts_are_cut_into_pieces_without_a_trace():
     assert np.bincount(sum((x[1] for x in small), [])).tolist() == [1, 1, 121, 19, 3]
 
 
+def test_tasks_hold_small_pieces_and_a_small_table():
+    """Memory beside the batch and the counts does not grow with a text or with the texts of a batch."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    letters = np.frombuffer(b"abcdef ", np.uint8)
+    for sizes in ([4 << 20], [2000] * 2000):
+        column = pa.array([letters[rng.integers(0, 7, k)].tobytes().decode() for k in sizes])
+        batch = pa.record_batch([column, pa.array([i % 3 > 0 for i in range(len(sizes))])], ["text", "train"])
+        tracemalloc.start()
+        n = sum(len(g) for g, _ in tw.gram_pieces(column, 4))
+        counts = list(tw._counted(4)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n == sum(sizes) + len(sizes) and peak < 60e6
+        assert len(counts) == 1 and len(set(counts[0].column(0).to_pylist())) == len(counts[0]) > 7 ** 5
+        assert sum(counts[0].column(1).to_pylist()) == sum(k + 1 for i, k in enumerate(sizes) if i % 3)
+    grams = np.unique(rng.integers(0, 1 << 40, 70000))
+    table = tw.GramTable(grams, grams / 2)
+    assert sum(x.nbytes for x in vars(table).values() if isinstance(x, np.ndarray)) <= 24 * len(grams)
+    some = rng.permutation(grams)
+    assert np.array_equal(table(some), some / 2)
+
+
+def test_counts_are_added_up_over_pieces_and_leave_in_parts():
+    import pyarrow as pa
+    batch = pa.record_batch([pa.array(["abcabc", "xyz", None, "abd"] * 50), pa.array([True, False, True, True] * 50)],
+                            ["text", "train"])
+    want = Counter()
+    for t, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        b = bytes(2) + (t or "").encode() + b"\xff"
+        for p in range(2, len(b)):
+            want[b[p] | b[p - 1] << 8 | b[p - 2] << 16] += own
+    for most in (1, 20, 10**6):
+        got = Counter()
+        for part in tw._counted(2, most)(batch.slice(k, 7) for k in range(0, 200, 7)):
+            for g, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                got[g] += n
+        assert got == want and set(got) == set(want)
+    assert list(tw._counted(2)(iter([]))) == []
+
+
+def test_batches_are_small_within_and_the_session_is_left_as_it_was(spark, table):
+    from tessera.llm.common import BATCH_BYTES, small_batches
+    asked = small_batches(lambda df: df.sparkSession.conf.get(BATCH_BYTES, None))
+    assert asked(table([])) == "8m" and spark.conf.get(BATCH_BYTES, None) is None
+    spark.conf.set(BATCH_BYTES, "3m")
+    assert asked(table([])) == spark.conf.get(BATCH_BYTES, None) == "3m"
+    spark.conf.unset(BATCH_BYTES)
+
+
 def test_empty_table(table):
     assert tw.score(table([]), depth=2).count() == 0
