@@ -141,15 +141,21 @@ def running_offsets(df: DataFrame, key: str, size: str, order: list[str], out: s
             .drop("_base", "_bucket"))
 
 
-def scattered(index: Column, n: Column, *seed: Column, rounds: int = 24) -> Column:
+def scatter_points(n: Column, *seed: Column, rounds: int = 24) -> Column:
+    """The points about which the rounds of :func:`scattered` reflect; the same for every index."""
+    return F.transform(F.sequence(F.lit(1), F.lit(rounds)), lambda r: F.pmod(F.xxhash64(r, *seed), n))
+
+
+def scattered(index: Column, n: Column, *seed: Column, rounds: int = 24, points: Column | None = None) -> Column:
     """Pseudorandom permutation of 0..n-1, keyed by ``seed``, applied to ``index``.
 
     Swap-or-not rounds: each round reflects the index about a keyed point, or not, by a keyed
     coin that both partners of the reflection share, so every round is a bijection on 0..n-1
-    and no cycle walking is needed.
+    and no cycle walking is needed.  ``points`` are the :func:`scatter_points`, if worked out before.
     """
     def one(x, r):
-        partner = F.pmod(F.pmod(F.xxhash64(r, *seed), n) + n - x, n)
+        point = F.pmod(F.xxhash64(r, *seed), n) if points is None else F.get(points, r - 1)
+        partner = F.pmod(point + n - x, n)
         coin = F.pmod(F.xxhash64(F.greatest(x, partner), r, F.lit(1), *seed), F.lit(2)) == 1
         return F.when(coin, partner).otherwise(x)
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), index.cast("long"), one)

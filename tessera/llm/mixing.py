@@ -34,9 +34,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tessera.llm.common import WORD, n_buckets, released, running_offsets, saved, scattered
+from tessera.llm.common import WORD, n_buckets, released, saved, scatter_points, scattered
 
 WEIGHTS = (5, 2, 1)
+#: the white space between words
+SPACES = " \t\n\x0b\f\r"
 #: shards numbered together, and the least number of cells that the number line is cut into
 RUN, CELLS = 256, 4096
 
@@ -111,8 +113,10 @@ def draws(of: DataFrame, shard_slots: int = 4096, seed: int = 0) -> DataFrame:
     got = runs.groupBy("skey").agg(F.sum("_sum").alias("_got"))
     sources = of.where("n_draws > 0").select("skey", "n_blocks", "n_draws").join(got, "skey", "left") \
         .withColumn("_got", F.coalesce("_got", F.lit(0).cast("long"))).withColumn("_over", F.greatest(F.col("_got") - F.col("n_draws"), F.lit(0)))
+    # the permutation's points are the same for all draws of a source
+    points = scatter_points(F.greatest(F.col("_got"), F.lit(1)), F.col("skey"), F.lit(seed))
     sources = saved(sources.withColumn("_over_from", F.sum("_over").over(
-        W.orderBy("skey").rowsBetween(W.unboundedPreceding, 0)) - F.col("_over")), "sources")
+        W.orderBy("skey").rowsBetween(W.unboundedPreceding, 0)) - F.col("_over")).withColumn("_points", points), "sources")
     over, names, total = sources.agg(F.coalesce(F.sum("_over"), F.lit(0)), F.count("skey"),
                                      F.coalesce(F.sum("n_draws"), F.lit(0))).first()
 
@@ -121,8 +125,9 @@ def draws(of: DataFrame, shard_slots: int = 4096, seed: int = 0) -> DataFrame:
     numbered = drawn.join(base, ["skey", "_run"]).withColumn("_first", F.col("_base") + F.sum(n).over(w) - n)
     # few bytes make many draws, so shards are dealt to tasks by the number of draws
     k = numbered.repartition(_tasks(of.sparkSession, total), "skey", "shard").join(sources, "skey").select(
-        "skey", "shard", "_first", "_got", "n_draws", "n_blocks", "_over_from", F.posexplode("slots").alias("_i", "slot"))
-    k = k.withColumn("_k", scattered(F.col("_first") + F.col("_i"), F.col("_got"), F.col("skey"), F.lit(seed)))
+        "skey", "shard", "_first", "_got", "n_draws", "n_blocks", "_over_from", "_points", F.posexplode("slots").alias("_i", "slot"))
+    k = k.withColumn("_k", scattered(F.col("_first") + F.col("_i"), F.col("_got"), F.col("skey"), F.lit(seed),
+                                     points=F.col("_points")))
 
     # an index beyond the target takes a draw of a source that was drawn too seldom; the others meet no cell
     short, width = _sources(sources.select("skey", "n_blocks", "_got", "n_draws"),
@@ -140,10 +145,25 @@ def draws(of: DataFrame, shard_slots: int = 4096, seed: int = 0) -> DataFrame:
                     F.col("slot").cast("long").alias("slot"))
 
 
-def laid_out(docs: DataFrame, order: list[str], source: str = "source", text: str = "text") -> DataFrame:
-    """``docs`` with skey, size (words) and first_word, the place of its first word in its source."""
-    d = docs.withColumn("skey", source_key(F.col(source))).withColumn("size", n_words(F.col(text)))
-    return running_offsets(d, "skey", "size", order, "first_word", n_buckets(docs))
+def laid_out(docs: DataFrame, order: list[str], source: str = "source", text: str = "text",
+             keep: list[str] | None = None, most_shared: int = 200_000) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with skey, size (words) and first_word, the place of its first word in its source.
+
+    Rows are written with their place within a hash bucket of their source, so words are counted once; the
+    buckets' starts follow from that table, and are shared with all tasks only if at most ``most_shared``."""
+    bucket = F.pmod(F.xxhash64(*order), F.lit(n_buckets(docs)))
+    d = docs.withColumn("skey", source_key(F.col(source))).withColumn("size", n_words(F.col(text))).withColumn("_bucket", bucket)
+    w = W.partitionBy("skey", "_bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order]) \
+        .rowsBetween(W.unboundedPreceding, 0)
+    d = d.withColumn("_within", F.sum("size").over(w) - F.col("size"))
+    columns = [c for c in dict.fromkeys([*(keep or docs.columns), "skey", "size"]) if c != "first_word"]
+    placed = saved(d.select(*columns, "_bucket", "_within"), "laid-out")
+    sums = placed.groupBy("skey", "_bucket").agg(F.sum("size").alias("_sum"))
+    starts = saved(sums.select("skey", "_bucket", (F.sum("_sum").over(W.partitionBy("skey").orderBy("_bucket"))
+                                                   - F.col("_sum")).alias("_start")), "bucket-starts")
+    if starts.count() <= most_shared:
+        starts = F.broadcast(starts)
+    return placed.join(starts, ["skey", "_bucket"]).select(*columns, (F.col("_start") + F.col("_within")).alias("first_word"))
 
 
 def blocks_of(laid: DataFrame, block_words: int) -> DataFrame:
@@ -160,8 +180,7 @@ def mixture(docs: DataFrame, order: list[str], source: str = "source", text: str
             weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, block_words: int = 64,
             shard_slots: int = 4096, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The laid-out texts (without text), the sources with targets, and the draws."""
-    keep = [c for c in dict.fromkeys([*order, "skey", "size", "first_word"]) if c != text]
-    laid = saved(laid_out(docs, order, source, text).select(*keep), "laid-out")
+    laid = laid_out(docs, order, source, text, [c for c in order if c != text])
     of = targets(laid, weights, max_epochs, block_words)
     return laid, of, draws(of, shard_slots, seed)
 
@@ -177,21 +196,18 @@ def block_texts(laid: DataFrame, block_words: int, text: str = "text") -> DataFr
 
     A part's text holds its words, each with the white space that follows it."""
     first, end = F.col("first_word"), F.col("first_word") + F.col("size")
-
-    def part(pieces, block):
-        lo = F.greatest(block * block_words, first)
-        n = F.least((block + 1) * block_words, end) - lo
-        cut = F.array_join(F.slice(pieces, (lo - first + 1).cast("int"), n.cast("int")), "")
-        return F.struct(block.alias("block"), first.alias("first_word"), (lo - first).alias("from_word"),
-                        n.alias("words"), cut.alias("text"))
-
-    numbers = F.sequence(F.floor(first / block_words), F.floor((end - 1) / block_words))
-    pieces = F.regexp_extract_all(text, F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
-    # the outer transform binds the pieces, so a text is split once, not once per block
-    parts = F.element_at(F.transform(F.array(pieces), lambda p: F.transform(numbers, lambda b: part(p, b))), 1)
-    rows = laid.where("size > 0").select("skey", F.explode(parts).alias("p"))
-    return rows.groupBy("skey", F.col("p.block").alias("block")).agg(F.array_sort(F.collect_list(
-        F.struct("p.first_word", "p.from_word", "p.words", "p.text"))).alias("parts"))
+    # as many words before the text as its first block holds of others: then every run of words is one block's
+    others = (first % block_words).cast("int")
+    runs = F.regexp_extract_all(F.concat(F.repeat(F.lit("x "), others), F.ltrim(F.col(text), F.lit(SPACES))),
+                                F.lit(f"(?:{WORD}+[\\x20\\x09-\\x0D]*+){{1,{block_words}}}+"), F.lit(0))
+    cuts = laid.where("size > 0").select("skey", "first_word", "size", F.posexplode(runs).alias("_i", "_text"))
+    block = F.floor(first / block_words) + F.col("_i")
+    lo = F.greatest(block * block_words, first)
+    part = F.struct("first_word", (lo - first).alias("from_word"),
+                    (F.least((block + 1) * block_words, end) - lo).alias("words"),
+                    F.when(F.col("_i") == 0, F.substring("_text", 2 * others + 1, F.length("_text"))).otherwise(F.col("_text")).alias("text"))
+    return cuts.select("skey", block.alias("block"), part.alias("p")).groupBy("skey", "block") \
+        .agg(F.array_sort(F.collect_list("p")).alias("parts"))
 
 
 def mixed_blocks(docs: DataFrame, order: list[str], source: str = "source", text: str = "text",
@@ -201,7 +217,7 @@ def mixed_blocks(docs: DataFrame, order: list[str], source: str = "source", text
 
     The mix has one row per slot: shard, slot, skey, block, epoch, source_draws (draws of this
     source in the shard), words (the block's text, a line break between texts) and parts."""
-    laid = saved(laid_out(docs, order, source, text), "laid-out")
+    laid = laid_out(docs, order, source, text)
     of = targets(laid, weights, max_epochs, block_words)
     drawn = in_shards(saved(draws(of, shard_slots, seed), "draws"))
     mix = block_texts(laid, block_words, text).join(drawn, ["skey", "block"])

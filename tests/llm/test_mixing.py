@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import mixing
-from tessera.llm.common import scattered
+from tessera.llm.common import scatter_points, scattered
 
 
 def corpus():
@@ -101,6 +101,53 @@ def test_scattered_is_a_permutation(spark):
     assert got != list(range(100))
 
 
+def test_points_worked_out_before_give_the_same_permutation(spark):
+    ids = spark.range(100).withColumn("p", scatter_points(F.lit(100), F.lit("k")))
+    got = ids.select(scattered(F.col("id"), F.lit(100), F.lit("k")), scattered(F.col("id"), F.lit(100), F.lit("k"), points=F.col("p")))
+    assert all(a == b for a, b in got.collect())
+
+
+def test_blocks_hold_words_with_the_space_that_follows_them(table):
+    rows = [(1, "\t a  b\nc d\u00a0e f ", "s"), (2, "x x x x x x x\r\n", "s"), (3, "one", "s"), (4, None, "s"), (5, " \x0b\f ", "s"),
+            (6, "\u2003w " * 40, "t"), (7, "\x0bz" * 9, None)]
+    for n in (1, 4, 64):
+        laid = mixing.laid_out(table(rows), ["doc_id"])
+        got = mixing.block_texts(laid, n).collect()
+        text = {(r.skey, r.first_word): r.text for r in laid.where("size > 0").collect()}
+        seen = defaultdict(list)
+        for r in got:
+            assert [p.first_word for p in r.parts] == sorted(p.first_word for p in r.parts)
+            for p in r.parts:
+                assert r.block == (p.first_word + p.from_word) // n == (p.first_word + p.from_word + p.words - 1) // n
+                words = re.findall("[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text[r.skey, p.first_word])
+                assert p.text == "".join(words[p.from_word:p.from_word + p.words])
+                seen[r.skey, p.first_word].append((p.from_word, p.words))
+        for k, t in text.items():
+            size = len(re.findall("[^\x20\x09-\x0D]+", t))
+            assert [x for a, w in sorted(seen[k]) for x in range(a, a + w)] == list(range(size))
+
+
+def test_words_are_counted_once_and_buckets_start_where_others_end(table, monkeypatch):
+    """The table of all rows is written before the buckets' sums are made, so texts are read once, shared or not."""
+    rows, seen = corpus(), []
+    monkeypatch.setattr(mixing, "n_buckets", lambda df: 7)
+    monkeypatch.setattr(mixing, "saved", lambda df, name, real=mixing.saved: (
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all")), real(df, name))[1])
+    for most in (10**6, 0):
+        laid = mixing.laid_out(table(rows), ["doc_id"], most_shared=most)
+        plan = laid._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp" not in plan and ("strategy=broadcast" in plan) == (most > 0)
+        spans = defaultdict(list)
+        for r in laid.where("size > 0").collect():
+            spans[r.skey].append((r.first_word, r["size"]))
+        for own in spans.values():
+            at = 0
+            for first, size in sorted(own):
+                assert first == at
+                at += size
+    assert seen == [1, 0, 1, 0]
+
+
 def test_empty_table(table):
     assert mixed(table([]))[3].count() == 0 and mixing.mixed_texts(table([]), ["doc_id"]).count() == 0
 
