@@ -15,7 +15,8 @@ windows are.  So results are exact, whatever the codebooks are worth.
 On Spark the anchors still open visit their next cells in rounds, four times as many each time.  Cells
 are cut by hash into blocks of about ``block_rows`` rows, anchors gathered into groups of about as many, and
 groups meet blocks by (cell, block): hot cells and cells that all anchors want spread over tasks.  The best
-rows of an anchor so far travel with it, so that blocks return only what still counts.  First the windows without ends of
+rows of an anchor so far travel with it, so that blocks return only what still counts.  These joins never broadcast: a plan
+is small as a file, but its visits, laid out one by one, may be many times what a driver holds.  First the windows without ends of
 the positives are answered, then those below each positive's score.
 
 Rows with a null id, label or vector or a null or non-finite component take no part.  Equal rows count
@@ -35,16 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tessera.llm.common import in_slices, small_batches
 from tessera.tables import dropped, reliable
 
 WINDOWS = "array<struct<w: int, lo: long, hi: long, least: long>>"
 STATE = f"anchor long, own long, label long, vec binary, windows {WINDOWS}, done long"
-PLAN = STATE + ", next double, visits array<struct<at: long, part: long>>"
-PLAN_ARROW = pa.schema([
-    ("anchor", pa.int64()), ("own", pa.int64()), ("label", pa.int64()), ("vec", pa.binary()),
-    ("windows", pa.list_(pa.struct([("w", pa.int32()), ("lo", pa.int64()), ("hi", pa.int64()), ("least", pa.int64())]))),
-    ("done", pa.int64()), ("next", pa.float64()), ("visits", pa.list_(pa.struct([("at", pa.int64()), ("part", pa.int64())])))])
+PLAN = STATE + ", ends binary, next double, head boolean, visits array<struct<at: long, part: long>>"
 FAR = 1 << 62
+VISITS = 256  # of a row of a plan
 
 
 def usable(rows: DataFrame, key: str, label: str, vector: str) -> DataFrame:
@@ -91,7 +90,7 @@ class Index:
             bound += 1e-9 * (np.abs(own) + norm * reach) + 1e-6  # rounding
             some = np.flatnonzero(reach >= 0)
             some = some[np.argsort(-bound[some], kind="stable")]
-            order.append((some.tolist(), bound[some].tolist()))
+            order.append((some, bound[some].tolist()))
             sums.append(own)
             norms.append(norm)
         (first, high1), (second, high2) = order
@@ -99,27 +98,36 @@ class Index:
         top = max(w["hi"] for w in windows)
         heap = [(-(high1[0] + high2[0]), 0, 0)]
         found, places = [], 0
-        while heap:
-            if -heap[0][0] < need or len(found) >= take:
-                return found, places, -heap[0][0]
-            _, a, b = heappop(heap)
-            places += 1
-            if b + 1 < len(second):
-                heappush(heap, (-(high1[a] + high2[b + 1]), a, b + 1))
-            if b == 0 and a + 1 < len(first):
-                heappush(heap, (-(high1[a + 1] + high2[0]), a + 1, 0))
-            if places <= done:
-                continue
-            cell = first[a] * codes + second[b]
-            at = int(np.searchsorted(self.cells, cell))
-            if at == len(self.cells) or self.cells[at] != cell:
-                continue
-            mid = sums[0][first[a]] + sums[1][second[b]]
+        while heap and -heap[0][0] >= need and len(found) < take:
+            some = []  # places that are looked at together
+            while heap and -heap[0][0] >= need and len(some) < max(64, take - len(found)):
+                place = heappop(heap)
+                _, a, b = place
+                places += 1
+                if b + 1 < len(high2):
+                    heappush(heap, (-(high1[a] + high2[b + 1]), a, b + 1))
+                if b == 0 and a + 1 < len(high1):
+                    heappush(heap, (-(high1[a + 1] + high2[0]), a + 1, 0))
+                if places > done:
+                    some.append(place)
+            if not some:
+                break
+            c1, c2 = first[[p[1] for p in some]], second[[p[2] for p in some]]
+            at = np.minimum(np.searchsorted(self.cells, c1 * codes + c2), len(self.cells) - 1)
+            mid = sums[0][c1] + sums[1][c2]
             off = norms[0] * self.radii[at, 0] + norms[1] * self.radii[at, 1]
-            slack = 1e-9 * (abs(mid) + off) + 1e-6
-            if mid + off + slack >= need and mid - off - slack <= top:
-                found.append(at)
-        return found, places, None
+            slack = 1e-9 * (np.abs(mid) + off) + 1e-6
+            fit = np.flatnonzero((self.cells[at] == c1 * codes + c2) & (mid + off + slack >= need) & (mid - off - slack <= top))
+            fit = fit[:take - len(found)]
+            found += at[fit].tolist()
+            if len(found) == take and fit[-1] + 1 < len(some):  # the places after the last one taken are left
+                return found, places - (len(some) - int(fit[-1]) - 1), -some[fit[-1] + 1][0]
+        return found, places, -heap[0][0] if heap else None
+
+    def blocks_of(self, cells: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(cell, part) of the blocks of some cells."""
+        parts = self.parts[cells]
+        return np.repeat(cells, parts), np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -157,6 +165,26 @@ def nearest(points: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return of, np.sqrt((gap * gap).sum(axis=1))
 
 
+def sampled(rows: DataFrame, n: int, most: int) -> DataFrame:
+    """The vectors of the ``most`` rows with the least hashes, of ``n`` different ones, in one partition."""
+    key = F.xxhash64("id", "label", "vector")
+    wide = most + 10 * int(most ** 0.5)
+    if n > 2 * wide:  # rows far above the limit needn't meet
+        rows = rows.where(key < -(1 << 63) + (1 << 64) * wide // n)
+    return rows.select("id", "label", "vector").orderBy(key, "id").limit(most).select("vector")
+
+
+def fitted(sample: DataFrame, width: int, half: int, codes: int) -> list[np.ndarray]:
+    """The codebooks of both halves.  One task fits them, so the driver gets the books and no rows."""
+    def fit(batches):
+        points = np.concatenate([_matrix(b.column("vector"), width).astype(np.float64) for b in batches])
+        books = [codebook(points[:, :half], codes), codebook(points[:, half:], codes)]
+        yield pa.record_batch([pa.array([b.tobytes() for b in books], pa.binary())], ["book"])
+
+    return [np.frombuffer(r["book"], "<f8").reshape(codes, -1) for r in sample.mapInArrow(fit, "book binary").collect()]
+
+
+@small_batches
 def indexed(rows: DataFrame, cell_rows: int = 200, most_codes: int = 1024, most_sampled: int = 1 << 16,
             block_rows: int = 2048) -> tuple[Index, DataFrame, DataFrame] | None:
     """(index, every row with its cell, blocks) of usable rows; None without rows."""
@@ -168,13 +196,11 @@ def indexed(rows: DataFrame, cell_rows: int = 200, most_codes: int = 1024, most_
         return None
     if max(1, width) * int(top) ** 2 >= FAR or top < 0:
         raise ValueError(f"scores of {width} components up to {top} may pass 2^62")
-    kind = "<i4" if top < 1 << 31 else "<i8"
+    kind = next(k for k, bits in (("<i1", 7), ("<i2", 15), ("<i4", 31), ("<i8", 63)) if top < 1 << bits)
     exact = "<f8" if max(1, width) * int(top) ** 2 < 1 << 53 else "<i8"
     half = -(-width // 2)
     codes = int(min(most_codes, max(1, round((n / cell_rows) ** 0.5))))
-    sample = rows.select("vector").orderBy(F.xxhash64("id", "label", "vector"), "id").limit(most_sampled).toArrow()
-    points = _matrix(sample.column("vector").combine_chunks(), width).astype(np.float64)
-    books = [codebook(points[:, :half], codes), codebook(points[:, half:], codes)]
+    books = fitted(sampled(rows, n, most_sampled), width, half, codes)
     shared = spark.sparkContext.broadcast(books)
 
     def placed(batches):
@@ -188,6 +214,7 @@ def indexed(rows: DataFrame, cell_rows: int = 200, most_codes: int = 1024, most_
 
     filed = reliable(rows.mapInArrow(placed, "id long, label long, vec binary, cell long, r1 double, r2 double"))
     dropped(rows)
+    shared.destroy()
     cells = filed.groupBy("cell").agg(F.count("*").alias("n"), F.max("r1").alias("r1"), F.max("r2").alias("r2")).orderBy("cell").toArrow()
     parts = -(-cells.column("n").to_numpy() // block_rows)
     index = Index(books, half, kind, exact, cells.column("cell").to_numpy(),
@@ -210,6 +237,7 @@ def _packed(table: pa.Table) -> pa.Table:
 
 # ---- rounds of visits -------------------------------------------------------------------------
 
+@small_batches
 def best_in_windows(anchors: DataFrame, index: Index, blocks: DataFrame, same: bool, k: int, first: int = 16,
                     group_rows: int = 1024) -> DataFrame:
     """The ``k`` best rows of the same (or another) label in every window of every anchor.
@@ -220,34 +248,35 @@ def best_in_windows(anchors: DataFrame, index: Index, blocks: DataFrame, same: b
     spark = anchors.sparkSession
     shared = spark.sparkContext.broadcast(index)
     open_ = reliable(anchors.withColumn("done", F.lit(0).cast("long")))
-    groups = max(1, open_.count() // group_rows)
+    n_open = open_.count()
     tops = None
     take = first
 
     def planner(most):
         def planned(batches):
             ix = shared.value
-            for batch in batches:
-                rows = batch.to_pylist()
-                for row, q in zip(rows, ix.vectors([r["vec"] for r in rows]) if rows else []):
-                    cells, row["done"], row["next"] = ix.visits(q, row["windows"], row["done"], most)
-                    row["visits"] = [{"at": at, "part": p} for at in cells for p in range(int(ix.parts[at]))]
-                yield pa.RecordBatch.from_pylist(rows, PLAN_ARROW)
+            for batch in in_slices(batches, 16):
+                yield _planned(ix, batch, most)
         return planned
 
     def scored(batches):
         ix = shared.value
         for batch in batches:
-            for row in batch.to_pylist():
-                yield from _best_of_block(ix, row["asking"], row, same, k)
+            asking = batch.column("asking")
+            ends = asking.offsets.to_numpy()
+            for i in range(len(batch)):
+                block = [batch.column(c)[i].as_py() for c in ("ids", "labels", "vecs")]
+                yield from _best_of_block(ix, asking.values.slice(ends[i], ends[i + 1] - ends[i]), *block, same, k)
 
     key = ["anchor", "own"]
     while True:
-        plan = reliable(open_.mapInArrow(planner(take), PLAN))
-        asked = plan.select("anchor", "own", "label", "vec", "windows", F.explode("visits").alias("v")) \
-            .select("v.*", F.pmod(F.xxhash64(*key), F.lit(groups)).alias("group"), F.struct("anchor", "own", "label", "vec", "windows").alias("a"))
+        groups = max(1, n_open // group_rows)
+        tasks = max(n_open // 512, min(n_open // 16 + 1, spark.sparkContext.defaultParallelism))
+        plan = reliable(open_.repartition(tasks, *key).mapInArrow(planner(take), PLAN))
+        asked = plan.select("anchor", "own", "label", "vec", "ends", F.explode("visits").alias("v")) \
+            .select("v.*", F.pmod(F.xxhash64(*key), F.lit(groups)).alias("group"), F.struct("anchor", "own", "label", "vec", "ends").alias("a"))
         asked = asked.repartition("at", "part").groupBy("at", "part", "group").agg(F.collect_list("a").alias("asking"))
-        found = asked.join(blocks, ["at", "part"]).select("asking", "ids", "labels", "vecs") \
+        found = asked.join(blocks.hint("merge"), ["at", "part"]).select("asking", "ids", "labels", "vecs") \
             .mapInArrow(scored, "anchor long, own long, w int, score long, id long")
         place = F.row_number().over(W.partitionBy(*key, "w").orderBy(F.desc("score"), "id"))
         new = reliable((found if tops is None else tops.union(found)).withColumn("place", place).where(F.col("place") <= k).drop("place"))
@@ -259,46 +288,81 @@ def best_in_windows(anchors: DataFrame, index: Index, blocks: DataFrame, same: b
         # a full window needs no place whose bound is below its least score, an unfilled one none below its start
         still = F.filter(F.transform("windows", lambda w: w.withField("least", F.coalesce(F.col("full")[w["w"]], w["least"]))),
                          lambda w: F.col("next") >= F.coalesce(w["least"], w["lo"]))
-        more = reliable(plan.where("next is not null").join(full, key, "left").select(*key, "label", "vec", still.alias("windows"), "done")
+        more = reliable(plan.where("head and next is not null").join(full.hint("merge"), key, "left").select(*key, "label", "vec", still.alias("windows"), "done")
                         .where(F.size("windows") > 0))
         dropped(plan)
         dropped(open_)
         open_ = more
-        if not open_.limit(1).count():
+        n_open = open_.count()
+        if not n_open:
+            shared.destroy()
             return tops
         take *= 4
 
 
-def _best_of_block(index: Index, asking: list[dict], block: dict, same: bool, k: int):
-    ids, labels = np.frombuffer(block["ids"], "<i8"), np.frombuffer(block["labels"], "<i8")
-    vecs = np.frombuffer(block["vecs"], index.kind).reshape(len(ids), -1).astype(index.exact)
+def _planned(index: Index, batch: pa.RecordBatch, most: int) -> pa.RecordBatch:
+    """The next visits of some anchors; those of one anchor are dealt to rows of ``VISITS``, the first of which is its head."""
+    windows, done = batch.column("windows").to_pylist(), batch.column("done").to_pylist()
+    bounds = [[(w["lo"] if w["least"] is None else max(w["lo"], w["least"]), w["hi"], w["w"]) for w in ws] for ws in windows]
+    packed = pa.array([np.array(b, "<i8").tobytes() for b in bounds], pa.binary())
+    places, nexts, of, ends, ats, parts = [], [], [], [0], [], []
+    for i, q in enumerate(index.vectors(batch.column("vec").to_pylist())):
+        cells, place, bound = index.visits(q, windows[i], done[i], most)
+        at, part = index.blocks_of(np.array(cells, np.int64))
+        ats.append(at)
+        parts.append(part)
+        places.append(place)
+        nexts.append(bound)
+        for start in range(0, max(1, len(at)), VISITS):
+            of.append(i)
+            ends.append(ends[-1] + min(VISITS, len(at) - start))
+    of, take = np.array(of), pa.array(of)
+    visits = pa.StructArray.from_arrays([pa.array(np.concatenate(ats)), pa.array(np.concatenate(parts))], ["at", "part"])
+    rows = batch.select(["anchor", "own", "label", "vec", "windows"]).take(take)
+    return pa.record_batch([*rows.columns, pa.array(places, pa.int64()).take(take), packed.take(take), pa.array(nexts, pa.float64()).take(take),
+                            pa.array(np.diff(of, prepend=-1) > 0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), visits)],
+                           [*rows.schema.names, "done", "ends", "next", "head", "visits"])
+
+
+def _ends(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(low, high, name) of the windows, anchors x most windows; low is above high where an anchor has fewer."""
+    n = np.array([len(x) // 24 for x in packed])
+    row = np.repeat(np.arange(len(n)), n)
+    ends = np.full((len(n), n.max(initial=0), 3), (1, 0, 0), np.int64)
+    ends[row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)] = np.frombuffer(b"".join(packed), "<i8").reshape(-1, 3)
+    return ends[..., 0], ends[..., 1], ends[..., 2]
+
+
+def _best_of_block(index: Index, asking: pa.StructArray, ids: bytes, labels: bytes, vecs: bytes, same: bool, k: int):
+    ids, labels = np.frombuffer(ids, "<i8"), np.frombuffer(labels, "<i8")
+    vecs = np.frombuffer(vecs, index.kind).reshape(len(ids), -1).astype(index.exact).T
+    anchors, owns, of = (asking.field(c).to_numpy() for c in ("anchor", "own", "label"))
+    asked = index.vectors(asking.field("vec").to_pylist())
+    lows, highs, names = _ends(asking.field("ends").to_pylist())
     step = max(1, (1 << 20) // len(ids))
-    most = max(len(a["windows"]) for a in asking)
-    for i in range(0, len(asking), step):
-        some = asking[i:i + step]
-        score = index.vectors([a["vec"] for a in some]) @ vecs.T
-        if not index.exact.endswith("i8"):
-            score = score.astype(np.int64)
-        low, high, name = (np.full((len(some), most), x, np.int64) for x in (1, 0, 0))
-        for j, a in enumerate(some):
-            for m, w in enumerate(a["windows"]):
-                low[j, m], high[j, m], name[j, m] = w["lo"] if w["least"] is None else max(w["lo"], w["least"]), w["hi"], w["w"]
-        reached = np.flatnonzero(score.max(axis=1) >= np.where(low <= high, low, FAR).min(axis=1))
+    for i in range(0, len(asked), step):
+        score = asked[i:i + step] @ vecs
+        reached = np.flatnonzero(score.max(axis=1) >= np.where(lows <= highs, lows, FAR)[i:i + step].min(axis=1))
         if not len(reached):
             continue
-        order = np.argsort(-score[reached], axis=1, kind="stable")  # rows lie by id, so ties do too
-        score = np.take_along_axis(score[reached], order, axis=1)
-        own = np.array([some[j]["label"] for j in reached])
-        anchor = np.array([some[j]["anchor"] for j in reached])
-        fit = ((labels[order] == own[:, None]) == same) & (ids[order] != anchor[:, None])
-        for m in range(most):
-            hit = fit & (score >= low[reached, m, None]) & (score <= high[reached, m, None])
-            hit &= np.cumsum(hit, axis=1) <= k
+        score, at = score[reached], reached + i
+        fit = ((labels == of[at, None]) == same) & (ids != anchors[at, None])
+        best = []
+        for m in range(lows.shape[1]):
+            hit = fit & (score >= lows[at, m, None]) & (score <= highs[at, m, None])
+            many = np.flatnonzero(hit.sum(axis=1) > k)
+            if len(many):  # nothing below the k-th counts
+                least = np.partition(np.where(hit[many], score[many], -FAR), len(ids) - k, axis=1)[:, len(ids) - k, None]
+                hit[many] &= score[many] >= least
             r, c = np.nonzero(hit)
-            if len(r):
-                yield pa.record_batch([pa.array(anchor[r]), pa.array(np.array([some[j]["own"] for j in reached])[r]),
-                                       pa.array(name[reached, m][r].astype(np.int32)), pa.array(score[r, c]), pa.array(ids[order[r, c]])],
-                                      ["anchor", "own", "w", "score", "id"])
+            order = np.lexsort((c, -score[r, c], r))  # rows lie by id, so ties do too
+            r, c = r[order], c[order]
+            kept = np.arange(len(r)) - np.searchsorted(r, r) < k
+            best.append((r[kept], c[kept], np.full(kept.sum(), m)))
+        r, c, m = (np.concatenate(x) for x in zip(*best))
+        if len(r):
+            yield pa.record_batch([pa.array(anchors[at[r]]), pa.array(owns[at[r]]), pa.array(names[at[r], m].astype(np.int32)),
+                                   pa.array(score[r, c].astype(np.int64)), pa.array(ids[c])], ["anchor", "own", "w", "score", "id"])
 
 
 def mined(rows: DataFrame, is_anchor: Column, n_positives: int = 5, n_negatives: int = 5, low_pct: int = 80, high_pct: int = 100,
@@ -328,9 +392,9 @@ def mined(rows: DataFrame, is_anchor: Column, n_positives: int = 5, n_negatives:
                      .withColumns({"lo": lo, "hi": hi}).where("lo <= hi"))
     windows = named.select(*key, F.struct("w", "lo", "hi", F.lit(None).cast("long").alias("least")).alias("x")).distinct() \
         .groupBy(*key).agg(F.sort_array(F.collect_list("x")).alias("windows"))
-    asking = anchors.join(windows, key).select(*key, "label", "vec", "windows")
+    asking = anchors.join(windows.hint("merge"), key).select(*key, "label", "vec", "windows")
     negatives = best_in_windows(asking, index, blocks, False, n_negatives)
     rank = F.row_number().over(W.partitionBy(*key, "w").orderBy(F.desc("score"), "id"))
-    return named.join(negatives.withColumn("rank", rank), [*key, "w"]) \
+    return named.join(negatives.withColumn("rank", rank).hint("merge"), [*key, "w"]) \
         .select(F.col("anchor").alias("anchor_id"), "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score",
                 F.col("score").alias("negative_score"))

@@ -1,4 +1,7 @@
+import os
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +98,62 @@ def test_heap_gives_falling_bounds_that_hold_and_stops():
         found, places, bound = index.visits(q, [{"w": 0, "lo": -hn.FAR, "hi": hn.FAR, "least": fifth}], 0, 10 ** 6)
         assert bound is not None and bound < fifth and places < 36  # certified before all cells are visited
         assert set(index.cells[found]) >= set(cell[scores >= fifth])
+
+
+def test_codebooks_are_fitted_outside_the_driver(spark, monkeypatch):
+    driver, plain = os.getpid(), hn.codebook
+
+    def elsewhere(points, codes, rounds=8):
+        assert os.getpid() != driver
+        return plain(points, codes, rounds)
+    monkeypatch.setattr(hn, "codebook", elsewhere)
+    rows = rows_of()
+    table = spark.createDataFrame(rows, "id long, label long, vector array<long>").repartition(3)
+    index, filed, _ = hn.indexed(table, cell_rows=8, most_sampled=100)
+    distinct = table.distinct().select("*", F.xxhash64("id", "label", "vector").alias("h")).orderBy("h", "id").limit(100).collect()
+    points = np.array([list(r.vector) + [0] * (10 - len(r.vector)) for r in distinct], float)
+    for book, part in zip(index.books, (points[:, :5], points[:, 5:])):
+        assert np.allclose(book, plain(part, len(book)))
+    assert filed.count() == table.distinct().count()
+
+
+def test_sample_holds_the_least_hashes_and_leaves_the_others_where_they_are(spark):
+    table = spark.range(20_000).selectExpr("id", "id % 3 as label", "array(id, id * id) as vector")
+    key = F.xxhash64("id", "label", "vector")
+    want = [r.vector for r in table.orderBy(key, "id").limit(100).collect()]
+    sample = hn.sampled(table, 20_000, 100)
+    assert [r.vector for r in sample.collect()] == want and sample.rdd.getNumPartitions() == 1
+    assert "Filter" in sample._jdf.queryExecution().executedPlan().toString()
+    assert hn.sampled(table.limit(50), 50, 100).count() == 50
+
+
+def test_visits_of_an_anchor_are_dealt_to_short_rows():
+    rng = np.random.default_rng(4)
+    points = rng.integers(-400, 400, (900, 8))
+    index, _ = index_of(points, 30)
+    index.parts = rng.integers(1, 4, len(index.cells))
+    window = [{"w": 0, "lo": -hn.FAR, "hi": hn.FAR, "least": None}]
+    batch = pa.record_batch({"anchor": [7, 9], "own": [1, 2], "label": [0, 1], "vec": [p.astype("<i8").tobytes() for p in points[:2]],
+                             "windows": [window, window], "done": [0, len(index.cells) ** 2]})
+    got = hn._planned(index, batch, 10 ** 6).to_pylist()
+    assert max(len(r["visits"]) for r in got) == hn.VISITS and sum(r["head"] for r in got) == 2
+    assert [r["head"] for r in got if r["anchor"] == 9] == [True] and not got[-1]["visits"] and got[-1]["next"] is None
+    seen = [(v["at"], v["part"]) for r in got if r["anchor"] == 7 for v in r["visits"]]
+    assert len(seen) > 2 * hn.VISITS and sorted(seen) == [(at, p) for at, n in enumerate(index.parts) for p in range(n)]
+
+
+def test_visits_are_never_broadcast(spark, monkeypatch):
+    rows = rows_of(5, 300)
+    table = spark.createDataFrame(rows, "id long, label long, vector array<long>").repartition(3)
+    index, filed, blocks = hn.indexed(table, cell_rows=4, block_rows=8)
+    plans, plain = [], hn.reliable
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df)
+    monkeypatch.setattr(hn, "reliable", noted)
+    window = F.expr(f"array(struct(0 as w, -{hn.FAR}L as lo, {hn.FAR}L as hi, cast(null as bigint) as least))")
+    anchors = filed.where("id % 5 = 0").selectExpr("id as anchor", "xxhash64(label, vec) as own", "label", "vec").withColumn("windows", window)
+    found = hn.best_in_windows(anchors, index, blocks, True, 3, first=2)
+    assert found.count() > 150
+    assert sum("SortMergeJoin" in p for p in plans) > 2 and not any("BroadcastHashJoin" in p for p in plans)
